@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm import binpack, caps, components, mixing, overlap, tokens
+from tessel.llm import binpack, caps, components, mixing, overlap, parse, tokens
 from tessel.llm.common import cut, table
 
 Q = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return parse.not_parsing(table(spark, d, "corpus"))
+
+
+def p3_faults(spark: SparkSession, d: str) -> DataFrame:
+    return parse.faults(table(spark, d, "corpus"))
+
+
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    return parse.rates(table(spark, d, "corpus"))
+
+
 def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
     return overlap.cross_split(table(spark, d, "corpus"), table(spark, d, "samples"), table(spark, d, "jobs"))
 
@@ -75,7 +87,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(cut(p9_mix(spark, d)), table(spark, d, "mix_targets"))
 
 
-QUERIES: dict[str, Q] = {q.__name__: q for q in (p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares)}
+QUERIES: dict[str, Q] = {q.__name__: q for q in (p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares)}
 
 _OWNER = r"nullif(regexp_extract(regexp_replace(lower(full_name), '\s+', '', 'g'), '^/*([^/]+)', 1), '')"
 
