@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm import binpack, caps, components, mixing, overlap, parse, tokens
+from tessel.llm import binpack, caps, components, mixing, overlap, parse, pii, tokens
 from tessel.llm.common import cut, table
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -87,7 +87,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(cut(p9_mix(spark, d)), table(spark, d, "mix_targets"))
 
 
-QUERIES: dict[str, Q] = {q.__name__: q for q in (p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(table(spark, d, "documents")).select("doc_id", "kind", "start_pos")
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return pii.redact(docs, cut(pii.find(docs)))
+
+
+QUERIES: dict[str, Q] = {q.__name__: q for q in (p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _OWNER = r"nullif(regexp_extract(regexp_replace(lower(full_name), '\s+', '', 'g'), '^/*([^/]+)', 1), '')"
 
