@@ -7,12 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm import binpack, caps, components, mixing, overlap, parse, pii, tokens
+from tessel.llm import binpack, caps, components, license, mixing, origin, overlap, parse, pii, tokens
 from tessel.llm.common import cut, table
 
 Q = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return license.verdicts(table(spark, d, "corpus"), table(spark, d, "jobs"), table(spark, d, "license_info"), table(spark, d, "license_texts"))
+
+
+def p1_inherited(spark: SparkSession, d: str) -> DataFrame:
+    return license.inherited(table(spark, d, "corpus"), table(spark, d, "jobs"), table(spark, d, "license_info"), table(spark, d, "license_texts"))
+
+
+def p2_method(spark: SparkSession, d: str) -> DataFrame:
+    return origin.recurring(table(spark, d, "corpus"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return origin.origin(table(spark, d, "corpus"), table(spark, d, "path_patterns"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return parse.not_parsing(table(spark, d, "corpus"))
 
@@ -96,7 +112,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(docs, cut(pii.find(docs)))
 
 
-QUERIES: dict[str, Q] = {q.__name__: q for q in (p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES: dict[str, Q] = {q.__name__: q for q in (p1_found, p1_inherited, p2_method, p2_found, p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _OWNER = r"nullif(regexp_extract(regexp_replace(lower(full_name), '\s+', '', 'g'), '^/*([^/]+)', 1), '')"
 
