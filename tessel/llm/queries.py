@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm import binpack, caps, components, license, mixing, origin, overlap, parse, pii, tokens
+from tessel.llm import binpack, caps, components, license, mixing, origin, overlap, parse, pii, secrets, tokens
 from tessel.llm.common import cut, table
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,19 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     return per.groupBy("scope", "split", "repository_id").agg(F.count(F.lit(1)).alias("records"), F.sum("pairs").alias("pairs"), F.avg("coverage").alias("mean_coverage"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = secrets.find(table(spark, d, "corpus"), table(spark, d, "samples"))
+    return found.select("scope", "row_key", "line_no").distinct()
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """(scope, row_key, text): the whole texts with their secrets replaced."""
+    corpus, samples = table(spark, d, "corpus"), table(spark, d, "samples")
+    found = cut(secrets.find(corpus, samples))
+    part = lambda scope, rows, key, text: secrets.redact(rows, key, text, found.where(F.col("scope") == scope)).select(F.lit(scope).alias("scope"), "row_key", "text")
+    return part("corpus", corpus, "file_id", "content").union(part("samples", samples, "sample_id", "left_context"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return components.tied_groups(table(spark, d, "jobs"), table(spark, d, "file_contexts"))
 
@@ -112,7 +125,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(docs, cut(pii.find(docs)))
 
 
-QUERIES: dict[str, Q] = {q.__name__: q for q in (p1_found, p1_inherited, p2_method, p2_found, p3_found, p3_faults, p3_rates, p4_found, p4_counts, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES: dict[str, Q] = {q.__name__: q for q in (p1_found, p1_inherited, p2_method, p2_found, p3_found, p3_faults, p3_rates, p4_found, p4_counts, p5_found, p5_redacted, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _OWNER = r"nullif(regexp_extract(regexp_replace(lower(full_name), '\s+', '', 'g'), '^/*([^/]+)', 1), '')"
 
