@@ -199,7 +199,7 @@ def find(corpus: DataFrame, samples: DataFrame) -> DataFrame:
     repeated rows give each place once. A value cut off by a context's end counts if what stands there is enough.
     """
     words = corpus.sparkSession.sparkContext.broadcast(dictionary(corpus))
-    config = F.lower(F.coalesce("relative_path", F.lit(""))).rlike(r"\.(ya?ml|toml|ini|env|cfg|conf|properties)$")
+    config = F.lower(F.coalesce("relative_path", F.lit(""))).rlike(r"\.(ya?ml|toml|ini|env|cfg|conf|properties)$").alias("config")
     out = "row_key string, line_no int, start int, end int"
     a = corpus.where("file_id is not null and content is not null").select(F.col("file_id").cast("string"), config, "content").mapInArrow(searcher(words), out)
     b = samples.where("sample_id is not null and left_context is not null").select("sample_id", config, "left_context").mapInArrow(searcher(words), out)
