@@ -1,2 +1,6 @@
-QUERIES = {}
-ORACLES = {}
+"""All queries of the engine proper, by name, and the SQL they are compared with."""
+
+from tessel.plans import files  # noqa: F401 - registers its queries
+from tessel.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
