@@ -146,8 +146,8 @@ def water_fill(sizes: DataFrame, key: str, size: str, budget: int) -> DataFrame:
     w = W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     rows = d.withColumn("below", F.coalesce(F.sum(F.col("s") * F.col("n")).over(w), F.lit(0))).withColumn("above", F.sum("n").over(W.orderBy("s").rowsBetween(0, W.unboundedFollowing)))
     cap = F.ceil((F.lit(budget) - F.col("below")) / F.col("above"))
-    fits = rows.withColumn("cap", F.greatest(cap, F.lit(0))).where("cap <= s")
-    return fits.agg(F.min("cap").alias("c")).join(d.agg(F.max("s").alias("m"))).select(F.coalesce("c", "m").cast("bigint").alias("cap"))
+    fits = rows.withColumn("cap", F.greatest(cap, F.lit(0))).where(F.col("below") + F.col("s") * F.col("above") >= budget)
+    return fits.agg(F.min_by("cap", "s").alias("c")).join(d.agg(F.max("s").alias("m"))).select(F.coalesce("c", "m").cast("bigint").alias("cap"))
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
