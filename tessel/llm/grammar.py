@@ -14,6 +14,7 @@ OPERAND = "iqns(["
 # Followers by class, for each language.
 CSHARP = {
     "L": "iq{,;?",
+    "S": "({",
     "^": "Lkiq([{;uj$xy",
     "i": "iq.()[]{}<>,;:?abpotydrhXuD",
     "q": "iq.()[]{}<>,;:?abpotydrhXuDsnkx",
@@ -88,7 +89,8 @@ GO = {
     ">": OPERAND + "dpxhAF",
 }
 JAVASCRIPT = {
-    "L": "iq{v",
+    "L": "iq{E",
+    "E": "iq({[sun",
     "^": "kmujxyp$nD{;" + OPERAND,
     "i": ".()[]{},;:?abpotydrh<>q$",
     "q": ".()[]{},;:?abpotydrh<>q$isnkuxD",
@@ -177,6 +179,11 @@ GO["r"] = "".join(dict.fromkeys(GO["r"] + GO.pop("r>") + OPERAND + "dpxhFAM"))
 for _rows in (CSHARP, JAVASCRIPT):  # class comes where other such words come
     for _a in [a for a, bs in _rows.items() if "k" in bs]:
         _rows[_a] += "L"
+for _a in CSHARP:  # switch: a statement, or after an operand
+    if "k" in CSHARP[_a] or _a in "iqns)]}>yX":
+        CSHARP[_a] += "S"
+for _a in "iq>":
+    JAVASCRIPT[_a] += "E"
 for _a in "^NIO":
     PYTHON[_a] += "C"
 
@@ -250,7 +257,7 @@ def json_productions(cs: str) -> bool:
 #: an initializer that goes on with a name; an object literal that starts with another.
 NEVER = {
     "csharp": re.compile(r"iii|(?<![:,])L\{\{|[;}]u\{\{|a\{\}[iqnk]"),
-    "javascript": re.compile(r"L[iq]?(?:v[^{]*)?\{\{|[abpxu(,]\{\{"),
+    "javascript": re.compile(r"L[iq]?(?:E[^{]*)?\{\{|[abpxu(,]\{\{"),
 }
 
 

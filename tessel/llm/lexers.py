@@ -4,7 +4,7 @@ Lexing is two passes at C speed: one regular expression splits the text into tok
 token to its class; only tokens seen for the first time run Python code. Classes (the same in all languages):
 
 i name   q word that is also a name   n number   s string or character   k word that starts a declaration or statement
-o word used as a binary operator   u word used as a prefix operator   w v j m f g l r A C F K L M T Y words with followers of their own
+o word used as a binary operator   u word used as a prefix operator   w v j m f g l r A C E F K L M S T Y words with followers of their own
 p + -   d * &   h ^   b other binary operator   r <= >=   a assignment   x prefix ! ~   X postfix !   y ++ --   t arrow   D .. ... /
 < > . , ; : ? ( ) [ ] { } themselves   N end of a line that counts   I O deeper and shallower indentation   e malformed token
 """
@@ -17,7 +17,8 @@ from collections.abc import Callable
 # Words of each language by class.
 CSHARP = {
     "L": "class",
-    "k": "abstract const delegate do enum event explicit extern fixed for foreach if implicit interface internal lock namespace override private protected public readonly sealed static struct switch try unsafe using virtual volatile while",
+    "S": "switch",
+    "k": "abstract const delegate do enum event explicit extern fixed for foreach if implicit interface internal lock namespace override private protected public readonly sealed static struct try unsafe using virtual volatile while",
     "o": "as is operator",
     "u": "await new throw return out ref in params case",
     "w": "else finally",
@@ -40,7 +41,8 @@ JS = {
     "u": "await new throw return typeof void delete case yield",
     "q": "as async from get let of set static",
     "w": "else finally",
-    "v": "catch extends",
+    "v": "catch",
+    "E": "extends",
     "j": "break continue debugger default",
     "m": "export",
     "i": "false null super this true",

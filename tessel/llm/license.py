@@ -130,7 +130,7 @@ HASH_LANGUAGES = ("py", "yml", "yaml", "sh", "rb", "toml")
 # Parts of words without which no comment states terms; looked for in lower case before comments are cut out.
 SIGNS = ("licen", "spdx", "rights", "terms", "propert", "propriet", "confidential", "evaluation", "subscription", "permission", "permitted", "copying", "copyright", "may not", "must not", "free to", "free for", "redistrib", "use is", "liability", "warrant", "whoever", "may be ", "anyone", "everyone")
 TAG = re.compile(r"spdx-licen[sc]e-identifier\s*:\s*([\w.+-]+)", re.I)
-NAMED = re.compile(r"(?:\blicen[sc]ed|\bdistributed|\breleased|\bavailable|\bprovided|\bcovered|\bfree to use|\bused|\bpublished|\bmade available|\bsubject|\bshared|\boffered)\s+(?:to\s+)?(?:under|by|to)\s+(?:the\s+terms\s+of\s+)?(?:the\s+)?([A-Za-z][^;\n]{1,70})|\b[Ll]icen[sc]e\s*:\s*([^\n;]{1,70})")
+NAMED = re.compile(r"(?:\blicen[sc]ed|\bdistributed|\breleased|\bavailable|\bprovided|\bcovered|\bfree to use|\bused|\bpublished|\bmade available|\bsubject|\bshared|\boffered)\s+(?:to\s+)?(?:under|by|to)\s+(?:the\s+terms\s+of\s+)?(?:the\s+)?([A-Za-z][^;\n]{1,70})|\blicen[sc]e\s*:\s*([^\n;]{1,70})", re.I)
 HOLDER = re.compile(r"(?:copyright|\(c\)|©)[^.\n]*?\.\s+([^\n]{2,60}?)\.?\s*$", re.I | re.M)
 OTHER = re.compile(
     r"\ball rights (?:are )?reserved\b|\bproperty of\b|\bproprietary\b|\bconfidential\b|\b(?:must|may|shall|can) not (?:be )?(?:leave|cop|distribut|redistribut|shar|us|disclos|modif|reproduc|publish)|\b(?:released|licensed|provided|free) for (?:evaluation|study|internal|research|personal|academic|non-?commercial|education)"

@@ -75,14 +75,19 @@ def head(text: str) -> str:
     return LEADING.match(text.lstrip("﻿")).group()
 
 
-def is_data(text: str) -> bool:
-    """Whether literals make up the file: a delimited table, or arrays and maps of literals with hardly any code."""
+def is_table(text: str) -> bool:
+    """Whether the file is a delimited table: rows of the same number of fields, and no line that ends as code does."""
     lines = [x for x in text.splitlines() if x.strip()]
     if len(lines) >= 3:
         for sep in (",", "\t", ";", "|"):
             n = [x.count(sep) for x in lines]
             if n[0] >= 2 and sum(k == n[0] for k in n) >= 0.95 * len(n) and not any(x.rstrip().endswith(("{", "}", ";", ")", ":")) for x in lines[:50] if sep != ";"):
                 return True
+    return False
+
+
+def is_data(text: str) -> bool:
+    """Whether literals make up the file: arrays and maps of literals without statements."""
     body = re.sub(r"(?m)^\s*(?://|#).*$", "", text)
     size = len(re.sub(r"\s", "", body))
     if size < 200:
@@ -115,6 +120,8 @@ def kind_of(ext: str, text: str) -> str | None:
         return "generated"
     if ext in ("js", "mjs", "jsx", "ts") and is_minified(text):
         return "minified"
+    if is_table(text):
+        return "data"
     if is_listed(text):
         return "generated"
     return "data" if is_data(text) else None

@@ -92,6 +92,8 @@ def is_secret(value: str, key: str, words: frozenset[str] | set[str]) -> bool:
     if re.fullmatch(r"[0-9a-fA-F]{16,}", v):
         return len(set(v)) > 4 and not ABOUT.search(key)
     segments = [x for x in re.split(r"[^A-Za-z0-9]+", v) if x]
+    if re.fullmatch("[A-Za-z_]+", v) and KEY.search(v):  # the name of a credential
+        return False
     if re.fullmatch(r"[A-Z][a-z]*(?:-[A-Z][a-z]*)+", v) or re.fullmatch(r"\d+", v):
         return False
     rest, plain = 0, 0
