@@ -21,7 +21,8 @@ from pyspark.sql.window import Window as W
 
 from tessel.llm.common import cut
 
-WORD = r"[^\W\d_]+(?:['’][^\W\d_]+)?"
+#: A word that starts with no lower-case Latin letter.
+WORD = r"[^\W\d_a-zß-öø-ÿ][^\W\d_]*(?:['’][^\W\d_]+)?"
 # Particles inside surnames.
 PARTICLE = r"(?:(?:von|van|de|del|di|da|du|la|le|der|den|dos|zu|VON|VAN|DE|DEL|DI|DA|DU|LA|LE|DER|DEN|DOS|ZU|Von|Van|De|Der) )"
 NAME = re.compile(rf"(?<![\w@.+/＠-])(?=({PARTICLE}{{0,2}}{WORD}(?:-{WORD})?)(,? )({PARTICLE}{{0,2}}{WORD}(?:-{WORD})?)(?![\w@＠/+]|\.\w|-\w))")
@@ -31,6 +32,7 @@ MAIL = re.compile(
     rf"(?<![\w.+/＠@-])(?:{LOCAL}(?:\s?[@＠]\s?|&#64;|&commat;|%40|\s?[\[({{<]\s?(?:at|AT|At|arroba|@)\s?[\])}}>]\s?)(?:{LABEL}{DOT})+{TLD}"
     rf"|{LOCAL}\s(?:at|AT|arroba)\s(?:{LABEL}\s(?:dot|DOT|punto|point|punkt)\s)+{TLD})(?![\w@])"
 )
+MAIL_SIGN = re.compile(r"[@＠]|&#64;|&commat;|%40|[\[({<]\s?(?:at|AT|At|arroba)\b|\s(?:dot|DOT|punto|point|punkt)\s")
 PHONE = re.compile(r"(?<![\w.:/#-])(?:\+|\(\+?|)\d[\d ()./-]{5,}\d(?: ?(?:ext\.?|x|Durchwahl|poste) ?\d{1,5})?(?![\w-])")
 NUMBER_ID = re.compile(r"(?<![\w.:/#-])(?:[A-Z]{1,2} ?\d[\dA-Z -]{5,}[\dA-Z]|\d{2}[A-Z]{2}\d{5}|\d{7,8}-?[A-Z]|\d{1,2}\.\d{3}\.\d{3}-?[A-Z]|[XYZ]-\d{7}-?[A-Z]|\d(?:[ -]?\d){7,14}|\d{3}-\d{2}-\d{4})(?![\w-]|\.\d)")
 DATE = re.compile(r"\d{4}-\d\d-\d\d\b|\d\d?\.\d\d?\.\d{4}\b|\d+(?:\.\d+){3}$")
@@ -80,7 +82,7 @@ def overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
 def candidates_of(doc_id: int, text: str) -> Iterator[tuple]:
     taken: list[tuple[int, int]] = []
     mails = []
-    for m in MAIL.finditer(text):
+    for m in MAIL.finditer(text) if MAIL_SIGN.search(text) else ():
         local = re.split(r"[\s@＠\[({<&%]", m.group(), maxsplit=1)[0]
         if (local.lower() in ("git", "hg", "svn") and text[m.end() : m.end() + 1] in (":", "/")) or text[: m.start()].endswith("://") or text[m.end() : m.end() + 1] == ":" and re.match(r":[\w./-]+\.git", text[m.end() :]):
             taken.append(m.span())
