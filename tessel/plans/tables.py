@@ -470,3 +470,34 @@ def v7_identity(spark, d):
 def q1_pricing(spark, d):
     line = table(spark, d, "lineitem").where("l_shipdate <= timestamp_ntz '1998-09-02'")
     return line.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.sum("l_extendedprice").alias("sum_base"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("sum_disc"), F.avg("l_quantity").alias("avg_qty"), F.count(F.lit(1)).alias("n"))
+
+
+@query("select doc_id, count(*) as lines, count(*) filter (trim(line, ' ' || chr(9) || chr(13)) = '') as blank, max(length(line))::int as longest from (select doc_id, unnest(string_split(text, chr(10))) as line from documents where text is not null) group by all")
+def u9_prose_lines(spark, d):
+    line = table(spark, d, "documents").where("text is not null").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return line.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.regexp_replace("line", r"^[ \t\r]+|[ \t\r]+$", "") == "").alias("blank"), F.max(F.length("line")).alias("longest"))
+
+
+@query(_PAIRS.replace("with d", "with recursive d", 1) + f", e as (select a, b from q where jaccard >= 0.15 union select b, a from q where jaccard >= 0.15), reach(a, b) as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a), c as (select a as node, least(a, min(b)) as root from reach group by a), r as (select distinct repository_id, coalesce(root, repository_id) as root from corpus left join c on node = repository_id), u as (select *, {u_sql(chr(39) + '20261009' + chr(39), chr(39) + 'repo_split' + chr(39), 'root')} as u from r) select repository_id, root, case when u < 0.1 then 'validation' when u < 0.2 then 'test' else 'train' end as split from u")
+def g3_group_split(spark, d):
+    """Splits of whole groups of similar repositories, by the hash of the group's smallest member."""
+    c = g1_components(spark, d).select(F.col("node").alias("repository_id"), "root")
+    r = table(spark, d, "corpus").select("repository_id").distinct().join(c, "repository_id", "left").select("repository_id", F.coalesce("root", "repository_id").alias("root"))
+    return r.withColumn("split", O.hash_split(F.col("root"), "20261009", "repo_split", [("validation", 0.1), ("test", 0.1)], "train"))
+
+
+@query("with n as (select doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) as t from documents where text is not null), g as (select t, min(doc_id) as root, count(*) as n from n where length(t) >= 40 group by t having count(*) > 1) select doc_id, 'grp_' || substr(sha256(root::varchar), 1, 10) as grp, g.n as members from n join g using (t)")
+def g4_same_text_groups(spark, d):
+    """Texts of at least 40 characters that are equal after normalisation, with the id of their group."""
+    t = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    n = table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(t, 256).alias("t"), F.length(t).alias("k")).where("k >= 40")
+    g = n.groupBy("t").agg(F.min("doc_id").alias("root"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    return n.join(g, "t").select("doc_id", F.concat(F.lit("grp_"), F.substring(F.sha2(F.col("root").cast("string"), 256), 1, 10)).alias("grp"), "members")
+
+
+@query()
+def x13_compact_signatures(spark, d):
+    """Method signatures of C# files in their compact form."""
+    rx = r"(?m)^[ \t]+(?:public|private|internal|protected)[ \t]+(?:static[ \t]+|async[ \t]+|override[ \t]+)*([\w<>,.?\[\] ]+ \w+\([^()\n]*\))"
+    s = files(spark, d, "language", "content").where("language = 'csharp'").select("file_id", F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit(rx), 1))).alias("s"))
+    return s.select("file_id", X.compact_signature(F.col("s")).alias("signature"))
