@@ -139,6 +139,16 @@ with recursive ties as (
 ), edges as (select distinct a.node as a, b.node as b from ties a join ties b on a.k = b.k and a.node <> b.node),
 reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a)
 select a as repo_id, least(a, min(b)) as root_repo_id from reach where a <> b group by a""",
+    "p4_found": r"""
+with j as (select repo_id, min(split) as split from jobs group by 1),
+s as (select repo_id, case when split = 'train' then 0 when split in ('validation', 'test') then 1 end as side from j),
+f as (select distinct file_id, side, regexp_extract_all(content, '[A-Za-z_][A-Za-z0-9_]*|[0-9]+|[^\sA-Za-z0-9_]') as t from corpus join s on repo_id = repository_id where side is not null and content is not null),
+g as (select distinct file_id, side, array_to_string(t[i:i+4], chr(31)) as k from (select file_id, side, t, unnest(range(1, len(t) - 3)) as i from f where len(t) >= 10)),
+n as (select file_id, count(*) as n from g group by 1),
+p as (select a.file_id as a, b.file_id as b, count(*) as m from g a join g b on a.k = b.k and a.side = 0 and b.side = 1 group by all),
+q as (select distinct sample_id, side, regexp_replace(lower(target_text), '[^a-z0-9]+', '', 'g') as t from samples join s on repo_id = repository_id where side is not null and length(target_text) >= 60)
+select 'file' as scope, least(a::varchar, b::varchar) as key_a, greatest(a::varchar, b::varchar) as key_b from p join n x on x.file_id = a join n y on y.file_id = b where m >= 0.8 * (x.n + y.n - m)
+union select 'sample', least(a.sample_id, b.sample_id), greatest(a.sample_id, b.sample_id) from q a join q b on a.side = 0 and b.side = 1 and abs(length(a.t) - length(b.t)) <= 3 and levenshtein(a.t, b.t) <= 3""",
     "p7_found": rf"""
 with j as (select repo_id, min({_OWNER}) as owner, min(priority) as priority from jobs group by 1),
 s as (select distinct sample_id, repository_id from samples)
