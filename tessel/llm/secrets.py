@@ -23,7 +23,7 @@ RESIDUE = 6
 
 # Parts of names that hold credentials, and of names that hold something about them.
 KEY = re.compile(r"pass(?:word|wd|phrase|code)?(?![a-z])|(?:password|passwd)|pwd|secret|token|credential|api[_-]?key|access[_-]?key|(?:billing|maps|private|signing|encryption|service|account|storage|master|license|auth|client|shared|session)[_-]?key|(?<![a-z])key(?![a-z])|(?<=[a-z])Key(?:Id)?(?![a-z])|[a-z]key(?=\d*$|_)|(?<![a-z])auth(?:orization|token)?(?![a-z])|bearer|(?<![a-z])(?:dsn|pat|jwt)(?![a-z])", re.I)
-ABOUT = re.compile(r"(?:file|path|name|header|hash|digest|sha\d*|checksum|commit|revision|fingerprint|integrity|etag|public|url|uri|endpoint|prefix|suffix|label|length|count|ttl|expiry|type|field|column|regex|pattern|param)s?(?:[_\d-]*)$|^(?:hash|sha\d*|commit|revision|public|digest|integrity|checksum)|ed25519_pub|(?:^|[_-])(?:hash|digest|sha|commit|revision|public)(?:[_-]|$)", re.I)
+ABOUT = re.compile(r"(?:file|path|name|header|hash|digest|sha\d*|checksum|commit|revision|fingerprint|integrity|etag|public|url|uri|endpoint|prefix|suffix|label|length|count|ttl|expiry|type|field|column|regex|pattern|param)s?(?:[_\d-]*)$|^(?:hash|sha\d*|commit|revision|public|digest|integrity|checksum)(?![a-z])|ed25519_pub|(?:^|[_-])(?:hash|digest|sha|commit|revision|public)(?:[_-]|$)", re.I)
 PLACEHOLDER = re.compile(r"^[<\[{$%@#]|\$\{|\{\{|\}\}|<[^>]*>|x{4,}|\*{3,}|\.{3}|(?:change[-_ ]?me|your[-_ ]|example|insert|placeholder|dummy|redacted|replace|todo|secret[-_]?here|not[-_ ]?set|undefined|null|none)|^(?:vault|env|secret|arn|file|ref|kms|ssm|keyvault)[:(/]|^https?://[^:@]*$|^(.)\1*$", re.I)
 GUID = re.compile(r"\{?[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}\}?", re.I)
 DIGEST = re.compile(r"(?:sha(?:1|224|256|384|512)|md5)[-:=]", re.I)
@@ -32,7 +32,7 @@ PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(?:\\r|\
 JOINED = r"(?:[\"'`][ \t]*(?:\+|\\|\.)?[ \t]*\\?\r?\n[ \t]*(?:\+[ \t]*)?[\"'`]([^\"'`\n]*))?"
 ASSIGNED = re.compile(r"(?<![\w.-])([A-Za-z_][\w.-]*+)[\"'`]?\]?\s*(?::=|=>|[=:])\s*[@$frbu]{0,2}([\"'`])([^\"'`\n]{6,}|[^\"'`\n]{3,}(?=[\"'`][ \t]*[+\\]))" + JOINED)
 BARE = re.compile(r"^[ \t-]*([A-Za-z_][\w.-]*)[ \t]*[:=][ \t]+([^\s\"'#&*!|>{\[][^\s#]{6,})[ \t]*(?:#.*)?\r?$", re.M)
-PART = re.compile(r"(?<![\w])([A-Za-z_]*(?:password|passwd|pwd|secret|token|api_?key|access_?key))=([^\s;\"'`&,)]{6,})", re.I)
+PART = re.compile(r"(?<![\w])([A-Za-z_]*(?:password|passwd|pwd|secret|token|key|signature|sig))=([^\s;\"'`&,)]{6,})", re.I)
 URL = re.compile(r"\b[a-z][a-z0-9+.-]*://([^\s:/@\"'`]*):([^\s\"'`/@]{4,}(?:@[^\s\"'`/@]+)*)@(?=[\w.-]+)", re.I)
 HEADER = re.compile(r"\b(bearer|basic)[ \t]+([A-Za-z0-9+/_=.!?#$*~-]{8,})", re.I)
 NOTED = re.compile(r"(?<![A-Za-z_])(?=[A-Za-z_])([A-Za-z_]*(?:password|passwd|passphrase|secret|token|key|keyid|credential|pwd))(?:[ \t]+(?:is|was|=))?[ \t:]+[\"'`]?(?=([^\s\"'`,;)]{8,}))", re.I)
