@@ -35,7 +35,7 @@ MAIL = re.compile(
 MAIL_SIGN = re.compile(r"[@＠]|&#64;|&commat;|%40|[\[({<]\s?(?:at|AT|At|arroba)\b|\s(?:dot|DOT|punto|point|punkt)\s")
 PHONE = re.compile(r"(?<![\w.:/#-])(?:\+|\(\+?|)\d[\d ()./-]{5,}\d(?: ?(?:ext\.?|x|Durchwahl|poste) ?\d{1,5})?(?![\w-])")
 NUMBER_ID = re.compile(r"(?<![\w.:/#-])(?:[A-Z]{1,2} ?\d[\dA-Z -]{5,}[\dA-Z]|\d{2}[A-Z]{2}\d{5}|\d{7,8}-?[A-Z]|\d{1,2}\.\d{3}\.\d{3}-?[A-Z]|[XYZ]-\d{7}-?[A-Z]|\d(?:[ -]?\d){7,14}|\d{3}-\d{2}-\d{4})(?![\w-]|\.\d)")
-DATE = re.compile(r"\d{4}-\d\d-\d\d\b|\d\d?\.\d\d?\.\d{4}\b|\d+(?:\.\d+){3}$")
+DATE = re.compile(r"\d{4}-\d\d-\d\d\b|\d\d?\.\d\d?\.\d{4}\b|^\d+(?:\.\d+){3}$")
 # Words (or their starts) that label identity numbers in the languages of the texts.
 ID_LABEL = re.compile(r"passp|pasap|reisepass|ausweis|steuer|^tax|^nif\b|^nie\b|^dni\b|^nir\b|^ssn\b|social|insurance|versicher|fiscal|identit|identidad|cédula")
 STREET = r"(?:Street|St\.?|Road|Rd\.?|Avenue|Ave\.?|Lane|Ln\.?|Drive|Dr\.?|Court|Ct\.?|Close|Square|Terrace|Place|Boulevard|Blvd\.?|Way|Crescent|Row|Parade|Gardens|Grove|Hill|Mews|Walk)"
@@ -65,7 +65,7 @@ def context(left: str) -> str:
     w = [x for x in w if x][-1]
     if w[0].isupper() and w[-1] in ",;" and len(w) > 2:
         return "X" + w[-1]
-    return re.sub(r"\d", "0", w.lower())[-24:]
+    return re.sub(r"\d", "0", w.lower())[-40:]
 
 
 def is_word(w: str) -> bool:
