@@ -1,8 +1,8 @@
 """Credentials in source code and configuration.
 
 Literals that stand where a credential is assigned, passed, sent or noted are segmented into dictionary words by Viterbi;
-what stays unexplained decides. The dictionary holds the words of the corpus itself, counted over all files. Placeholders,
-references, names, public keys, digests, GUIDs and revision hashes are excluded.
+what stays unexplained decides. The dictionary holds the words of the corpus itself, counted once per distinct content and
+without the literals under test. Placeholders, references, names, public keys, digests, GUIDs and revision hashes are excluded.
 """
 
 from __future__ import annotations
@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The dictionary: words of at least four letters in at least so many files, and its greatest size (most files first).
-WORD_FILES, DICTIONARY = 3, 200_000
+#: The dictionary: words of at least four letters in at least so many distinct contents and in one of so many, and its
+#: greatest size (most contents first).
+WORD_FILES, ONE_IN, DICTIONARY = 3, 2_500, 200_000
 #: Unexplained characters that make a value a secret.
 RESIDUE = 6
 
@@ -46,24 +47,61 @@ def words_of(text: str) -> set[str]:
     return {w.lower() for w in re.findall(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}(?![a-z])", text) if len(w) > 3}
 
 
+def own_words(text: str, config: bool) -> set[str]:
+    """The words of a text outside the literals that are under test as credentials: these must not explain themselves."""
+    at, parts = 0, []
+    spans = [m.span() for m in PEM.finditer(text)] if "PRIVATE KEY" in text else []
+    for _, start, end, more in candidates(text, config):
+        spans += [(start, end), more] if more else [(start, end)]
+    for a, z in sorted(spans):
+        parts.append(text[at:a])
+        at = max(at, z)
+    return words_of(" ".join([*parts, text[at:]]))
+
+
+def content_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, config, content) -> (hash, words): once per content within the task."""
+    schema = pa.schema([("hash", pa.int64()), ("words", pa.string())])
+    seen: set[int] = set()
+    for b in batches:
+        rows = []
+        for h, c, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            if h not in seen:
+                seen.add(h)
+                rows.append((h, " ".join(sorted(own_words(t, c)))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(content) -> (word, files), added up within the task and given out when many."""
+    """(hash, words), all rows of a hash in one task -> (word, files), each content counted once and added up within the
+    task, given out when many. The number of contents comes as the word ''."""
     schema = pa.schema([("word", pa.string()), ("files", pa.int64())])
     total: Counter = Counter()
+    seen: set[int] = set()
     for b in batches:
-        for t in b.column(0).to_pylist():
-            total.update(words_of(t))
+        for h, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if h not in seen:
+                seen.add(h)
+                total.update(w.split())
+                total[""] += 1
         if len(total) > 400_000:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], schema=schema)
             total.clear()
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], schema=schema)
 
 
-def dictionary(corpus: DataFrame, files: int = WORD_FILES, size: int = DICTIONARY) -> frozenset[str]:
-    """The words of the corpus that are in ``files`` files or more: the ``size`` most frequent at most, ties by word."""
-    counts = corpus.where("content is not null").select("content").mapInArrow(count_words, "word string, files bigint").groupBy("word").agg(F.sum("files").alias("files"))
-    top = counts.where((F.col("files") >= files) & (F.length("word") <= 24)).orderBy(F.desc("files"), "word").limit(size)
-    return frozenset(r[0] for r in top.collect())
+def is_config() -> Column:
+    return F.lower(F.coalesce("relative_path", F.lit(""))).rlike(r"\.(ya?ml|toml|ini|env|cfg|conf|properties)$").alias("config")
+
+
+def dictionary(corpus: DataFrame, files: int = WORD_FILES, one_in: int = ONE_IN, size: int = DICTIONARY) -> frozenset[str]:
+    """The words of the corpus that are in ``files`` distinct contents or more, and in one of ``one_in`` of them: the
+    ``size`` most frequent at most, ties by word."""
+    each = corpus.where("content is not null").select(F.xxhash64("content").alias("hash"), is_config(), "content").mapInArrow(content_words, "hash bigint, words string")
+    counts = each.repartition("hash").mapInArrow(count_words, "word string, files bigint").groupBy("word").agg(F.sum("files").alias("files"))
+    top = counts.where((F.col("files") >= files) & (F.length("word") <= 24)).orderBy(F.desc("files"), "word").limit(size + 1).collect()
+    least = max([files, *(-(-r.files // one_in) for r in top if not r.word)])
+    return frozenset([r.word for r in top if r.word and r.files >= least][:size])
 
 
 def unexplained(segment: str, words: frozenset[str] | set[str]) -> int:
@@ -135,14 +173,9 @@ def hot_lines(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def places(text: str, config: bool, words: frozenset[str]) -> list[tuple[int, int]]:
-    """The (start, end) of the secrets of a text, without overlaps; ``config``: bare values after a colon count too."""
-    found: list[tuple[int, int]] = [m.span() for m in PEM.finditer(text)] if "PRIVATE KEY" in text else []
-
-    def test(key: str, start: int, value: str, more: str = "") -> None:
-        if not any(a <= start < b for a, b in found) and is_secret(value + more, key, words):
-            found.append((start, start + len(value)))
-
+def candidates(text: str, config: bool) -> Iterator[tuple[str, int, int, tuple[int, int] | None]]:
+    """(key, start, end, span of the rest on the next line) of the literals that stand where a credential does;
+    ``config``: bare values after a colon count too."""
     for a, end, after in hot_lines(text):
         line = text[a:end]
         quoted = '"' in line or "'" in line or "`" in line
@@ -156,28 +189,36 @@ def places(text: str, config: bool, words: frozenset[str]) -> list[tuple[int, in
                     break
                 key, value = m.group(1), m.group(3)
                 if KEY.search(key) and not ABOUT.search(key) and not URL.search(value) and not re.match(r"(?i)bearer |basic ", value) and not PART.search(value):
-                    test(key, a + m.start(3), value, m.group(4) or "")
+                    yield key, a + m.start(3), a + m.end(3), (a + m.start(4), a + m.end(4)) if m.group(4) else None
             if "(" in line:
                 for m in CALLED.finditer(line):
-                    test("password", a + m.start(3), m.group(3))
+                    yield "password", a + m.start(3), a + m.end(3), None
         if config:
             for m in BARE.finditer(line):
                 if KEY.search(m.group(1)) and not ABOUT.search(m.group(1)) and not URL.search(m.group(2)):
-                    test(m.group(1), a + m.start(2), m.group(2))
+                    yield m.group(1), a + m.start(2), a + m.end(2), None
         if url:
             for m in URL.finditer(line):
-                test("password", a + m.start(2), m.group(2))
+                yield "password", a + m.start(2), a + m.end(2), None
         if "=" in line:
             for m in PART.finditer(line):
-                test(m.group(1), a + m.start(2), m.group(2))
+                yield m.group(1), a + m.start(2), a + m.end(2), None
         for m in HEADER.finditer(line):
-            test("bearer", a + m.start(2), m.group(2))
+            yield "bearer", a + m.start(2), a + m.end(2), None
         for m in BY_FORM.finditer(line):
             if not re.search(r"(?i)x{4,}|(.)\1{5,}", m.group(1)):
-                test("token", a + m.start(1), m.group(1))
+                yield "token", a + m.start(1), a + m.end(1), None
         if note:
             for m in NOTED.finditer(line, note.start()):
-                test(m.group(1), a + m.start(2), m.group(2))
+                yield m.group(1), a + m.start(2), a + m.end(2), None
+
+
+def places(text: str, config: bool, words: frozenset[str]) -> list[tuple[int, int]]:
+    """The (start, end) of the secrets of a text, without overlaps; ``config``: bare values after a colon count too."""
+    found: list[tuple[int, int]] = [m.span() for m in PEM.finditer(text)] if "PRIVATE KEY" in text else []
+    for key, start, end, more in candidates(text, config):
+        if not any(a <= start < b for a, b in found) and is_secret(text[start:end] + (text[more[0] : more[1]] if more else ""), key, words):
+            found.append((start, end))
     return sorted(set(found))
 
 
@@ -201,7 +242,7 @@ def find(corpus: DataFrame, samples: DataFrame) -> DataFrame:
     repeated rows give each place once. A value cut off by a context's end counts if what stands there is enough.
     """
     words = corpus.sparkSession.sparkContext.broadcast(dictionary(corpus))
-    config = F.lower(F.coalesce("relative_path", F.lit(""))).rlike(r"\.(ya?ml|toml|ini|env|cfg|conf|properties)$").alias("config")
+    config = is_config()
     out = "row_key string, line_no int, start int, end int"
     a = corpus.where("file_id is not null and content is not null").select(F.col("file_id").cast("string"), config, "content").mapInArrow(searcher(words), out)
     b = samples.where("sample_id is not null and left_context is not null").select("sample_id", config, "left_context").mapInArrow(searcher(words), out)

@@ -243,6 +243,19 @@ def test_secrets_found_and_redacted(spark):
     assert red == {"1": text.replace("D5gmx0JOCFI2pC?", "REDACTED"), "2": None, "3": ""}
 
 
+@pytest.mark.parametrize("own", [False, True])
+def test_copies_do_not_explain_their_secrets(spark, own):
+    text = 'x = 1\npassword = "pimprir-jongrar-skimun-17r"\n'
+    rows = [(i, "r", f"{i}.py", None, text + (f"y = {i}\n" if own else "")) for i in range(9)]  # copies, with own lines or without
+    rows += [(90 + i, "r", f"t{i}.py", None, f"snapshot = batch({i})\n") for i in range(4)] + [(99, "r", "s.py", None, 'token = "snapshot-batch-50365"\n')]
+    c = spark.createDataFrame(rows, CORPUS)
+    words = secrets.dictionary(c)
+    assert "pimprir" not in words and {"snapshot", "batch"} <= words
+    s = spark.createDataFrame([("s", "0.py", text)], "sample_id string, relative_path string, left_context string")
+    assert {(r.scope, r.row_key) for r in secrets.find(c, s).collect()} == {("corpus", str(i)) for i in range(9)} | {("samples", "s")}
+    assert not secrets.dictionary(c, one_in=1)  # a word must be in its share of the contents
+
+
 # --- 6
 
 
