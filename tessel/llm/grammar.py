@@ -195,7 +195,12 @@ def permissible() -> list[tuple[str, str]]:
     return sorted({(lang, a + b) for lang, rows in FOLLOW.items() for a, bs in rows.items() for b in bs})
 
 
+#: Classes that only productions tell apart, as pairs know them.
+PLAIN = str.maketrans("123456", "kkwujk")
+
+
 def pairs(cs: str) -> set[str]:
+    cs = cs.translate(PLAIN)
     return {a + b for a, b in zip("^" + cs, cs + "$", strict=True)}
 
 
@@ -261,12 +266,75 @@ NEVER = {
 }
 
 
+#: What no body of the language has, brackets within it being reduced: () \x01, [] \x02, {} \x03, and {} that hold neither
+#: ; nor a last block \x04. C#: try without handlers, a handler without try; a statement without ; at the end of the body,
+#: after return, break or continue, in the block of a statement or method, and before another name.
+TRY = {"csharp": re.compile(r"1[\x03\x04](?:v\x01?(?:q\x01)?[\x03\x04])*(?:3[\x03\x04])?"), "javascript": re.compile(r"(?<!\.)1\x03(?:v[\x01]?\x03)?(?:3\x03)?")}
+BODY = {
+    "csharp": re.compile(r"4[^;]*$|5(?!;)|(?:[2k]\x01|[13w]|v\x01?)\x04|(?:^|[;\x03])\x02*k[kqi<>.,?\x02]*i\x01\x04|;(?:.*[^;\x03\x04])$"),
+    "go": re.compile(r"[26][^\x03]*$|2[^;\x03F]*;[^;\x03F]*;|6[^;\x03F]*;[^;\x03F]*\x03"),
+    "javascript": re.compile(r"(?:^|[;\x03])i(?:\.i)*\x01i"),
+}
+CALLS = BODY["javascript"]
+#: JavaScript: what stands in no body of a class or object, where methods may be named catch; and handlers without try.
+STATEMENT = re.compile(r"(?:^|[;\x03])(?:k[iq\x02\x03]|i(?:\.[a-z0-9])*\x01;|i(?:\.[a-z0-9])+a|u[iqns])")
+HANDLER = re.compile(r"(?<!\.)(?:3\x03|v\x03)"), re.compile(r"\x03v\x01\x03")
+
+
+def bodies(cs: str) -> list[str]:
+    """What each pair of braces holds, brackets within it reduced; the whole file comes last."""
+    out: list[str] = []
+
+    def body(m: re.Match) -> str:
+        s = m.group()[1:-1]
+        out.append(s)
+        return "\x03" if not s or ";" in s or s[-1] in "\x03\x04" else "\x04"
+
+    while True:
+        less = CURLY.sub(body, SQUARE.sub("\x02", ROUND.sub("\x01", cs)))
+        if less == cs:
+            return [*out, cs]
+        cs = less
+
+
+def else_without_if(s: str) -> bool:
+    """Whether a body has more else than if before it."""
+    n = 0
+    for m in re.finditer(r"(?<!\.)2(?!:)|(?:^|(?<=[;\x03\x04]))w(?![:\x01,=])", s):
+        n += 1 if m.group() == "2" else -1
+        if n < 0:
+            return True
+    return False
+
+
+def statements(language: str, cs: str) -> bool:
+    """Whether the statements of C#, Go and JavaScript are whole, as far as ``BODY`` and ``TRY`` tell."""
+    levels = bodies(cs)
+    for s in levels:
+        if language != "csharp":
+            s = s.replace("\x04", "\x03")
+        if "w" in s and else_without_if(s) or BODY[language].search(s):
+            return False
+        if language == "csharp" and (re.search("[v3]", TRY["csharp"].sub(lambda m: m.group() if m.end() - m.start() == 2 else "\x03", s)) or ";" in s and CALLS.search(s)):
+            return False
+        if language == "javascript" and ("v" in s or "3" in s):
+            rest = TRY["javascript"].sub(lambda m: m.group() if m.end() - m.start() == 2 else "\x03;", s)
+            if HANDLER[0].search(rest) or HANDLER[1].search(rest) and STATEMENT.search(rest):
+                return False
+        if language != "go" and "1" in s and any(m.end() - m.start() == 2 for m in TRY[language].finditer(s)):
+            return False
+    return language != "go" or not re.search("(?:^|;)[^;kF]", levels[-1])  # only declarations stand outside
+
+
 def productions(language: str, cs: str) -> bool:
     """Whether the class string, whose brackets match, satisfies the productions of its language."""
     if language == "python":
         return python_productions(cs)
     if language == "json":
         return json_productions(cs)
+    if not statements(language, cs):
+        return False
+    cs = cs.translate(PLAIN)
     if language == "go":
         return bool(re.match(r";*ki;", cs))  # a package clause comes first
     return not NEVER[language].search(cs) and not (language == "csharp" and "a{" in cs and NEVER[language].search(flat(cs)))

@@ -7,6 +7,7 @@ i name   q word that is also a name   n number   s string or character   k word
 o word used as a binary operator   u word used as a prefix operator   w v j m f g l r A C E F K L M S T Y words with followers of their own
 p + -   d * &   h ^   b other binary operator   r <= >=   a assignment   x prefix ! ~   X postfix !   y ++ --   t arrow   D .. ... /
 < > . , ; : ? ( ) [ ] { } themselves   N end of a line that counts   I O deeper and shallower indentation   e malformed token
+1 try   2 if   3 finally   4 return   5 break, continue   6 for: known to the productions of C#, Go and JavaScript; to pairs they are k, k, w, u, j, k
 """
 
 from __future__ import annotations
@@ -18,29 +19,39 @@ from collections.abc import Callable
 CSHARP = {
     "L": "class",
     "S": "switch",
-    "k": "abstract const delegate do enum event explicit extern fixed for foreach if implicit interface internal lock namespace override private protected public readonly sealed static struct try unsafe using virtual volatile while",
+    "k": "abstract const delegate do enum event explicit extern fixed for foreach implicit interface internal lock namespace override private protected public readonly sealed static struct unsafe using virtual volatile while",
     "o": "as is operator",
-    "u": "await new throw return out ref in params case",
-    "w": "else finally",
+    "u": "await new throw out ref in params case",
+    "w": "else",
+    "1": "try",
+    "2": "if",
+    "3": "finally",
+    "4": "return",
+    "5": "break continue",
     "v": "catch",
     "q": "add alias and ascending async by descending equals field file from get global group init into join let managed nameof not notnull on or orderby partial record remove required scoped select set unmanaged var when where with yield",
-    "j": "break continue goto default",
+    "j": "goto default",
     "i": "base bool byte char checked decimal double false float int long null object sbyte short sizeof stackalloc string this true typeof uint ulong unchecked ushort void",
 }
 GO = {
-    "k": "const for func go if import interface map package select struct switch type var defer chan",
+    "k": "const func go import interface map package select struct switch type var defer chan",
     "u": "case goto",
     "w": "else",
+    "2": "if",
+    "6": "for",
     "r": "range",
     "j": "break continue fallthrough default return",
 }
 JS = {
     "L": "class",
-    "k": "const do enum for function if import switch try var while with",
+    "k": "const do enum for function import switch var while with",
     "o": "instanceof in",
     "u": "await new throw return typeof void delete case yield",
     "q": "as async from get let of set static",
-    "w": "else finally",
+    "w": "else",
+    "1": "try",
+    "2": "if",
+    "3": "finally",
     "v": "catch",
     "E": "extends",
     "j": "break continue debugger default",

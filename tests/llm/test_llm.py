@@ -120,6 +120,26 @@ def test_broken_files_fail():
     assert fails("json", '{"a": 1,}') and fails("json", "{a: 1}") and fails("json", '{"a": 1} {}') and fails("json", "") and fails("go", "")
 
 
+WHOLE = {
+    "cs": ["class A { int F() { if (a) if (b) G(); else H(); else { } try { G(); } catch { throw; } catch (E e) when (e.N == 1) { } finally { } do { break; } while (x); return G(); } }", "class A { int P { get { return 1; } } int[] a = new List<int>() { F(), 2 }; void F() { var y = x switch { P(0, 0) p => 1, P(1, 1) { Z: 2 } => 3, _ => 4 }; while (a) { } } enum E { A, B } }", "class A { A() : base(1) { F(() => { return 1; }); for (;;) { continue; } } }"],
+    "go": ["package a\n\nvar f = func() int { return 1 }\n\nfunc F() {\n\tif x := G(); x > 0 {\n\t} else if y {\n\t} else {\n\t}\n\tfor i := 0; i < 3; i++ {\n\t}\n\tfor range c {\n\t}\n\tfor {\n\t}\n}\n"],
+    "js": ["class P { catch(f) { return this.then(f) } if() { } else() { } }\np.try().catch(e => { f() }).finally(g)\nif (a) b(); else c()\ntry { a() } catch { b() }\ntry { a() } finally { b() }\nif (a) { } else if (b) { } else { }\nif (a) f()\n"],
+}
+CUT = {
+    "cs": ["int F() { return G() }", "void F() { A()\n B(); }", "void F() { A(); B() }", "void F() { try { A(); } B(); }", "void F() { A(); catch (E e) { B(); } }", "void F() { A(); finally { B(); } }", "void F() { A(); else { B(); } }", "void F() { if (a) { } else { } else { } }", "public void F() { A() }", "void F() { if (a) { A() } }", "void F() { while (a) { break } }"],
+    "go": ["func F() {\n\tx := 1\n\tif x > 0\n}\n", "func F() {\n\tfor i := 0; i < 3 {\n\t}\n}\n", "func F() {\n\tif a := 1; a > 0; a++ {\n\t}\n}\n", "x := 1\n"],
+    "js": ["try { a() }\nb()\n", "if (a) { } else { } else { }\n", "function f() { a(); else { b() } }\n", "x()\nf(1) g(2)\n", "function f() { const x = 1; { a() } catch (e) { b() } }\n", "{ a() } finally { b() }\n"],
+}
+
+
+@pytest.mark.parametrize("ext", CUT)
+def test_statements_are_whole(ext):
+    for text in WHOLE[ext]:
+        assert not fails(ext, text), text
+    for text in CUT[ext]:
+        assert fails(ext, {"cs": f"class A {{ {text} }}", "go": "package a\n\n" + text, "js": text}[ext]), text
+
+
 def test_python_and_json_agree_with_their_parsers():
     rnd = random.Random(7)
     for _ in range(150):
