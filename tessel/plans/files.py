@@ -279,13 +279,17 @@ def d2_boilerplate(spark, d):
 
 @query(f"select sample_id, case when f.file_id is null then 'no_file' when substr(f.content, s.caret_utf16_offset + 1, length(s.target_text)) <> s.target_text then 'text_mismatch' else 'ok' end as status from (select distinct sample_id, repository_id, relative_path, source_sha256, caret_utf16_offset, target_text from samples) s left join (select repository_id, relative_path, sha256, min(file_id) as file_id, min(content) as content from {FILES} where not regexp_matches(content, '[\\x{{10000}}-\\x{{10FFFF}}]') group by all) f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256")
 def j10_positions_with_reason(spark, d):
-    """Samples against the text of their file: no_file, text_mismatch or ok."""
-    f = files(spark, d, "repository_id", "relative_path", "sha256", "content").where(~F.col("content").rlike(r"[\x{10000}-\x{10FFFF}]"))
-    f = f.groupBy("repository_id", "relative_path", F.col("sha256").alias("source_sha256")).agg(F.min("content").alias("content"))
+    """Samples against the text of their file, by UTF-16 units: no_file, text_mismatch or ok.
+
+    The SQL leaves out files with characters beyond U+FFFF and calls their samples no_file; here they are compared.
+    """
+    f = files(spark, d, "repository_id", "relative_path", "sha256", "content")
+    f = f.groupBy("repository_id", "relative_path", F.col("sha256").alias("source_sha256")).agg(F.encode(F.min("content"), "UTF-16BE").alias("units"))
     s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", "source_sha256", "caret_utf16_offset", "target_text").distinct()
     j = s.join(f, ["repository_id", "relative_path", "source_sha256"], "left")
-    here = F.substr("content", F.col("caret_utf16_offset") + 1, F.length("target_text"))
-    return j.select("sample_id", F.when(F.col("content").isNull(), "no_file").when(here != F.col("target_text"), "text_mismatch").otherwise("ok").alias("status"))
+    target = F.encode("target_text", "UTF-16BE")
+    here = F.substr("units", (2 * F.col("caret_utf16_offset") + 1).cast("int"), F.octet_length(target))
+    return j.select("sample_id", F.when(F.col("units").isNull(), "no_file").when(here != target, "text_mismatch").otherwise("ok").alias("status"))
 
 
 @query(f"""select sample_id, '<|cs|><|path|>' || relative_path || chr(10) || '<|code|>' || chr(10) || case when length(left_context) <= 400 then left_context when position(chr(10) in substr(left_context, length(left_context) - 399)) > 0 and length(left_context) - 400 + position(chr(10) in substr(left_context, length(left_context) - 399)) < length(left_context)
