@@ -78,7 +78,7 @@ def a16_tokenizer_evaluation(spark, d):
 @query()
 def r9_encoded_files(spark, d):
     """Framed files as token ids; every file must decode to itself."""
-    f = files(spark, d, "relative_path", "language", "content").where("language in ('go', 'python')")
+    f = files(spark, d, "relative_path", "content")
     frame = F.concat(F.lit("<|path|>"), "relative_path", F.lit("\n<|code|>\n"), "content")
     e = f.select("file_id", T.encoded(frame).alias("e"))
     return e.select("file_id", F.size("e.ids").alias("n"), F.col("e.round_trip").alias("round_trip"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessel.functions import text as X
 from tessel.operators import edits as E
 from tessel.plans.files import files
-from tessel.plans.registry import FILES, query
+from tessel.plans.registry import FILES, ORACLES, query
 from tessel.session import table
 
 
@@ -93,8 +94,18 @@ def j19_redo_flags(spark, d):
 @query("select f.repository_id, f.file_id, r.n from (select distinct file_id, repository_id from corpus where language = 'go') f join (select repository_id, count(distinct file_id) as n from corpus group by all) r using (repository_id)")
 def j14_profile_join(spark, d):
     c = table(spark, d, "corpus")
-    n = c.groupBy("repository_id").agg(F.count_distinct("file_id").alias("n"))
-    return c.where("language = 'go'").select("file_id", "repository_id").distinct().join(n, "repository_id").select("repository_id", "file_id", "n")
+    return with_repository_size(c.where("language = 'go'"), c)
+
+
+def with_repository_size(f: DataFrame, corpus: DataFrame) -> DataFrame:
+    n = corpus.groupBy("repository_id").agg(F.count_distinct("file_id").alias("n"))
+    return f.select("file_id", "repository_id").distinct().join(n, "repository_id").select("repository_id", "file_id", "n")
+
+
+@query(ORACLES["j14_profile_join"].replace(" where language = 'go'", ""))
+def j14_profile_join_all(spark, d):
+    c = table(spark, d, "corpus")
+    return with_repository_size(c, c)
 
 
 @query("select repo_id, list_sort(list_filter([case when size_kb < 10 then 'tiny' end, case when size_kb > 200 then 'large' end, case when samples = 0 then 'no_samples' end, case when license is null then 'no_license' end], lambda x: x is not null)) as flags from (select repo_id, max(size_kb) as size_kb, max(samples) as samples, min(license) as license from jobs group by all)")

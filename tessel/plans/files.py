@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from tessel.functions import text as X
 from tessel.operators import core as O
-from tessel.plans.registry import FILES, SAMPLES, glob_sql, query, u_sql
+from tessel.plans.registry import FILES, ORACLES, SAMPLES, glob_sql, query, u_sql
 from tessel.session import table
 
 FILE_COLUMNS = ["file_id", "repository_id", "relative_path", "language", "sha256", "bytes", "content", "project", "is_test", "newline_style", "has_bom", "lines", "license"]
@@ -184,10 +184,19 @@ def a26_newline_style(spark, d):
 
 @query(f"with l as (select unnest(string_split(content, chr(10))) as line from {FILES} where language = 'go') select length(regexp_extract(line, '^[ \\t]*'))::int as width, count(*) as n from l group by all")
 def x6_indentation(spark, d):
-    line = files(spark, d, "language", "content").where("language = 'go'").select(F.explode(F.split("content", "\n", -1)).alias("line"))
+    return indentation_widths(files(spark, d, "language", "content").where("language = 'go'"))
+
+
+def indentation_widths(f: DataFrame) -> DataFrame:
+    line = f.select(F.explode(F.split("content", "\n", -1)).alias("line"))
     return line.groupBy(F.length(F.regexp_extract("line", r"^([ \t]*)", 1)).alias("width")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(ORACLES["x6_indentation"].replace(" where language = 'go'", ""))
+def x6_indentation_all(spark, d):
+    return indentation_widths(files(spark, d, "content"))
+
+
 @query(f"select file_id, substr(sha256(coalesce(repository_id, '') || chr(31) || coalesce(relative_path, '') || chr(31) || coalesce(project, '')), 1, 32) as id from {FILES}")
 def x2_stable_id(spark, d):
     f = files(spark, d, "repository_id", "relative_path", "project")
@@ -212,10 +221,19 @@ def d7_identifiers(spark, d):
 
 @query(f"with t as (select unnest(regexp_extract_all(content, '[A-Za-z_][A-Za-z0-9_]*|[0-9]+|[^\\sA-Za-z0-9_]')) as token from {FILES} where language = 'go') select token, count(*) as n from t group by all having count(*) >= 2")
 def a21_token_counts(spark, d):
-    t = files(spark, d, "language", "content").where("language = 'go'").select(F.explode(F.regexp_extract_all("content", F.lit(f"({X.TOKEN})"), 1)).alias("token"))
+    return token_counts(files(spark, d, "language", "content").where("language = 'go'"))
+
+
+def token_counts(f: DataFrame) -> DataFrame:
+    t = f.select(F.explode(F.regexp_extract_all("content", F.lit(f"({X.TOKEN})"), 1)).alias("token"))
     return t.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
 
 
+@query(ORACLES["a21_token_counts"].replace(" where language = 'go'", ""))
+def a21_token_counts_all(spark, d):
+    return token_counts(files(spark, d, "content"))
+
+
 _USING = r"(?m)^[ \t]*(?:global[ \t]+)?using[ \t]+(?:static[ \t]+)?(?:[A-Za-z_]\w*[ \t]*=[ \t]*)?(?:global::)?([A-Za-z_][\w.]*)[ \t]*;"
 _ROOT = "case when split_part(ns, '.', 1) = 'System' then null when split_part(ns, '.', 1) in ('Microsoft', 'Google', 'Amazon', 'Azure') then array_to_string(string_split(ns, '.')[1:2], '.') else split_part(ns, '.', 1) end"
 _ROOTS = f"u as (select distinct file_id, repository_id, unnest(regexp_extract_all(content, '{_USING}', 1)) as ns from {FILES} where language = 'csharp'), r as (select distinct repository_id, file_id, {_ROOT} as root from u where {_ROOT} is not null)"
@@ -270,13 +288,22 @@ def j20_nearest_project(spark, d):
 k as (select *, trim(line, ' ' || chr(9) || chr(13)) as t from l), b as (select *, row_number() over (partition by t order by relative_path, file_id, n) as r from k where t <> '') select count(*) filter (r = 1) as kept, count(*) filter (r > 1) as dropped, round(count(*) filter (r > 1)::double / count(*), 6) as fraction from b""")
 def d2_boilerplate(spark, d):
     """Lines that a line before (by path, file and number) already had."""
-    line = files(spark, d, "relative_path", "language", "content").where("language = 'python'").select("file_id", "relative_path", F.posexplode(F.split("content", "\n", -1)).alias("n", "line"))
+    return repeated_lines(files(spark, d, "relative_path", "language", "content").where("language = 'python'"))
+
+
+def repeated_lines(f: DataFrame) -> DataFrame:
+    line = f.select("file_id", "relative_path", F.posexplode(F.split("content", "\n", -1)).alias("n", "line"))
     t = line.withColumn("t", F.regexp_replace("line", r"^[ \t\r]+|[ \t\r]+$", "")).where("t <> ''")
     per = t.groupBy("t").agg(F.count(F.lit(1)).alias("n"))  # the first of each text stays, so counts suffice
     total = per.agg(F.count(F.lit(1)).alias("kept"), (F.sum("n") - F.count(F.lit(1))).alias("dropped"))
     return total.select("kept", "dropped", F.round(F.col("dropped") / (F.col("kept") + F.col("dropped")), 6).alias("fraction"))
 
 
+@query(ORACLES["d2_boilerplate"].replace(" where language = 'python'", ""))
+def d2_boilerplate_all(spark, d):
+    return repeated_lines(files(spark, d, "relative_path", "content"))
+
+
 @query(f"select sample_id, case when f.file_id is null then 'no_file' when substr(f.content, s.caret_utf16_offset + 1, length(s.target_text)) <> s.target_text then 'text_mismatch' else 'ok' end as status from (select distinct sample_id, repository_id, relative_path, source_sha256, caret_utf16_offset, target_text from samples) s left join (select repository_id, relative_path, sha256, min(file_id) as file_id, min(content) as content from {FILES} where not regexp_matches(content, '[\\x{{10000}}-\\x{{10FFFF}}]') group by all) f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256")
 def j10_positions_with_reason(spark, d):
     """Samples against the text of their file, by UTF-16 units: no_file, text_mismatch or ok.

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tessel.functions import text as X
 from tessel.operators import core as O
 from tessel.plans.files import files
-from tessel.plans.registry import FILES, query, u_sql
+from tessel.plans.registry import FILES, ORACLES, query, u_sql
 from tessel.session import cut, table
 from tessel.streaming import jobs as J
 
@@ -38,8 +39,17 @@ def j2_one_policy(spark, d):
 
 @query("select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey where l_quantity > 49")
 def j3_inner(spark, d):
-    line = table(spark, d, "lineitem").where("l_quantity > 49").select("l_orderkey", "l_linenumber")
-    return line.join(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderstatus")
+    return with_order_status(table(spark, d, "lineitem").where("l_quantity > 49"), table(spark, d, "orders"))
+
+
+def with_order_status(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    line = lines.select("l_orderkey", "l_linenumber")
+    return line.join(orders.select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderstatus")
+
+
+@query(ORACLES["j3_inner"].replace(" where l_quantity > 49", ""))
+def j3_inner_all(spark, d):
+    return with_order_status(table(spark, d, "lineitem"), table(spark, d, "orders"))
 
 
 @query(f"select file_id, max(parse_errors) filter (engine = 'adhoc') as adhoc, max(parse_errors) filter (engine = 'msbuild') as msbuild, max(parse_errors) filter (engine = 'speculative') as speculative from {_B} group by all")
