@@ -40,7 +40,7 @@ NOTED = re.compile(r"(?<![A-Za-z_])(?=[A-Za-z_])([A-Za-z_]*(?:password|passwd|pa
 CALLED = re.compile(r"(?:credentials?|log_?in|auth(?:enticate|orize)?|sign_?in|connect|logon|set_?password)\w*\(\s*(?:[\w.]+\s*,\s*)?[@$]?([\"'])[^\"'\n]*\1\s*,\s*[@$]?([\"'])([^\"'\n]{6,})\2", re.I)
 BY_FORM = re.compile(rf"(?<![\w/+-])({KNOWN})")
 # Without one of these, in lower case, a text can't hold a credential.
-SIGNS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://", "private", "akia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "glpat-", "xox", "aiza", "sk_live", "eyj", "dsn")
+SIGNS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://", "private", "akia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "glpat-", "xox", "aiza", "sk_live", "sk_test", "rk_live", "rk_test", "eyj", "dsn", "basic", "sig", "connect", "log_in", "logon", "pat", "jwt")
 
 
 def words_of(text: str) -> set[str]:
@@ -121,7 +121,7 @@ def unexplained(segment: str, words: frozenset[str] | set[str]) -> int:
 def is_secret(value: str, key: str, words: frozenset[str] | set[str]) -> bool:
     """Whether a value that stands under a credential's name is a live-looking secret."""
     v = value.strip()
-    if len(v) < 8 or len(v) > 4096 or PLACEHOLDER.search(v) or GUID.fullmatch(v) or DIGEST.match(v) or "-----BEGIN" in v:
+    if len(v) < 8 or PLACEHOLDER.search(v) or GUID.fullmatch(v) or DIGEST.match(v) or "-----BEGIN" in v:
         return False
     if re.fullmatch(rf"(?:{KNOWN})", v) and not re.search(r"(.)\1{5,}", v):
         return True

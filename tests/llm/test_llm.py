@@ -263,6 +263,15 @@ def test_secrets_found_and_redacted(spark):
     assert red == {"1": text.replace("D5gmx0JOCFI2pC?", "REDACTED"), "2": None, "3": ""}
 
 
+def test_every_detector_is_reached():
+    value = "D5gmx0JOCFI2pC7w"
+    lines = ['x = "sk_test_a8Kd93Kdk2"', 'x = "rk_live_a8Kd93Kdk2"', 'x = "rk_test_a8Kd93Kdk2"', f'h = "Basic {value}"', f'u = "a?sig={value}"', f'u = "a?signature={value}"', f'Connect("u", "{value}")', f'log_in("u", "{value}")', f'sign_in("u", "{value}")', f'logon("u", "{value}")', f'pat = "{value}"', f'jwt = "{value}"']
+    for line in lines:
+        assert len(secrets.places(line, False, frozenset())) == 1, line
+    long = "".join(random.Random(3).choices("abcdefghijkmnpqrstuvwyzABCDEFGHJKLMNPQRSTUVWYZ23456789", k=5000))
+    assert secrets.places(f'token = "{long}"', False, frozenset()) == [(9, 5009)]
+
+
 @pytest.mark.parametrize("own", [False, True])
 def test_copies_do_not_explain_their_secrets(spark, own):
     text = 'x = 1\npassword = "pimprir-jongrar-skimun-17r"\n'
