@@ -13,11 +13,12 @@ from tessel.llm.common import cut, label, owner, unit_hash
 def star_edges(ties: DataFrame, node: str = "node", key: str = "key") -> DataFrame:
     """Edges (a, b) from (node, key) rows: each node to the smallest node of its key. Linear in the rows, whatever the key's size.
 
-    The smallest node is pre-aggregated per key before the shuffle, and joined back; a key with a third of all rows
-    is a skewed join side that adaptive execution splits, never a group held by one task. Null nodes or keys tie nothing.
+    The smallest node is pre-aggregated per key before the shuffle, materialised and joined back: so both sides of the join
+    come straight from their exchange, and adaptive execution splits a key with a third of all rows over many tasks (it
+    would not, were the aggregate a part of the join's stage). Null nodes or keys tie nothing.
     """
     t = ties.select(F.col(node).alias("a"), F.col(key).alias("k__")).where("a is not null and k__ is not null")
-    low = t.groupBy("k__").agg(F.min("a").alias("b"))
+    low = cut(t.groupBy("k__").agg(F.min("a").alias("b")))
     return t.join(low, "k__").where("a <> b").select("a", "b").distinct()
 
 
@@ -26,14 +27,15 @@ def hash_to_min(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Hash-to-min: the relation C holds (v, u) for each member u of v's cluster. A round sends v's whole cluster to the
     minimum m(v) of it, and m(v) to every member; it ends when a round changes nothing. Each round is one aggregation
-    and one join over C, materialised in the shared folder; C is kept as rows, so no cluster is ever collected.
+    and one join over C, both materialised in the shared folder, so that the rows of a large cluster's root are a skewed
+    side that adaptive execution splits; C is kept as rows, so no cluster is ever collected.
     Nodes without an edge are not returned. Fails if ``rounds`` don't suffice (they grow with the log of the longest path).
     """
     e = edges.select(F.col(edges.columns[0]).cast("string").alias("v"), F.col(edges.columns[1]).cast("string").alias("u")).where("v is not null and u is not null")
     c = cut(e.union(e.select(F.col("u").alias("v"), F.col("v").alias("u"))).union(e.select("v", F.col("v").alias("u"))).union(e.select("u", F.col("u").alias("v"))).distinct())
     before = None
     for _ in range(rounds):
-        low = c.groupBy("v").agg(F.min("u").alias("m"))
+        low = cut(c.groupBy("v").agg(F.min("u").alias("m")))
         with_low = c.join(low, "v")
         pairs = with_low.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("p"))
         c = cut(pairs.select("p.v", "p.u").distinct())

@@ -69,13 +69,37 @@ def largest_budget(have: Mapping[str, float], target: Mapping[str, float], repea
     return min((have[s] * repeats.get(s, 1) / (t / z) for s, t in live.items()), default=0.0)
 
 
-def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, seed: int = 20261009, blocks: int = BLOCKS, fillers: int = 4) -> DataFrame:
-    """(doc_id, source, n_tokens, uses, position): how often each chosen text is used, and its place in the source's permutation.
+def plan(have: Mapping[str, float], target: Mapping[str, float], repeats: Mapping[str, float], budget: float | None = None, entropy_wanted: float | None = None) -> tuple[dict[str, float], float, float]:
+    """(weights, exponent, budget) of a mix.
+
+    With ``entropy_wanted`` the natural shares are tempered to that entropy, and the budget is cut to what the repeats
+    allow. With a ``budget`` the targets are bent towards the natural shares, by the least exponent at which no source
+    is repeated too often; a budget beyond all repeats is cut to them. Without either the targets hold exactly, and the
+    mix is as large as the scarcest source allows.
+    """
+    live = {s: t for s, t in target.items() if t > 0 and have.get(s, 0) > 0}
+    if not live:
+        return {}, 0.0, 0.0
+    if entropy_wanted is not None:
+        natural = {s: have[s] / sum(have[x] for x in live) for s in live}
+        x = exponent_for_entropy(natural, entropy_wanted)
+        w = tempered(natural, x)
+        most = min(have[s] * repeats.get(s, 1) / w[s] for s in live)
+        return w, x, min(most, budget or most)
+    if budget is None:
+        return *weights_within_repeats(have, target, repeats, 0.0), largest_budget(have, target, repeats)
+    budget = min(budget, sum(have[s] for s in live) * min(repeats.get(s, 1) for s in live))
+    return *weights_within_repeats(have, target, repeats, budget), budget
+
+
+def mix(docs: DataFrame, targets: DataFrame, part: float | None = None, budget: float | None = None, entropy_wanted: float | None = None, seed: int = 20261009, blocks: int = BLOCKS, fillers: int = 4) -> DataFrame:
+    """(doc_id, source, n_tokens, uses, position, exponent): how often each chosen text is used, its place in the source's
+    permutation, and the exponent of the mix.
 
     docs: doc_id, source, text_key, n_tokens. targets: source, target_share, max_repeats (one row per source: bounded, read
     by the driver). A text that comes under several doc_ids or sources is one text: its smallest doc_id stands for it. Texts
-    with no tokens, of a null source or of a source without target aren't used. Without ``budget`` the largest mix is made
-    that holds the targets exactly within the repeats; with it, the targets are bent as far as the repeats demand.
+    with no tokens, of a null source or of a source without target aren't used. The size is a ``budget`` in tokens
+    or a ``part`` of all distinct tokens of the sources with a target; see ``plan`` for what it and ``entropy_wanted`` do.
 
     Each source gets floor(budget / available) whole passes; the rest of its budget is the start of a permutation of hash
     blocks. Only the block in which the budget ends is ordered text by text, so no task sees more than 1/blocks of a source.
@@ -85,12 +109,11 @@ def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, seed:
     want = [(r[0], float(r[1] or 0), float(1 if r[2] is None else r[2])) for r in targets.where("source is not null").select("source", "target_share", "max_repeats").collect()]
     texts = docs.where("source is not null and text_key is not null and n_tokens > 0")
     one = texts.groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("d")).select("d.*")
-    one = cut(one.join(F.broadcast(targets.select("source").distinct()), "source", "left_semi").withColumn("at", F.xxhash64(F.lit(seed), "source", "doc_id")).withColumn("block", F.pmod(F.shiftrightunsigned("at", 20), F.lit(blocks)).cast("int")))
+    one = cut(one.join(F.broadcast(targets.where("target_share > 0").select("source").distinct()), "source", "left_semi").withColumn("at", F.xxhash64(F.lit(seed), "source", "doc_id")).withColumn("block", F.pmod(F.shiftrightunsigned("at", 20), F.lit(blocks)).cast("int")))
     per_block = cut(one.groupBy("source", "block").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("texts")))
     have = {r[0]: float(r[1]) for r in per_block.groupBy("source").agg(F.sum("tokens")).collect()}  # a row per source
     target, repeats = {s: t for s, t, _ in want}, {s: m for s, _, m in want}
-    budget = largest_budget(have, target, repeats) if budget is None else budget
-    weights, _ = weights_within_repeats(have, target, repeats, budget)
+    weights, exponent, budget = plan(have, target, repeats, budget if part is None else part * sum(have.values()), entropy_wanted)
     rows = []
     for s, w in sorted(weights.items()):
         passes, rest = divmod(min(w * budget, have[s] * repeats[s]), have[s])
@@ -128,14 +151,15 @@ def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, seed:
     more = F.broadcast(spark.createDataFrame(filled, "source string, doc_id bigint").withColumn("more", F.lit(1)))
     placed = placed.join(more, ["source", "doc_id"], "left")
     uses = F.col("passes") + F.col("extra") + F.coalesce(F.col("more"), F.lit(0))
-    return placed.withColumn("uses", uses.cast("int")).where("uses > 0").select("doc_id", "source", "n_tokens", "uses", "position")
+    return placed.withColumn("uses", uses.cast("int")).where("uses > 0").select("doc_id", "source", "n_tokens", "uses", "position", F.lit(float(exponent)).alias("exponent"))
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, share, tokens, texts, most_uses): what each source with a target holds of all tokens used."""
-    got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("tokens"), F.count(F.lit(1)).alias("texts"), F.max("uses").alias("most_uses"))
-    total = got.agg(F.sum("tokens").alias("all_tokens"))
+    """(source, target_share, share, tokens, texts, most_uses, exponent, entropy): what each source with a target holds of all
+    tokens used, and the exponent and entropy of the whole mix. Entropy and exponent of an empty mix are null."""
+    got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("tokens"), F.count(F.lit(1)).alias("texts"), F.max("uses").alias("most_uses"), F.max("exponent").alias("x"))
+    total = got.agg(F.sum("tokens").alias("all_tokens"), F.max("x").alias("exponent"), (F.log(F.sum("tokens")) - F.sum(F.col("tokens") * F.log("tokens")) / F.sum("tokens")).alias("entropy"))
     t = targets.where("source is not null").select("source", "target_share")
     out = t.join(F.broadcast(got), "source", "left").crossJoin(F.broadcast(total))  # one row on the right
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return out.select("source", "target_share", (zero("tokens") / F.col("all_tokens")).alias("share"), zero("tokens").cast("bigint").alias("tokens"), zero("texts").cast("bigint").alias("texts"), zero("most_uses").cast("int").alias("most_uses"))
+    return out.select("source", "target_share", (zero("tokens") / F.col("all_tokens")).alias("share"), zero("tokens").cast("bigint").alias("tokens"), zero("texts").cast("bigint").alias("texts"), zero("most_uses").cast("int").alias("most_uses"), "exponent", "entropy")

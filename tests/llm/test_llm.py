@@ -408,7 +408,20 @@ def test_mixing(spark):
     assert all(r.uses <= {"big": 1, "mid": 2, "small": 3}[r.source] for r in got) and len({r.doc_id for r in got}) == len(got)
     s = {r.source: r for r in mixing.shares(m, targets).collect()}
     assert all(abs(s[k].share - s[k].target_share) < 0.003 for k in ("big", "mid", "small")) and s["absent"].tokens == 0
-    assert mixing.mix(docs.limit(0), targets).count() == 0
+    assert mixing.mix(docs.limit(0), targets).count() == 0 and mixing.mix(docs.limit(0), targets, 0.5).count() == 0
+
+
+def test_mixing_beyond_the_scarcest_source(spark):
+    docs = spark.createDataFrame([(i, "big" if i % 10 else "small", f"t{i}", 1 + i % 97) for i in range(2000)], "doc_id long, source string, text_key string, n_tokens int")
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 3)], "source string, target_share double, max_repeats int")
+    m = mixing.mix(docs, targets, 0.7, blocks=16)
+    got, s = m.collect(), {r.source: r for r in mixing.shares(m, targets).collect()}
+    total = sum(1 + i % 97 for i in range(2000))
+    assert all(r.uses <= {"big": 1, "small": 3}[r.source] for r in got) and max(r.uses for r in got if r.source == "small") == 3
+    assert 0 < s["big"].exponent < 1 and abs(sum(r.tokens for r in s.values()) - 0.7 * total) < 200
+    assert s["small"].tokens == 3 * sum(1 + i % 97 for i in range(2000) if i % 10 == 0)  # repeated as often as allowed
+    e = {r.source: r for r in mixing.shares(mixing.mix(docs, targets, entropy_wanted=0.5, blocks=16), targets).collect()}
+    assert abs(e["big"].entropy - 0.5) < 0.01
 
 
 def test_temperature():
