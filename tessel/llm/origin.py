@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import owner
-from tessel.llm.overlap import TOKEN, Symbols
+from tessel.llm.common import cut, owner
+from tessel.llm.overlap import TOKEN, Digests, run_digests, token_digests
 from tessel.llm.parse import extension
 
 #: Extensions of code; tables and settings in other files are no data in disguise.
@@ -149,17 +149,9 @@ def origin(corpus: DataFrame, path_patterns: DataFrame) -> DataFrame:
 GRAM, WINDOW = 12, 24
 
 
-def winnow(enc: str) -> np.ndarray:
-    """The distinct fingerprints of a token string: hashes of grams, the least of each window."""
-    codes = np.frombuffer(enc.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    if len(codes) < GRAM:
-        return np.empty(0, dtype=np.int64)
-    h = np.zeros(len(codes) - GRAM + 1, dtype=np.uint64)
-    for i in range(GRAM):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - GRAM + 1 + i]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+def winnow(toks: np.ndarray) -> np.ndarray:
+    """The distinct fingerprints of a sequence of token digests: digests of grams, the least of each window."""
+    h = run_digests(toks, GRAM)
     if len(h) > WINDOW:
         h = np.lib.stride_tricks.sliding_window_view(h, WINDOW).min(axis=1)
     return np.unique(h).view(np.int64)
@@ -170,14 +162,14 @@ COMMENT = re.compile(r"//[^\n]*|/\*.*?\*/|(?m:^\s*#[^\n]*)", re.S)
 
 def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file_id, owner, text) -> (file_id, owner, prints): comments and layout are left out, numbers are all one."""
-    symbols = Symbols()
+    digests = Digests()
     schema = pa.schema([("file_id", pa.int64()), ("owner", pa.string()), ("prints", pa.list_(pa.int64()))])
     for b in batches:
         ids, owners, texts = (b.column(k).to_pylist() for k in range(3))
         prints = []
         for t in texts:
             tokens = TOKEN.findall(COMMENT.sub(" ", t))
-            prints.append(winnow("".join("0" if x[0].isdigit() else symbols[x] for x in tokens)))
+            prints.append(winnow(token_digests(["0" if x[0].isdigit() else x for x in tokens], digests)))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(owners, pa.string()), pa.array(prints, schema.field(2).type)], schema=schema)
 
 
@@ -186,11 +178,11 @@ def recurring(corpus: DataFrame, owners_needed: int = 3, part: float = 0.5) -> D
     owners, for at least ``part`` of them.
 
     The owner is the second segment of repository_id, so forks and siblings of one owner count once. Counts of owners per
-    fingerprint are aggregated before they are joined back, one row per fingerprint; a fingerprint in a third of all files
-    is a skewed side that adaptive execution splits. Null contents and files below 12 tokens have no fingerprints.
+    fingerprint are aggregated and materialised before they are joined back, one row per fingerprint, so a fingerprint in a
+    third of all files is a skewed side that adaptive execution splits. Null contents and files below 12 tokens have no fingerprints.
     """
     files = corpus.where("file_id is not null and content is not null").select("file_id", owner(F.regexp_replace("repository_id", "^[^/]*/", "")).alias("owner"), "content")
     each = files.mapInArrow(fingerprints, "file_id bigint, owner string, prints array<bigint>").select("file_id", "owner", F.explode("prints").alias("print"))
-    owners = each.select("print", "owner").distinct().groupBy("print").count().where(F.col("count") >= owners_needed).select("print", F.lit(1).alias("known"))
+    owners = cut(each.select("print", "owner").distinct().groupBy("print").count().where(F.col("count") >= owners_needed).select("print", F.lit(1).alias("known")))
     per = each.join(owners, "print", "left").groupBy("file_id").agg(F.count_distinct("print").alias("prints"), F.count_distinct(F.when(F.col("known") == 1, F.col("print"))).alias("recurring"))
     return per.withColumn("share", F.col("recurring") / F.col("prints")).where(F.col("share") >= part)

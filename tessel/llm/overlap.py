@@ -1,26 +1,27 @@
-"""Same or nearly same records across splits, by Aho-Corasick automata over blocks of evaluation passages.
+"""Same or nearly same records across splits, by Aho-Corasick automata over shards of evaluation passages.
 
 Evaluation records are normalised and cut into passages such that a training record can't be near enough without
 containing some of them:
 
-* files: the record is its sequence of tokens, each mapped to one character, and the passages are runs of five tokens.
-  If the sets of runs A (evaluation) and B have Jaccard similarity s or more, they share at least s / (1 + s) * (|A| + |B|)
-  runs, so any |A| - that + 1 runs of A contain a shared one. The rarest of the block are taken.
-* strings: the record is cut into k pieces; at most e edits leave k - e of them in place, each moved by e at most.
+* files: the record is its sequence of tokens, and the passages are runs of five tokens. If the sets of runs A and B have
+  Jaccard similarity s or more, then under any order of all runs the first |A| - ceil(s |A|) + 1 of A and the like of B share
+  a run. The order is by how often a run occurs in the whole corpus, rare ones first (in a sketch of fixed size), then by hash.
+* strings: of four pieces of a string, at most three edits leave one in place, moved by the edits before it.
 
-The automaton of a block of evaluation records scans the training texts of the same size class; matched passages are
-counted per evaluation record, and the pairs that remain are checked exactly. Records are routed by size class, and
-both sides of a class are divided into blocks of bounded size, so no task gets an unbounded group; each evaluation
-block meets each training block of its class (a stated query set against all rows, in blocks).
+A training text is routed by these passages, in one equi-join, to the shards of evaluation records that it can match, and
+to no others; so shuffles grow with the data, not with the product of both sides. The automaton of a shard then scans the
+texts routed to it, and the records whose passages occur are compared exactly, on 64-bit digests of the tokens. A shard
+to which many texts are routed is scanned in several tasks.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,97 +32,149 @@ from tessel.llm.common import cut
 #: Tokens of a file; fixed by the problem's statement.
 TOKEN = re.compile(r"[A-Za-z_][A-Za-z0-9_]*|\d+|[^\sA-Za-z0-9_]")
 WORDS, SIMILARITY, EDITS = 5, 0.8, 3
-#: A size class holds numbers of runs within this ratio.
-RATIO = 1.12
-#: Characters of evaluation and training records in one block.
-EVAL_BLOCK, TRAIN_BLOCK = 1_000_000, 6_000_000
+#: Size of the evaluation records of a shard, and of the training records that one task scans with it: tokens or letters.
+EVAL_BLOCK, TRAIN_BLOCK = 250_000, 4_000_000
+#: Counters of the sketch that orders runs by frequency (8 bytes each, whatever the data), in chunks.
+COUNTERS, CHUNKS = 1 << 18, 64
 
 
-class Symbols(dict):
-    """Token -> one character: single ASCII characters stand for themselves, others for one of 980,000 by hash."""
+class Digests(dict):
+    """Token -> its 64-bit digest, remembered up to a bound."""
 
-    def __missing__(self, token: str) -> str:
+    def __missing__(self, token: str) -> int:
         import xxhash
 
-        c = token if len(token) == 1 and token < "\x80" else chr(0x10000 + xxhash.xxh64_intdigest(token) % 980_000)
         if len(self) > 400_000:
             self.clear()
-        self[token] = c
-        return c
+        h = self[token] = xxhash.xxh3_64_intdigest(token)
+        return h
 
 
-def runs(enc: str) -> set[str]:
-    return {enc[i : i + WORDS] for i in range(len(enc) - WORDS + 1)}
+def token_digests(tokens: list[str], digests: Digests) -> np.ndarray:
+    return np.fromiter(map(digests.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+
+
+def run_digests(toks: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """A digest of each run of ``words`` tokens, in order."""
+    n = max(0, len(toks) - words + 1)
+    h = np.zeros(n, dtype=np.uint64)
+    for i in range(words):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + toks[i : i + n]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def symbols(toks: np.ndarray) -> str:
+    """One character per token, for the automaton: equal tokens have equal characters, different ones mostly others."""
+    return (toks % np.uint64(980_000) + np.uint64(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
 
 
 def encode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, side, text) -> (id, side, key, n, enc); key is a digest of the tokens, n the number of distinct runs."""
+    """(id, side, text) -> (id, side, key, n, data); key is a digest of all tokens, n their number, data their digests."""
     import xxhash
 
-    symbols = Symbols()
+    digests = Digests()
+    schema = pa.schema([("id", pa.string()), ("side", pa.int32()), ("key", pa.binary()), ("n", pa.int32()), ("data", pa.binary())])
     for b in batches:
-        out: dict[str, list] = {"id": [], "side": [], "key": [], "n": [], "enc": []}
+        rows = []
         for i, side, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             tokens = TOKEN.findall(text)
-            if len(tokens) < 10:
-                continue
-            enc = "".join(map(symbols.__getitem__, tokens))
-            out["id"].append(i)
-            out["side"].append(side)
-            out["key"].append(xxhash.xxh3_128_digest("\x1f".join(tokens)))
-            out["n"].append(len(runs(enc)))
-            out["enc"].append(enc)
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("id", pa.string()), ("side", pa.int32()), ("key", pa.binary()), ("n", pa.int32()), ("enc", pa.string())]))
+            if len(tokens) >= 10:
+                raw = token_digests(tokens, digests).tobytes()
+                rows.append((i, side, xxhash.xxh3_128_digest(raw), len(tokens), raw))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 5, schema, strict=True)], schema=schema)
+
+
+def tokens_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.uint64)
+
+
+def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(data) -> (chunk, counts): a task's counters of all its runs."""
+    total = np.zeros(COUNTERS, dtype=np.int64)
+    for b in batches:
+        for data in b.column(0).to_pylist():
+            at, n = np.unique(np.unique(run_digests(tokens_of(data))) % np.uint64(COUNTERS), return_counts=True)
+            total[at.astype(np.int64)] += n
+    parts = [(i, x.tobytes()) for i, x in enumerate(np.split(total, CHUNKS)) if x.any()]
+    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["chunk", "counts"])
+
 
+def add_counts(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"chunk": [key[0]], "counts": [sum(np.frombuffer(x, dtype=np.int64) for x in pdf["counts"]).tobytes()]})
 
-def overlap_needed(n: int, m: int) -> int:
-    return math.ceil(SIMILARITY / (1 + SIMILARITY) * (n + m) - 1e-9)
+
+def frequencies(enc: DataFrame) -> np.ndarray:
+    """How often runs occur, over all rows, by their digests modulo COUNTERS: an array of fixed size on the driver."""
+    rows = enc.select("data").mapInArrow(count_runs, "chunk int, counts binary").groupBy("chunk").applyInPandas(add_counts, "chunk int, counts binary").collect()
+    out = np.zeros(COUNTERS, dtype=np.int64)
+    for r in rows:  # CHUNKS rows at most
+        out[r["chunk"] * (COUNTERS // CHUNKS) : (r["chunk"] + 1) * (COUNTERS // CHUNKS)] = np.frombuffer(r["counts"], dtype=np.int64)
+    return out
+
+
+def prefixes(counts):
+    """(id, side, key, data) -> (id, side, key, n, prefix): the distinct runs' number, and the first of them in the order."""
+    schema = pa.schema([("id", pa.string()), ("side", pa.int32()), ("key", pa.binary()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = counts.value
+        for b in batches:
+            ids, sides, keys, datas = (b.column(k).to_pylist() for k in range(4))
+            sizes, out = [], []
+            for data in datas:
+                r = np.unique(run_digests(tokens_of(data)))
+                first = len(r) - math.ceil(SIMILARITY * len(r) - 1e-9) + 1
+                order = np.lexsort((r, often[(r % np.uint64(COUNTERS)).astype(np.int64)]))
+                sizes.append(len(r))
+                out.append(r[order[:first]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(sides, pa.int32()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(out, schema.field(4).type)], schema=schema)
+
+    return run
 
 
 def scan_files(key: tuple, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
-    """One evaluation block against one training block of a size class -> (train_key, eval_key, score, coverage)."""
+    """A shard of evaluation records against training records routed to it -> (train_key, eval_key, score, coverage)."""
     import ahocorasick
 
     found = []
     if len(evals) and len(trains):
-        least = int(trains["n"].min())
-        sets = [runs(e) for e in evals["enc"]]
-        common = Counter(x for s in sets for x in s)
         owners: dict[str, list[int]] = defaultdict(list)
-        for i, s in enumerate(sets):
-            k = len(s) - overlap_needed(len(s), max(least, math.ceil(SIMILARITY * len(s)))) + 1
-            if k > 0:
-                for x in sorted(s, key=lambda x: (common[x], x))[:k]:
-                    owners[x].append(i)
+        runs, sets = [], []
+        for i, (data, prefix) in enumerate(zip(evals["data"], evals["prefix"], strict=True)):
+            toks = tokens_of(data)
+            r = run_digests(toks)
+            runs.append(r)
+            sets.append(np.unique(r))
+            enc = symbols(toks)
+            for x in {enc[k : k + WORDS] for k in np.flatnonzero(np.isin(r, np.asarray(prefix, dtype=np.int64).view(np.uint64)))}:
+                owners[x].append(i)
         auto = ahocorasick.Automaton()
         for x, who in owners.items():
             auto.add_word(x, who)
-        if owners:
-            auto.make_automaton()
-            ekeys = evals["key"].tolist()
-            for tkey, enc in zip(trains["key"], trains["enc"], strict=True):
-                near = {i for _, who in auto.iter(enc) for i in who}
-                if not near:
+        auto.make_automaton()
+        ekeys = evals["key"].tolist()
+        for tkey, data in zip(trains["key"], trains["data"], strict=True):
+            toks = tokens_of(data)
+            near = {i for _, who in auto.iter(symbols(toks)) for i in who}
+            t = np.unique(run_digests(toks)) if near else None
+            for i in near:
+                e = sets[i]
+                if min(len(e), len(t)) < SIMILARITY * max(len(e), len(t)) - 1e-9:
                     continue
-                t = runs(enc)
-                for i in near:
-                    e = sets[i]
-                    if min(len(e), len(t)) < SIMILARITY * max(len(e), len(t)):
-                        continue
-                    both = len(e & t)
-                    if both >= SIMILARITY * (len(e) + len(t) - both):
-                        found.append((tkey, ekeys[i], both / (len(e) + len(t) - both), coverage(evals["enc"].iloc[i], t)))
+                both = len(np.intersect1d(e, t, assume_unique=True))
+                if both >= SIMILARITY * (len(e) + len(t) - both) - 1e-9:
+                    found.append((tkey, ekeys[i], both / (len(e) + len(t) - both), coverage(np.isin(runs[i], t))))
     return pd.DataFrame(found, columns=["train_key", "eval_key", "score", "coverage"])
 
 
-def coverage(enc: str, other: set[str]) -> float:
-    """The part of the record's tokens that lie in the merged intervals of runs it shares."""
+def coverage(shared: np.ndarray) -> float:
+    """The part of a record's tokens that lie in the merged intervals of the runs it shares."""
     end, covered = 0, 0
-    for i in range(len(enc) - WORDS + 1):
-        if enc[i : i + WORDS] in other:
-            covered += i + WORDS - max(i, end)
-            end = i + WORDS
-    return covered / len(enc)
+    for i in np.flatnonzero(shared):
+        covered += i + WORDS - max(i, end)
+        end = i + WORDS
+    return covered / (len(shared) + WORDS - 1)
 
 
 def cuts(s: str) -> list[tuple[int, str]]:
@@ -162,7 +215,8 @@ def scan_strings(key: tuple, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.Da
 
     found = []
     if len(evals) and len(trains):
-        texts = evals["enc"].tolist()
+        ekeys = evals["key"].tolist()
+        texts = evals["data"].tolist()
         owners: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
         need, short = [], []
         for i, s in enumerate(texts):
@@ -179,7 +233,7 @@ def scan_strings(key: tuple, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.Da
             auto.add_word(piece, (len(piece), who))
         if owners:
             auto.make_automaton()
-        for tkey in trains["enc"]:
+        for key_t, tkey in zip(trains["key"], trains["data"], strict=True):
             seen: dict[int, set[tuple[int, int]]] = defaultdict(set)
             if owners:
                 for end, (size, who) in auto.iter(tkey):
@@ -190,31 +244,78 @@ def scan_strings(key: tuple, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.Da
             for i in [*(i for i, parts in seen.items() if len(parts) >= need[i]), *short]:
                 if within(texts[i], tkey):
                     hit = sum(size for _, size in seen[i]) if i in seen else 0
-                    found.append((tkey, texts[i], 1.0, hit / max(1, len(texts[i]))))
+                    found.append((key_t, ekeys[i], 1.0, hit / max(1, len(texts[i]))))
     return pd.DataFrame(found, columns=["train_key", "eval_key", "score", "coverage"])
 
 
-def in_blocks(evals: DataFrame, trains: DataFrame, scan, key_type: str, salt_on: str = "key") -> DataFrame:
-    """Evaluation rows (band, key, n, enc) against training rows of the same band, both divided into bounded blocks.
+def digest(*parts: object) -> int:
+    import xxhash
 
-    The driver reads one row per band: how many characters each side has there, for the numbers of blocks.
-    """
-    spark = evals.sparkSession
-    size = lambda df: df.groupBy("band").agg(F.sum(F.length("enc").cast("bigint") + 40).alias("chars"))
-    of = size(evals).select("band", F.ceil(F.col("chars") / EVAL_BLOCK).cast("int").alias("eblocks")).join(size(trains).select("band", F.ceil(F.col("chars") / TRAIN_BLOCK).cast("int").alias("tblocks")), "band")
-    rows = of.collect()
-    blocks = F.broadcast(spark.createDataFrame([tuple(r) for r in rows], "band int, eblocks int, tblocks int"))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = lambda n: F.pmod(F.xxhash64(salt_on), F.col(n)).cast("int")
-    cols = ["band", "eb", "tb", "key", "n", "enc"]
-    left = evals.join(blocks, "band").withColumn("eb", mine("eblocks")).withColumn("tb", each("tblocks")).select(*cols).toDF(*cols)
-    right = trains.join(blocks, "band").withColumn("tb", mine("tblocks")).withColumn("eb", each("eblocks")).select(*cols).toDF(*cols)  # names of their own: both sides come from one table
-    out = f"train_key {key_type}, eval_key {key_type}, score double, coverage double"
-    return left.groupBy(*cols[:3]).cogroup(right.groupBy(*cols[:3])).applyInPandas(scan, out)
+    return xxhash.xxh3_64_intdigest("\x1f".join(map(str, parts))) - (1 << 63)
+
+
+#: The route of strings that are too short for pieces.
+SHORT = 0
 
 
-def band_of(n) -> object:
-    return F.floor(F.log(n.cast("double")) / math.log(RATIO) + 1e-9).cast("int")
+def quarters(n: int) -> list[int]:
+    return [n * j // (EDITS + 1) for j in range(EDITS + 2)]
+
+
+def own_routes(s: str) -> list[int]:
+    """Of a training string: its four pieces with its length, or SHORT where edits can take away all of it."""
+    at = quarters(len(s))
+    return ([SHORT] if len(s) <= 2 * EDITS else []) + ([digest(len(s), j, s[at[j] : at[j + 1]]) for j in range(EDITS + 1)] if len(s) > EDITS else [])
+
+
+def near_routes(s: str) -> list[int]:
+    """Of an evaluation string: what of it may be a piece of a string within EDITS edits. If the first j of a string's
+    pieces lie before the first piece that is whole, they hold at least j edits and the rest at most EDITS - j, so the piece
+    is moved by at most j from the start and by at most EDITS - j from the end."""
+    out = {SHORT} if len(s) <= 2 * EDITS else set()
+    for n in range(max(EDITS + 1, len(s) - EDITS), len(s) + EDITS + 1):
+        at, more = quarters(n), len(s) - n
+        for j in range(EDITS + 1):
+            for move in range(max(-j, more - (EDITS - j)), min(j, more + (EDITS - j)) + 1):
+                a, b = at[j] + move, at[j + 1] + move
+                if 0 <= a and b <= len(s):
+                    out.add(digest(n, j, s[a:b]))
+    return sorted(out)
+
+
+def string_routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(side, key, text) -> (side, key, n, data, prefix)."""
+    schema = pa.schema([("side", pa.int32()), ("key", pa.binary()), ("n", pa.int32()), ("data", pa.string()), ("prefix", pa.list_(pa.int64()))])
+    for b in batches:
+        sides, keys, texts = (b.column(k).to_pylist() for k in range(3))
+        cols = [sides, keys, [len(t) for t in texts], texts, [near_routes(t) if s else own_routes(t) for s, t in zip(sides, texts, strict=True)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def in_shards(once: DataFrame, data: DataFrame, scan, closeness) -> DataFrame:
+    """(train_key, eval_key, score, coverage) of records near one another.
+
+    once: (side, key, id, n, prefix) of the distinct records, data: (side, id, n_data, data). Evaluation records are dealt to shards by
+    hash; a training record goes to the shards with a record that shares an entry of ``prefix`` and is of a similar
+    size (``closeness`` of its n, and of the least and greatest n there). A shard's texts beyond TRAIN_BLOCK are divided over
+    tasks, each with the shard's records. The driver reads one number, the size of all evaluation records.
+    """
+    once = once.select("side", "key", "id", "n", "prefix")
+    size = data.where("side = 1").agg(F.sum(F.col("n_data").cast("bigint"))).first()[0] or 0
+    shards = max(1, math.ceil(size / EVAL_BLOCK))
+    evals = once.where("side = 1").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    # materialised, so that both sides of the join come from their exchange and hot passages are split over tasks
+    to = cut(evals.select(F.explode("prefix").alias("route"), "shard", "n").groupBy("route", "shard").agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
+    trains = once.where("side = 0").select(F.explode("prefix").alias("route"), "id", F.col("n").alias("m"))
+    routed = cut(trains.join(to, "route").where(closeness(F.col("m"), F.col("lo"), F.col("hi"))).select("id", "shard").distinct())
+    t = data.where("side = 0").select("id", "n_data", "data")
+    weight = routed.join(t.select("id", "n_data").distinct(), "id").groupBy("shard").agg(F.ceil(F.sum(F.col("n_data").cast("bigint")) / TRAIN_BLOCK).cast("int").alias("parts"))
+    parts = cut(weight)
+    e = evals.join(parts, "shard").join(data.where("side = 1").select("id", "data"), "id").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "data", "prefix")
+    keys = once.where("side = 0").select("id", "key")
+    r = routed.join(parts, "shard").join(keys, "id").join(t.select("id", "data"), "id").select("shard", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "key", "data")
+    out = "train_key binary, eval_key binary, score double, coverage double"
+    return e.groupBy("shard", "part").cogroup(r.toDF("shard", "part", "key", "data").groupBy("shard", "part")).applyInPandas(scan, out).distinct()
 
 
 def near_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -223,25 +324,24 @@ def near_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Repeated rows count once; texts that are null or have fewer than 10 tokens take no part.
     """
-    schema = "id string, side int, key binary, n int, enc string"
-    enc = cut(files.where("id is not null and text is not null").select("id", "side", "text").mapInArrow(encode_files, schema))
-    members = enc.select("id", "side", "key").distinct()
-    once = enc.groupBy("side", "key").agg(F.first("n").alias("n"), F.first("enc").alias("enc"))
-    trains = once.where("side = 0").select(band_of(F.col("n")).alias("band"), "key", "n", "enc")
-    lo, hi = band_of(F.ceil(F.col("n") * SIMILARITY)), band_of(F.floor(F.col("n") / SIMILARITY))
-    evals = once.where("side = 1").select(F.explode(F.sequence(lo, hi)).alias("band"), "key", "n", "enc")
-    return in_blocks(evals, trains, scan_files, "binary"), members
+    sc = files.sparkSession.sparkContext
+    enc = cut(files.where("id is not null and text is not null").select("id", "side", "text").mapInArrow(encode_files, "id string, side int, key binary, n int, data binary"))
+    counts = sc.broadcast(frequencies(enc))
+    first = enc.select("id", "side", "key", "data").mapInArrow(prefixes(counts), "id string, side int, key binary, n int, prefix array<bigint>")
+    once = cut(first.groupBy("side", "key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+    data = enc.select("side", "id", F.col("n").alias("n_data"), "data")
+    close = lambda m, lo, hi: (m >= SIMILARITY * lo - 1e-9) & (m * SIMILARITY <= hi + 1e-9)
+    return in_shards(once, data, scan_files, close), enc.select("id", "side", "key").distinct()
 
 
 def near_strings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """rows: (id, side, text) with texts already normalised; as near_files, with the text itself as key."""
-    members = rows.where("id is not null and text is not null").select("id", "side", F.col("text").alias("key")).distinct()
-    once = members.select("side", "key").distinct().withColumn("n", F.length("key")).withColumn("enc", F.col("key"))
-    band = lambda n: F.floor(n / 8).cast("int")
-    trains = once.where("side = 0").select(band(F.col("n")).alias("band"), "key", "n", "enc")
-    near = F.sequence(band(F.greatest(F.col("n") - EDITS, F.lit(0))), band(F.col("n") + EDITS))
-    evals = once.where("side = 1").select(F.explode(near).alias("band"), "key", "n", "enc")
-    return in_blocks(evals, trains, scan_strings, "string"), members
+    """rows: (id, side, text) with texts already normalised; as near_files. Keys are digests of the texts."""
+    keyed = rows.where("id is not null and text is not null").select("id", "side", F.unhex(F.md5("text")).alias("key"), "text")
+    distinct = keyed.groupBy("side", "key").agg(F.first("text").alias("text"))
+    once = cut(distinct.mapInArrow(string_routes, "side int, key binary, n int, data string, prefix array<bigint>").withColumn("id", F.hex("key")))
+    data = once.select("side", "id", F.col("n").alias("n_data"), "data")
+    close = lambda m, lo, hi: (m >= lo - EDITS) & (m <= hi + EDITS)
+    return in_shards(once, data, scan_strings, close), keyed.select("id", "side", "key").distinct()
 
 
 def expand(pairs: DataFrame, members: DataFrame, scope: str) -> DataFrame:
@@ -251,13 +351,39 @@ def expand(pairs: DataFrame, members: DataFrame, scope: str) -> DataFrame:
     return pairs.join(t, "train_key").join(e, "eval_key").select(F.lit(scope).alias("scope"), "train_id", "eval_id", "score", "coverage")
 
 
-def cross_split(corpus: DataFrame, samples: DataFrame, jobs: DataFrame, min_chars: int = 60) -> DataFrame:
+def matched(pairs: DataFrame, members: DataFrame, scope: str) -> DataFrame:
+    """(scope, eval_id, pairs, coverage) of evaluation records: copies on the training side are counted, not listed."""
+    copies = members.where("side = 0").groupBy(F.col("key").alias("train_key")).agg(F.count(F.lit(1)).alias("copies"))
+    per = cut(pairs.join(copies, "train_key").groupBy("eval_key").agg(F.sum("copies").alias("pairs"), F.max("coverage").alias("coverage")))
+    e = members.where("side = 1").select(F.col("key").alias("eval_key"), F.col("id").alias("eval_id"))
+    return e.join(per, "eval_key").select(F.lit(scope).alias("scope"), "eval_id", "pairs", "coverage")
+
+
+def sides_of(jobs: DataFrame) -> DataFrame:
+    """(repository_id, split, side): 0 for train, 1 for validation and test; other repositories give no row."""
+    side = F.when(F.col("split") == "train", 0).when(F.col("split").isin("validation", "test"), 1)
+    return cut(jobs.where("repo_id is not null").groupBy(F.col("repo_id").alias("repository_id")).agg(F.min("split").alias("split")).select("repository_id", "split", side.alias("side")).where("side is not null"))
+
+
+def both_scopes(corpus: DataFrame, samples: DataFrame, sides: DataFrame, min_chars: int = 60) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    s = sides.select("repository_id", "side")
+    files = corpus.select(F.col("file_id").cast("string").alias("id"), "repository_id", F.col("content").alias("text")).join(s, "repository_id")
+    texts = samples.where(F.length("target_text") >= min_chars).select(F.col("sample_id").alias("id"), "repository_id", F.regexp_replace(F.lower("target_text"), "[^a-z0-9]+", "").alias("text")).join(s, "repository_id")
+    return near_files(files), near_strings(texts)
+
+
+def cross_split(corpus: DataFrame, samples: DataFrame, jobs: DataFrame) -> DataFrame:
     """(scope, train_id, eval_id, score, coverage): overlaps of files and of long samples between train repositories and
     validation or test repositories of jobs. Repositories with another or no split take no part."""
-    side = F.when(F.col("split") == "train", 0).when(F.col("split").isin("validation", "test"), 1)
-    sides = cut(jobs.where("repo_id is not null").groupBy(F.col("repo_id").alias("repository_id")).agg(F.min("split").alias("split")).select("repository_id", side.alias("side")).where("side is not null"))
-    files = corpus.select(F.col("file_id").cast("string").alias("id"), "repository_id", F.col("content").alias("text")).join(sides, "repository_id")
-    texts = samples.where(F.length("target_text") >= min_chars).select(F.col("sample_id").alias("id"), "repository_id", F.regexp_replace(F.lower("target_text"), "[^a-z0-9]+", "").alias("text")).join(sides, "repository_id")
-    fp, fm = near_files(files)
-    sp, sm = near_strings(texts)
+    (fp, fm), (sp, sm) = both_scopes(corpus, samples, sides_of(jobs))
     return expand(fp, fm, "file").union(expand(sp, sm, "sample"))
+
+
+def counts_per_split(corpus: DataFrame, samples: DataFrame, jobs: DataFrame) -> DataFrame:
+    """(scope, split, repository_id, records, pairs, mean_coverage) of evaluation records with an overlap."""
+    sides = sides_of(jobs)
+    (fp, fm), (sp, sm) = both_scopes(corpus, samples, sides)
+    hit = cut(matched(fp, fm, "file").union(matched(sp, sm, "sample")))
+    where = corpus.select(F.lit("file").alias("scope"), F.col("file_id").cast("string").alias("eval_id"), "repository_id").union(samples.select(F.lit("sample"), "sample_id", "repository_id"))
+    located = where.join(hit, ["scope", "eval_id"]).distinct().join(sides.select("repository_id", "split"), "repository_id")
+    return located.groupBy("scope", "split", "repository_id").agg(F.count(F.lit(1)).alias("records"), F.sum("pairs").alias("pairs"), F.avg("coverage").alias("mean_coverage"))

@@ -41,23 +41,14 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return parse.rates(table(spark, d, "corpus"))
 
 
-def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.cross_split(table(spark, d, "corpus"), table(spark, d, "samples"), table(spark, d, "jobs"))
-
-
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    p = p4_pairs(spark, d)
+    p = overlap.cross_split(table(spark, d, "corpus"), table(spark, d, "samples"), table(spark, d, "jobs"))
     return p.select("scope", F.least("train_id", "eval_id").alias("key_a"), F.greatest("train_id", "eval_id").alias("key_b")).distinct()
 
 
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping evaluation records and their pairs, per scope, split and repository."""
-    p = p4_pairs(spark, d).select("scope", "train_id", "eval_id", "score", "coverage")
-    where = table(spark, d, "corpus").select(F.lit("file").alias("scope"), F.col("file_id").cast("string").alias("eval_id"), "repository_id").union(table(spark, d, "samples").select(F.lit("sample"), "sample_id", "repository_id")).distinct()
-    splits = table(spark, d, "jobs").groupBy(F.col("repo_id").alias("repository_id")).agg(F.min("split").alias("split"))
-    located = p.join(where, ["scope", "eval_id"]).join(splits, "repository_id")
-    per = located.groupBy("scope", "split", "repository_id", "eval_id").agg(F.count(F.lit(1)).alias("pairs"), F.max("coverage").alias("coverage"))
-    return per.groupBy("scope", "split", "repository_id").agg(F.count(F.lit(1)).alias("records"), F.sum("pairs").alias("pairs"), F.avg("coverage").alias("mean_coverage"))
+    return overlap.counts_per_split(table(spark, d, "corpus"), table(spark, d, "samples"), table(spark, d, "jobs"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

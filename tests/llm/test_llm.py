@@ -75,9 +75,10 @@ def test_recurring_fingerprints(spark):
 
 def test_winnowing_keeps_one_fingerprint_of_each_window():
     rnd = random.Random(1)
-    enc = "".join(chr(rnd.randrange(97, 123)) for _ in range(400))
-    a, b = set(origin.winnow(enc).tolist()), set(origin.winnow("zzz" + enc[50:350] + "yyy").tolist())
-    assert len(a & b) >= 300 / (origin.WINDOW + origin.GRAM) and len(origin.winnow("short")) == 0
+    enc = [chr(rnd.randrange(97, 123)) for _ in range(400)]
+    prints = lambda tokens: set(origin.winnow(overlap.token_digests(tokens, overlap.Digests())).tolist())
+    a, b = prints(enc), prints(["z"] * 3 + enc[50:350] + ["y"] * 3)
+    assert len(a & b) >= 300 / (origin.WINDOW + origin.GRAM) and not prints(list("short"))
 
 
 # --- 3
