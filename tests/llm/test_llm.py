@@ -461,3 +461,19 @@ def test_pii(spark):
     red = {r.doc_id: r.text for r in pii.redact(df, found).collect()}
     assert red[0].startswith("Signed-off-by: [NAME] <[EMAIL]>") and red[i - 3] is None and red[100] == "x phone=[PHONE]; passport: [ID_NUMBER] y"
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_places_do_not_depend_on_where_they_start(spark):
+    given, sur = ["Alice", "Brian", "Carol"], ["Stenworth", "Umbquist", "Ravnova"]
+    docs = [(i * 3 + j, f"Signed-off-by: {g} {s} <{g.lower()}.{s.lower()}@example.org>\nRegards, {g} {s}") for i, g in enumerate(given) for j, s in enumerate(sur)]
+    words = "Umbquist Alice Stenworth"
+    docs += [(1000 + k, "x" * (4096 - k) + " " + words + " y") for k in range(1, 30)]
+    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).where("doc_id >= 1000").collect()
+    assert {(r.doc_id, r.kind, r.start_pos - (4097 - (r.doc_id - 1000))) for r in found} in ({(1000 + k, "name", 9) for k in range(1, 30)}, {(1000 + k, "name", 0) for k in range(1, 30)})
+
+
+def test_spelled_mailboxes_and_unsure_streets_need_support(spark):
+    docs = [(i, f"Contact: a{i}.b@example.org") for i in range(5)] + [(10 + i, f"Contact: c{i} [at] example [dot] org") for i in range(5)]
+    docs += [(20 + i, f"Ship to: {i + 1} Marl Hollow Avenue, X") for i in range(5)] + [(30 + i, f"Ship to: {i + 1} Old Mill Way, X") for i in range(5)] + [(40, "took 3 Steps Way longer")]
+    got = {(r.doc_id, r.kind) for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {(i, "email") for i in [*range(5), *range(10, 15)]} <= got and {(i, "address") for i in [*range(20, 25), *range(30, 35)]} <= got
