@@ -1,24 +1,28 @@
 """Credentials in source code and configuration.
 
-Literals that stand where a credential is assigned, passed, sent or noted are segmented into dictionary words by Viterbi;
-what stays unexplained decides. The dictionary holds the words of the corpus itself, counted once per distinct content and
-without the literals under test. Placeholders, references, names, public keys, digests, GUIDs and revision hashes are excluded.
+Literals that stand where a credential is assigned, passed, sent or noted, that have the form of a known key, or that are
+the body of a private key are segmented into dictionary words by Viterbi; what stays unexplained decides. The dictionary
+holds the words of the corpus itself, counted once per distinct content and without the literals under test; it stays a
+distributed table, and the distinct segments of the literals meet its words in an equi-join on their first four letters.
+Placeholders, references, names, public keys, digests, GUIDs and revision hashes are excluded.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-#: The dictionary: words of at least four letters in at least so many distinct contents and in one of so many, and its
-#: greatest size (most contents first).
-WORD_FILES, ONE_IN, DICTIONARY = 3, 2_500, 200_000
+from tessel.llm.common import cut
+
+#: The dictionary: words of at least four letters in at least so many distinct contents, and in one of so many.
+WORD_FILES, ONE_IN = 3, 2_500
 #: Unexplained characters that make a value a secret.
 RESIDUE = 6
 
@@ -94,58 +98,67 @@ def is_config() -> Column:
     return F.lower(F.coalesce("relative_path", F.lit(""))).rlike(r"\.(ya?ml|toml|ini|env|cfg|conf|properties)$").alias("config")
 
 
-def dictionary(corpus: DataFrame, files: int = WORD_FILES, one_in: int = ONE_IN, size: int = DICTIONARY) -> frozenset[str]:
-    """The words of the corpus that are in ``files`` distinct contents or more, and in one of ``one_in`` of them: the
-    ``size`` most frequent at most, ties by word."""
+def dictionary(corpus: DataFrame, files: int = WORD_FILES, one_in: int = ONE_IN) -> DataFrame:
+    """(word): the words of the corpus that are in ``files`` distinct contents or more, and in one of ``one_in`` of them."""
     each = corpus.where("content is not null").select(F.xxhash64("content").alias("hash"), is_config(), "content").mapInArrow(content_words, "hash bigint, words string")
-    counts = each.repartition("hash").mapInArrow(count_words, "word string, files bigint").groupBy("word").agg(F.sum("files").alias("files"))
-    top = counts.where((F.col("files") >= files) & (F.length("word") <= 24)).orderBy(F.desc("files"), "word").limit(size + 1).collect()
-    least = max([files, *(-(-r.files // one_in) for r in top if not r.word)])
-    return frozenset([r.word for r in top if r.word and r.files >= least][:size])
+    counts = cut(each.repartition("hash").mapInArrow(count_words, "word string, files bigint").groupBy("word").agg(F.sum("files").alias("files")))
+    contents = counts.where("word = ''").agg(F.coalesce(F.max("files"), F.lit(0)).alias("contents"))
+    return counts.where((F.col("word") != "") & (F.col("files") >= files)).crossJoin(F.broadcast(contents)).where(F.col("files") >= F.ceil(F.col("contents") / one_in)).select("word")  # one row on the right
 
 
-def unexplained(segment: str, words: frozenset[str] | set[str]) -> int:
-    """The characters of a segment that the best segmentation into dictionary words leaves over (Viterbi: a word costs
-    half a character, so that few long words beat many short ones)."""
-    s, n = segment.lower(), len(segment)
+def viterbi(n: int, words: Iterable[tuple[int, int]]) -> int:
+    """The characters of a segment of n that the best segmentation leaves over; words: the (start, end) of all dictionary
+    words in it. A word costs half a character, so that few long words beat many short ones."""
+    ending: dict[int, list[int]] = {}
+    for a, b in words:
+        ending.setdefault(b, []).append(a)
     best = [0.0] * (n + 1)
     left = [0] * (n + 1)
     for i in range(1, n + 1):
         best[i], left[i] = best[i - 1] + 1, left[i - 1] + 1
-        for k in range(4, min(i, 24) + 1):
-            if best[i - k] + 0.5 < best[i] and s[i - k : i] in words:
-                best[i], left[i] = best[i - k] + 0.5, left[i - k]
+        for a in sorted(ending.get(i, ()), reverse=True):
+            if best[a] + 0.5 < best[i]:
+                best[i], left[i] = best[a] + 0.5, left[a]
     return left[n]
 
 
-def is_secret(value: str, key: str, words: frozenset[str] | set[str]) -> bool:
-    """Whether a value that stands under a credential's name is a live-looking secret."""
+def segments(value: str) -> list[str]:
+    """The parts of a value that are segmented; short numbers explain themselves."""
+    return [x for x in re.split(r"[^A-Za-z0-9]+", value) if x and not (x.isdigit() and len(x) <= 6)]
+
+
+def shape(value: str, key: str) -> str | None:
+    """What a value that stands under a credential's name is to be judged as: known (form of a key), hex, text, or nothing."""
     v = value.strip()
+    if key == "private key":
+        return "known"
     if len(v) < 8 or PLACEHOLDER.search(v) or GUID.fullmatch(v) or DIGEST.match(v) or "-----BEGIN" in v:
-        return False
+        return None
     if re.fullmatch(rf"(?:{KNOWN})", v) and not re.search(r"(.)\1{5,}", v):
-        return True
+        return "known"
     if " " in v or "/" in v and re.match(r"\.{0,2}/|[A-Za-z]:\\|~/", v) or re.fullmatch(r"[A-Za-z_]\w*(?:[.:][A-Za-z_]\w*)+|[A-Z]+(?:_[A-Z]+)+|[\w.]+\(.*\)?;?", v):
-        return False
+        return None
     if re.fullmatch(r"[0-9a-fA-F]{16,}", v):
-        return len(set(v)) > 4 and not ABOUT.search(key)
-    segments = [x for x in re.split(r"[^A-Za-z0-9]+", v) if x]
+        return "hex" if len(set(v)) > 4 and not ABOUT.search(key) else None
     if re.fullmatch("[A-Za-z_]+", v) and KEY.search(v):  # the name of a credential
-        return False
-    if re.fullmatch(r"[A-Z][a-z]*(?:-[A-Z][a-z]*)+", v) or re.fullmatch(r"\d+", v):
-        return False
-    rest, plain = 0, 0
-    for x in segments:
-        if x.isdigit() and len(x) <= 6:
-            continue
-        r = unexplained(x, words)
-        if r and re.fullmatch("[a-z]{4,}", x):
+        return None
+    return None if re.fullmatch(r"[A-Z][a-z]*(?:-[A-Z][a-z]*)+", v) or re.fullmatch(r"\d+", v) else "text"
+
+
+def is_secret(value: str, kind: str, left: Sequence[int]) -> bool:
+    """Whether so many unexplained characters of its segments make a value a live-looking secret."""
+    v, xs = value.strip(), segments(value)
+    if kind != "text":
+        return sum(left) >= RESIDUE
+    rest = plain = 0
+    for x, r in zip(xs, left, strict=True):
+        if r and re.fullmatch("[a-z]{4,}", x):  # one unknown word is a word
             plain += 1
             rest += r if plain > 1 else 0
         else:
             rest += r
     if plain > 1:
-        rest += max(len(x) for x in segments)
+        rest += max(map(len, xs))
     mixed = len(re.findall(r"[0-9A-Z]", v)) > 0 or plain > 2
     return mixed and rest + len(re.findall(r"[^A-Za-z0-9\s_-]", v)) >= RESIDUE
 
@@ -213,46 +226,76 @@ def candidates(text: str, config: bool) -> Iterator[tuple[str, int, int, tuple[i
                 yield m.group(1), a + m.start(2), a + m.end(2), None
 
 
-def places(text: str, config: bool, words: frozenset[str]) -> list[tuple[int, int]]:
-    """The (start, end) of the secrets of a text, without overlaps; ``config``: bare values after a colon count too."""
-    found: list[tuple[int, int]] = [m.span() for m in PEM.finditer(text)] if "PRIVATE KEY" in text else []
+def asked(text: str, config: bool) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, value, shape) of the literals of a text that segmentation decides about."""
+    for m in PEM.finditer(text) if "PRIVATE KEY" in text else ():
+        yield m.start(), m.end(), re.sub(r"-----(?:BEGIN|END)[^-]*-----", " ", m.group()), "known"
     for key, start, end, more in candidates(text, config):
-        if not any(a <= start < b for a, b in found) and is_secret(text[start:end] + (text[more[0] : more[1]] if more else ""), key, words):
-            found.append((start, end))
-    return sorted(set(found))
+        value = text[start:end] + (text[more[0] : more[1]] if more else "")
+        if kind := shape(value, key):
+            yield start, end, value, kind
 
 
-def searcher(words):
-    """(key, config, text) -> (row_key, line_no, start, end) in Arrow batches; words: a broadcast dictionary."""
-    schema = pa.schema([("row_key", pa.string()), ("line_no", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, config, text) -> (row_key, line_no, start, end, value, shape, segments) in Arrow batches."""
+    schema = pa.schema([("row_key", pa.string()), ("line_no", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("shape", pa.string()), ("segments", pa.list_(pa.string()))])
+    for b in batches:
+        rows = [(k, t.count("\n", 0, a) + 1, a, z, v, s, segments(v)) for k, c, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True) for a, z, v, s in dict.fromkeys(asked(t, c))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 7, schema, strict=True)], schema=schema)
+
+
+def left_over(distinct: DataFrame, words: DataFrame) -> DataFrame:
+    """(segment, rest): for distinct segments, the characters that dictionary words don't explain.
+
+    Each position of a segment looks for the words that start with its four letters, in an equi-join; the words found
+    are checked and collected per segment, at most as many as the segment has places for them.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words.value
-        for b in batches:
-            rows = [(k, t.count("\n", 0, a) + 1, a, z) for k, c, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True) for a, z in places(t, c, known)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, schema, strict=True)], schema=schema)
+    @F.pandas_udf("int")
+    def rest(n: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([viterbi(k, [(x["a"], x["b"]) for x in f] if f is not None else []) for k, f in zip(n, found, strict=True)])
 
-    return run
+    s = distinct.withColumn("low", F.lower("segment"))
+    at = F.explode(F.sequence(F.lit(0), F.length("low") - 4))
+    grams = s.where("length(low) >= 4").select("segment", "low", at.alias("a")).withColumn("gram", F.expr("substring(low, a + 1, 4)")).where(F.col("gram").rlike("^[a-z]{4}$"))
+    d = cut(words.select("word", F.substring("word", 1, 4).alias("gram")))
+    hits = grams.join(d, "gram").where("substring(low, a + 1, length(word)) = word").groupBy("segment").agg(F.collect_list(F.struct("a", (F.col("a") + F.length("word")).alias("b"))).alias("found"))
+    return s.join(hits, "segment", "left").select("segment", rest(F.length("segment"), "found").alias("rest"))
 
 
 def find(corpus: DataFrame, samples: DataFrame) -> DataFrame:
     """(scope, row_key, line_no, start, end): the places of secrets in files and in left contexts of samples.
 
     Positions are 0-based code points; the line is that on which the value starts. Null texts and keys give none;
-    repeated rows give each place once. A value cut off by a context's end counts if what stands there is enough.
+    repeated rows give each place once; of places within one another the outer stays. A value cut off by a context's end
+    counts if what stands there is enough.
     """
-    words = corpus.sparkSession.sparkContext.broadcast(dictionary(corpus))
     config = is_config()
-    out = "row_key string, line_no int, start int, end int"
-    a = corpus.where("file_id is not null and content is not null").select(F.col("file_id").cast("string"), config, "content").mapInArrow(searcher(words), out)
-    b = samples.where("sample_id is not null and left_context is not null").select("sample_id", config, "left_context").mapInArrow(searcher(words), out)
-    return a.select(F.lit("corpus").alias("scope"), "*").union(b.select(F.lit("samples").alias("scope"), "*")).distinct()
+    out = "row_key string, line_no int, start int, end int, value string, shape string, segments array<string>"
+    a = corpus.where("file_id is not null and content is not null").select(F.col("file_id").cast("string"), config, "content").mapInArrow(look, out)
+    b = samples.where("sample_id is not null and left_context is not null").select("sample_id", config, "left_context").mapInArrow(look, out)
+    c = cut(a.select(F.lit("corpus").alias("scope"), "*").union(b.select(F.lit("samples").alias("scope"), "*")).distinct())
+    words = dictionary(corpus)
+    # literals repeat: each distinct one is judged once
+    values = cut(c.select("value", "shape", "segments").distinct())
+    rests = cut(left_over(values.select(F.explode("segments").alias("segment")).distinct(), words))
+
+    @F.pandas_udf("boolean")
+    def secret(value: pd.Series, kind: pd.Series, left: pd.Series) -> pd.Series:
+        return pd.Series([is_secret(v, k, [x["rest"] for x in r] if r is not None else []) for v, k, r in zip(value, kind, left, strict=True)])
+
+    each = values.select("value", "shape", F.posexplode("segments").alias("i", "segment")).join(rests, "segment")
+    per = each.groupBy("value", "shape").agg(F.array_sort(F.collect_list(F.struct("i", "rest"))).alias("left"))
+    bad = cut(per.where(secret("value", "shape", "left")).select("value", "shape"))
+    w = W.partitionBy("scope", "row_key").orderBy("start", F.desc("end")).rowsBetween(W.unboundedPreceding, -1)
+    places = c.join(bad, ["value", "shape"], "left_semi").select("scope", "row_key", "line_no", "start", "end").distinct()
+    return places.withColumn("before", F.max("end").over(w)).where("before is null or start >= before").drop("before")
 
 
 def redact(rows: DataFrame, key: str, text: str, found: DataFrame, mark: str = "REDACTED") -> DataFrame:
     """(key, text) with each secret replaced by ``mark``; quotes, line breaks and code around it are unchanged.
 
-    A secret over several lines keeps its line breaks, so that line numbers hold.
+    A secret over several lines keeps its line breaks, so that line numbers hold. Rows that repeat a key are equal; one stays.
     """
     per = found.groupBy(F.col("row_key").alias("k__")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("p"))
 
@@ -268,5 +311,5 @@ def redact(rows: DataFrame, key: str, text: str, found: DataFrame, mark: str = "
             out.append(s if s is None else "".join([*parts, s[at:]]))
         return pd.Series(out, dtype=object)
 
-    r = rows.select(F.col(key).cast("string").alias("k__"), F.col(text).alias("t__")).distinct()
+    r = rows.select(F.col(key).cast("string").alias("k__"), F.col(text).alias("t__")).dropDuplicates(["k__"])
     return r.join(per, "k__", "left").select(F.col("k__").alias("row_key"), replaced("t__", "p").alias("text"))
