@@ -1,13 +1,14 @@
-"""Which token classes may follow one another in each language, derived from the grammars, and productions over class strings.
+"""Which token classes may follow one another in each language, and productions over the levels of a file.
 
 The classes are those of the lexers. ``FOLLOW`` lists for each class what may come next; ^ is the start of the file and
-$ its end. A pair that isn't listed occurs in no valid file. What pairs can't see is left to bracket reduction and to
-the productions: regular expressions over the reduced class string that no valid file matches.
+$ its end. A pair that isn't listed occurs in no valid file. What pairs can't see is left to nesting and to the
+productions: conditions over a level, which is what a pair of brackets holds, with each inner pair reduced to one symbol.
 """
 
 from __future__ import annotations
 
-import re
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 OPERAND = "iqns(["
 
@@ -53,7 +54,7 @@ CSHARP = {
 }
 GO = {
     "^": "k;",
-    "k": "i({FsrxAnpd[;MTC",
+    "k": "i({FsrxAnpd[;MTC)",
     "i": "i.()[]{},;:abpydrh<>DTMCFAs",
     "n": ")]},;:bpdrh<>{",
     "s": ")]},;:bpdrh<>{[.(",
@@ -95,7 +96,8 @@ JAVASCRIPT = {
     "i": ".()[]{},;:?abpotydrh<>q$",
     "q": ".()[]{},;:?abpotydrh<>q$isnkuxD",
     "n": ")]},;:?bpodrh<>.$",
-    "s": ")]},;:?bpodrh<>.[q$(a",
+    "s": ")]},;:?bpodrh<>.[q$(aW",
+    "W": "({",
     "k": "i({[qsd.xpknuv:;,",
     "u": OPERAND + "{;upxykdq)].h:,}",
     "w": "{kiujq(y;xs[nd",
@@ -143,9 +145,9 @@ PYTHON = {
     "w": OPERAND + ":{hpxu",
     "v": OPERAND + "{hpxu:d",
     "j": "N;",
-    "f": "i.([qnsu{pk",
+    "f": "i.([qnsu{p",
     "g": "KlC",
-    "o": OPERAND + "{hpxu",
+    "o": OPERAND + "{hpxud",
     "p": OPERAND + "{pxu",
     "x": OPERAND + "{pxu",
     "b": OPERAND + "{pxu",
@@ -160,7 +162,7 @@ PYTHON = {
     ".": "iqk.",
     ",": OPERAND + ")]}{hpxudDNao:;",
     ";": "ikunNjfsqh([{px",
-    ":": OPERAND + "])N{hpxudjk,aYK}l",
+    ":": OPERAND + "])N{hpxudjk,aYK}l:",
     "(": OPERAND + "){hpxud",
     ")": ")],}.([:bpodDrh<>NklwftaH;g",
     "[": OPERAND + "]{hpxud:",
@@ -179,6 +181,8 @@ GO["r"] = "".join(dict.fromkeys(GO["r"] + GO.pop("r>") + OPERAND + "dpxhFAM"))
 for _rows in (CSHARP, JAVASCRIPT):  # class comes where other such words come
     for _a in [a for a, bs in _rows.items() if "k" in bs]:
         _rows[_a] += "L"
+for _a in [a for a, bs in JAVASCRIPT.items() if "k" in bs]:  # with: a statement, or after the name of a module
+    JAVASCRIPT[_a] += "W"
 for _a in CSHARP:  # switch: a statement, or after an operand
     if "k" in CSHARP[_a] or _a in "iqns)]}>yX":
         CSHARP[_a] += "S"
@@ -196,7 +200,7 @@ def permissible() -> list[tuple[str, str]]:
 
 
 #: Classes that only productions tell apart, as pairs know them.
-PLAIN = str.maketrans("123456", "kkwujk")
+PLAIN = str.maketrans("1234567", "kkwujkk")
 
 
 def pairs(cs: str) -> set[str]:
@@ -204,137 +208,74 @@ def pairs(cs: str) -> set[str]:
     return {a + b for a, b in zip("^" + cs, cs + "$", strict=True)}
 
 
-NOT_BRACKETS = {i: None for i in range(128) if chr(i) not in "()[]{}"}
+#: Brackets of all languages; Python's indentation opens (I) and closes (O) too. $ closes the file.
+OPEN, CLOSE = "([{I", ")]}O"
 
-
-def residue(cs: str) -> str:
-    """The brackets left when matching neighbours are taken out again and again: empty if all match."""
-    b = cs.translate(NOT_BRACKETS)
-    while b:
-        less = b.replace("()", "").replace("[]", "").replace("{}", "")
-        if len(less) == len(b):
-            return b
-        b = less
-    return b
-
-
-ROUND, SQUARE, CURLY = re.compile(r"\([^()\[\]{}]*\)"), re.compile(r"\[[^()\[\]{}]*\]"), re.compile(r"\{[^()\[\]{}]*\}")
-
-
-def flat(cs: str) -> str:
-    """Brackets without what they hold."""
-    while True:
-        less = CURLY.sub("\x03", SQUARE.sub("\x02", ROUND.sub("\x01", cs)))
-        if less == cs:
-            return cs.replace("\x01", "()").replace("\x02", "[]").replace("\x03", "{}")
-        cs = less
-
-
-PY_BLOCK = re.compile(r":NI([^IO]*)O")
-
-
-def python_productions(cs: str) -> bool:
-    """Whether blocks and compound statements are whole: a block after each : at a line's end and nowhere else, a colon in
-    each compound statement, except or finally after try, and these and else only after a block."""
-    lines = flat(cs)
-    if re.search(r"(?<!:N)I|:N(?!I)|(?:^|[NIO])(?:g?[KlC]|[wvY])[^N:]*N", lines):
-        return False
-    while True:
-        less = PY_BLOCK.sub(":Z", lines)
-        if less == lines:
-            break
-        lines = less
-    one = re.sub(r":(?!Z)[^NZ]*N", ":Z", lines)
-    return not re.search(r"Y:Z(?![vw])|(?:^|N)[vw]", one) and "I" not in one
-
-
-def json_productions(cs: str) -> bool:
-    """Whether the file reduces to one value: objects of name and value pairs, arrays of values."""
-    cs = cs.replace("n", "V")
-    while True:
-        less = re.sub(r"\{(?:s:[sV](?:,s:[sV])*)?\}|\[(?:[sV](?:,[sV])*)?\]", "V", cs)
-        if less == cs:
-            return cs in ("V", "s")
-        cs = less
-
-
-#: What no file of the language has: three names in a row; a class without a name, or whose body starts with a block;
-#: an initializer that goes on with a name; an object literal that starts with another.
-NEVER = {
-    "csharp": re.compile(r"iii|(?<![:,])L\{\{|[;}]u\{\{|a\{\}[iqnk]"),
-    "javascript": re.compile(r"L[iq]?(?:E[^{]*)?\{\{|[abpxu(,]\{\{"),
-}
-
-
-#: What no body of the language has, brackets within it being reduced: () \x01, [] \x02, {} \x03, and {} that hold neither
-#: ; nor a last block \x04. C#: try without handlers, a handler without try; a statement without ; at the end of the body,
-#: after return, break or continue, in the block of a statement or method, and before another name.
-TRY = {"csharp": re.compile(r"1[\x03\x04](?:v\x01?(?:q\x01)?[\x03\x04])*(?:3[\x03\x04])?"), "javascript": re.compile(r"(?<!\.)1\x03(?:v[\x01]?\x03)?(?:3\x03)?")}
+# Symbols of reduced brackets: () \x01, [] \x02, {} \x03, {} that ends as an expression does \x04 (C# only), Python's block Z.
+B = r"[\x03\x04]"
+#: By language: what no brace level and no file of it has. C#: a statement without ; at the end of the body, after return, break
+#: or continue, in the block of a statement or method, and before another name; an if without a statement; a class without a name; a declaration
+#: word alone; three names in a row; an initializer that goes on. Go: headers of if and for, two names at the start.
 BODY = {
-    "csharp": re.compile(r"4[^;]*$|5(?!;)|(?:[2k]\x01|[13w]|v\x01?)\x04|(?:^|[;\x03])\x02*k[kqi<>.,?\x02]*i\x01\x04|;(?:.*[^;\x03\x04])$"),
-    "go": re.compile(r"[26][^\x03]*$|2[^;\x03F]*;[^;\x03F]*;|6[^;\x03F]*;[^;\x03F]*\x03"),
-    "javascript": re.compile(r"(?:^|[;\x03])i(?:\.i)*\x01i"),
+    "csharp": rf"4[^;]*$|5(?!;)|(?:[26k]\x01|[13w]|v\x01?)\x04|(?:^|[;\x03])\x02*k[kqi<>.,?\x02]*i\x01\x04|;(?:.*[^;\x03\x04])$|2\x01[w;](?=w)|2\x01w|(?<![:,])L{B}|(?:^|[;\x03\x04])k;|iii|a{B}[iqnk]",
+    "go": r"[26][^\x03]*$|2[^;\x03F]*;[^;\x03F]*;|6[^;\x03F]*;[^;\x03F]*\x03",
+    "javascript": r"(?:^|[;\x03])i(?:\.i)*\x01i|2\x01w|(?:^|[;\x03])q?7d?\x01",
 }
-CALLS = BODY["javascript"]
+CALLS = r"(?:^|[;\x03])i(?:\.i)*\x01i"
+#: A try with its handlers, and what is left of one without.
+TRY = {"csharp": rf"1{B}(?:(?:v\x01?(?:q\x01)?{B})+(?:3{B})?|3{B})", "javascript": r"(?<!\.)1\x03(?:v\x01?\x03(?:3\x03)?|3\x03)"}
 #: JavaScript: what stands in no body of a class or object, where methods may be named catch; and handlers without try.
-STATEMENT = re.compile(r"(?:^|[;\x03])(?:k[iq\x02\x03]|i(?:\.[a-z0-9])*\x01;|i(?:\.[a-z0-9])+a|u[iqns])")
-HANDLER = re.compile(r"(?<!\.)(?:3\x03|v\x03)"), re.compile(r"\x03v\x01\x03")
-
-
-def bodies(cs: str) -> list[str]:
-    """What each pair of braces holds, brackets within it reduced; the whole file comes last."""
-    out: list[str] = []
-
-    def body(m: re.Match) -> str:
-        s = m.group()[1:-1]
-        out.append(s)
-        return "\x03" if not s or ";" in s or s[-1] in "\x03\x04" else "\x04"
-
-    while True:
-        less = CURLY.sub(body, SQUARE.sub("\x02", ROUND.sub("\x01", cs)))
-        if less == cs:
-            return [*out, cs]
-        cs = less
-
-
-def else_without_if(s: str) -> bool:
-    """Whether a body has more else than if before it."""
-    n = 0
-    for m in re.finditer(r"(?<!\.)2(?!:)|(?:^|(?<=[;\x03\x04]))w(?![:\x01,=])", s):
-        n += 1 if m.group() == "2" else -1
-        if n < 0:
-            return True
-    return False
-
-
-def statements(language: str, cs: str) -> bool:
-    """Whether the statements of C#, Go and JavaScript are whole, as far as ``BODY`` and ``TRY`` tell."""
-    levels = bodies(cs)
-    for s in levels:
-        if language != "csharp":
-            s = s.replace("\x04", "\x03")
-        if "w" in s and else_without_if(s) or BODY[language].search(s):
-            return False
-        if language == "csharp" and (re.search("[v3]", TRY["csharp"].sub(lambda m: m.group() if m.end() - m.start() == 2 else "\x03", s)) or ";" in s and CALLS.search(s)):
-            return False
-        if language == "javascript" and ("v" in s or "3" in s):
-            rest = TRY["javascript"].sub(lambda m: m.group() if m.end() - m.start() == 2 else "\x03;", s)
-            if HANDLER[0].search(rest) or HANDLER[1].search(rest) and STATEMENT.search(rest):
-                return False
-        if language != "go" and "1" in s and any(m.end() - m.start() == 2 for m in TRY[language].finditer(s)):
-            return False
-    return language != "go" or not re.search("(?:^|;)[^;kF]", levels[-1])  # only declarations stand outside
-
-
-def productions(language: str, cs: str) -> bool:
-    """Whether the class string, whose brackets match, satisfies the productions of its language."""
-    if language == "python":
-        return python_productions(cs)
-    if language == "json":
-        return json_productions(cs)
-    if not statements(language, cs):
-        return False
-    cs = cs.translate(PLAIN)
-    if language == "go":
-        return bool(re.match(r";*ki;", cs))  # a package clause comes first
-    return not NEVER[language].search(cs) and not (language == "csharp" and "a{" in cs and NEVER[language].search(flat(cs)))
+STATEMENT = r"(?:^|[;\x03])(?:[k67][iq\x02\x03]|i(?:\.[a-z0-9])*\x01;|i(?:\.[a-z0-9])+a|u[iqns])"
+#: Python lines: a compound statement without a colon, an assignment as its condition, a call as the target of an assignment.
+PY_LINE = r"(?:^|[NZ])(?:g?[KlC]|[wvY])[^N:]*N|(?:^|[NZ])g?[lKv][^N:u]*a|(?:^|[NZ])[iq.\x01\x02]*[iq\x01\x02]\x01a"
+#: Python arguments: a plain one after one by keyword, or a parameter without a default after one with; a call as keyword.
+PY_KEYWORD = r"[iq](?::[^,a]*)?a[^,]*,[^,ad:D][^,a]*(?:,|$)"
+PY_PARAMETER, PY_ARGUMENT = rf"^(?:[^d]*,)?{PY_KEYWORD}", rf"(?:^|,){PY_KEYWORD}|(?:^|,)[iq.\x01\x02]*[iq]\x01a"
+JSON_VALUE = r"[sn\x02\x03]"
+
+
+def placeholder(kind: Column, run: Column, before: Column, language: Column) -> Column:
+    """The symbol of a closed bracket: its kind, and whether what it ends with is a statement (run: the tokens before it
+    since the bracket ``before``)."""
+    whole = F.endswith(run, F.lit(";")) | ((run == "") & before.isin("{", "}")) | (language != "csharp")
+    return F.when(kind == ")", "\x01").when(kind == "]", "\x02").when(kind == "O", "Z").when(kind == "}", F.when(whole, "\x03").otherwise("\x04")).otherwise("")
+
+
+def row_fault(language: Column, run: Column, bracket: Column, before: Column, run_before: Column, before_that: Column) -> Column:
+    """Productions that a bracket and its neighbours decide: Python's blocks stand after : at a line's end, and only there;
+    braces that open twice where no block can stand."""
+    ends = F.endswith(run, F.lit(":N"))
+    block = (bracket == "I") != ends
+    twice = (bracket == "{") & (run == "") & (before == "{")
+    at = F.coalesce(run_before, F.lit(""))
+    never = F.when(language == "csharp", at.rlike("(?:^|;)u$")).when(language == "javascript", at.rlike(r"(?:L[iq]?(?:E.*)?|[abpxu,])$") | ((at == "") & (before_that == "(")))
+    return F.when(language == "python", block | run.rlike(":N(?!$)")).when(twice, never).otherwise(F.lit(False))
+
+
+def unbalanced_else(s: Column) -> Column:
+    """Whether a level has more else than if before it; levels without an else cost nothing."""
+    marks = F.regexp_extract_all(s, F.lit(r"((?<!\.)2(?!:)|(?:^|(?<=[;\x03\x04]))w(?![:\x01,=]))"), 1)
+    low = F.aggregate(marks, F.struct(F.lit(0).alias("n"), F.lit(0).alias("low")), lambda a, x: F.struct((a["n"] + F.when(x == "2", 1).otherwise(-1)).alias("n"), F.least(a["low"], a["n"] + F.when(x == "2", 1).otherwise(-1)).alias("low")))
+    return F.when(F.contains(s, F.lit("w")), low["low"] < 0).otherwise(F.lit(False))
+
+
+def level_fault(language: Column, level: Column, opener: Column, head: Column, s: Column) -> Column:
+    """Whether a level breaks a production. head: the last two classes before the bracket that opens it."""
+    body = (opener == "{") | (level == 0)
+    tried = lambda lang: F.regexp_replace(s, TRY[lang], "\x03;" if lang == "javascript" else "\x03")
+    has = lambda *xs: F.lit(False) if not xs else F.contains(s, F.lit(xs[0])) | has(*xs[1:])
+    header = (opener == "(") & F.when(F.endswith(head, F.lit("6")), ~s.rlike("^[^;]*;[^;]*;[^;]*$")).otherwise(has(";"))
+    cs_try = F.when(has("1", "v", "3"), tried("csharp").rlike(rf"[v3]|1{B}")).otherwise(F.lit(False))
+    csharp = F.when(body, s.rlike(BODY["csharp"]) | unbalanced_else(s) | cs_try | (has(";") & s.rlike(CALLS))).otherwise(header)
+    js_rest = tried("javascript")
+    js_try = F.when(has("1", "v", "3"), js_rest.rlike(r"(?<!\.)(?:3\x03|v\x03|1\x03)") | (js_rest.rlike(r"\x03v\x01\x03") & js_rest.rlike(STATEMENT))).otherwise(F.lit(False))
+    js_for = (opener == "(") & F.when(F.endswith(head, F.lit("6")), ~s.rlike("^[^;]*;[^;]*;[^;]*$|^[^;]*[oq][^;]*$")).otherwise(has(";"))
+    javascript = F.when(body, s.rlike(BODY["javascript"]) | unbalanced_else(s) | js_try).otherwise(js_for)
+    top = (level == 0) & (~s.rlike("^;*ki;") | s.rlike("(?:^|;)[^;kF]"))
+    go = F.when(body, s.rlike(BODY["go"]) | unbalanced_else(s) | top | ((opener == "{") & ~F.endswith(head, F.lit("T")) & s.rlike("(?:^|;)ii"))).otherwise(F.lit(False))
+    blocks = F.regexp_replace(F.regexp_replace(s, ":NZ", ":Z"), ":(?!Z)[^NZ]*N", ":Z")
+    lines = s.rlike(PY_LINE) | F.when(F.contains(s, F.lit("v")) | F.contains(s, F.lit("w")) | F.contains(s, F.lit("Y")), blocks.rlike("Y:Z(?![vw])|(?:^|N)[vw]")).otherwise(F.lit(False))
+    python = F.when((level == 0) | (opener == "I"), lines).when(opener == "(", ~has("u", "l") & F.when(head == "Ci", s.rlike(PY_PARAMETER)).otherwise(s.rlike(PY_ARGUMENT))).otherwise(F.lit(False))
+    member = rf"s:{JSON_VALUE}"
+    json = F.when(level == 0, ~s.rlike(f"^{JSON_VALUE}$")).when(opener == "{", ~s.rlike(f"^(?:{member}(?:,{member})*)?$")).otherwise(~s.rlike(f"^(?:{JSON_VALUE}(?:,{JSON_VALUE})*)?$"))
+    return F.when(language == "csharp", csharp).when(language == "go", go).when(language == "javascript", javascript).when(language == "python", python).otherwise(json)

@@ -4,10 +4,10 @@ Lexing is two passes at C speed: one regular expression splits the text into tok
 token to its class; only tokens seen for the first time run Python code. Classes (the same in all languages):
 
 i name   q word that is also a name   n number   s string or character   k word that starts a declaration or statement
-o word used as a binary operator   u word used as a prefix operator   w v j m f g l r A C E F K L M S T Y words with followers of their own
+o word used as a binary operator   u word used as a prefix operator   w v j m f g l r A C E F K L M S T W Y words with followers of their own
 p + -   d * &   h ^   b other binary operator   r <= >=   a assignment   x prefix ! ~   X postfix !   y ++ --   t arrow   D .. ... /
 < > . , ; : ? ( ) [ ] { } themselves   N end of a line that counts   I O deeper and shallower indentation   e malformed token
-1 try   2 if   3 finally   4 return   5 break, continue   6 for: known to the productions of C#, Go and JavaScript; to pairs they are k, k, w, u, j, k
+1 try   2 if   3 finally   4 return   5 break, continue   6 for   7 function: known to the productions of C#, Go and JavaScript; to pairs they are k, k, w, u, j, k, k
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Callable
 CSHARP = {
     "L": "class",
     "S": "switch",
-    "k": "abstract const delegate do enum event explicit extern fixed for foreach implicit interface internal lock namespace override private protected public readonly sealed static struct unsafe using virtual volatile while",
+    "k": "abstract const delegate do enum event explicit extern fixed foreach implicit interface internal lock namespace override private protected public readonly sealed static struct unsafe using virtual volatile while",
     "o": "as is operator",
     "u": "await new throw out ref in params case",
     "w": "else",
@@ -28,6 +28,7 @@ CSHARP = {
     "3": "finally",
     "4": "return",
     "5": "break continue",
+    "6": "for",
     "v": "catch",
     "q": "add alias and ascending async by descending equals field file from get global group init into join let managed nameof not notnull on or orderby partial record remove required scoped select set unmanaged var when where with yield",
     "j": "goto default",
@@ -44,7 +45,10 @@ GO = {
 }
 JS = {
     "L": "class",
-    "k": "const do enum for function import switch var while with",
+    "k": "const do enum import switch var while",
+    "6": "for",
+    "7": "function",
+    "W": "with",
     "o": "instanceof in",
     "u": "await new throw return typeof void delete case yield",
     "q": "as async from get let of set static",

@@ -1,7 +1,14 @@
-"""Source files that do not parse: token pairs against the grammar's permissible pairs, then nesting and productions."""
+"""Source files that do not parse: token pairs against permissible pairs, then nesting and productions by windows.
+
+A file's tokens become rows: one for each bracket, with the classes of the tokens since the bracket before it. Windows
+over the rows of a file give the depth of each, windows over the rows of one depth the pair of brackets that holds it; the rows
+of each pair, inner pairs reduced to one symbol, are one level, which must satisfy the productions of its language. All
+of it is linear in the number of tokens, however deep they nest.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,24 +23,26 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
+#: Tokens up to a bracket and the bracket; Python's indentation is one, there and only there.
+PIECES, PYTHON_PIECES = re.compile(r"[^()\[\]{}$]*[()\[\]{}$]"), re.compile(r"[^()\[\]{}IO$]*[()\[\]{}IO$]")
+
+
 def lex(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(file_id, ext, content) -> (file_id, language, pairs, residue, whole): the file's distinct pairs of adjacent token
-    classes, the brackets that local reduction leaves, and whether its productions hold (where brackets match)."""
-    schema = pa.schema([("file_id", pa.int64()), ("language", pa.string()), ("pairs", pa.list_(pa.string())), ("residue", pa.string()), ("whole", pa.bool_())])
+    """(file_id, ext, content) -> (file_id, language, pairs, pieces): the file's distinct pairs of adjacent token classes, and
+    its classes cut after each bracket; the last piece ends with $."""
+    schema = pa.schema([("file_id", pa.int64()), ("language", pa.string()), ("pairs", pa.list_(pa.string())), ("pieces", pa.list_(pa.string()))])
     for b in batches:
-        ids, exts, texts = (b.column(k).to_pylist() for k in range(3))
         rows: list[tuple] = []
-        for i, ext, text in zip(ids, exts, texts, strict=True):
+        for i, ext, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             language, run = lexers.LANGUAGES[ext]
-            cs = run(text if ext == "json" else text.lstrip("﻿"))
-            rest = grammar.residue(cs)
-            rows.append((i, language, sorted(grammar.pairs(cs)), rest, bool(rest) or grammar.productions(language, cs)))
+            cs = run(text if ext == "json" else text.lstrip("\ufeff")).replace("$", "e")
+            rows.append((i, language, sorted(grammar.pairs(cs)), (PYTHON_PIECES if ext == "py" else PIECES).findall(cs + "$")))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else pa.RecordBatch.from_pylist([], schema)
 
 
 def lexed(corpus: DataFrame) -> DataFrame:
     """Lexed files of a known extension; other extensions and null contents give no row."""
-    schema = "file_id bigint, language string, pairs array<string>, residue string, whole boolean"
+    schema = "file_id bigint, language string, pairs array<string>, pieces array<string>"
     files = corpus.select("file_id", extension(F.col("relative_path")).alias("ext"), "content").where(F.col("ext").isin(*lexers.LANGUAGES) & F.col("content").isNotNull() & F.col("file_id").isNotNull())
     return files.mapInArrow(lex, schema)
 
@@ -41,36 +50,44 @@ def lexed(corpus: DataFrame) -> DataFrame:
 def faults(corpus: DataFrame) -> DataFrame:
     """(file_id, language, fault, detail) of every file that doesn't parse; a file may have several faults.
 
-    pair: two tokens that can't be neighbours. nesting: an opened or closed bracket without a partner. production: a
-    statement or block that isn't whole. Files are lexed in one pass over the scan; the permissible pairs are a fixed
-    table, broadcast for the anti-join, so nothing is shuffled but the faults of the few files that have any.
+    pair: two tokens that can't be neighbours. nesting: a bracket without a partner of its kind. production: a statement,
+    block or list that isn't whole; detail is the level. Rows that repeat a file are told apart by its position in the
+    scan, so a file may come twice. Files are lexed in one pass; the permissible pairs are a fixed table, broadcast for the
+    anti-join, which leaves the brackets' rows (they have no pair) and the few pairs that are none.
     """
     spark = corpus.sparkSession
-    rows = lexed(corpus)
-    # one pass over the lexed rows: each file's pairs, its leftover brackets and its productions become rows of one kind
-    facts = F.concat(
-        F.transform("pairs", lambda p: F.struct(F.lit("pair").alias("fault"), p.alias("detail"), F.lit(0).alias("pos"))),
-        F.when(F.col("residue") != "", F.transform(F.split("residue", "(?!^)"), lambda c, i: F.struct(F.lit("nesting").alias("fault"), c.alias("detail"), i.alias("pos")))).otherwise(F.array().cast("array<struct<fault:string,detail:string,pos:int>>")),
-        F.when(~F.col("whole"), F.array(F.struct(F.lit("production").alias("fault"), F.lit("").alias("detail"), F.lit(0).alias("pos")))).otherwise(F.array().cast("array<struct<fault:string,detail:string,pos:int>>")),
-    )
-    allowed = spark.createDataFrame(grammar.permissible(), "language string, detail string").withColumn("fault", F.lit("pair"))
-    bad = rows.select("file_id", "language", F.inline(facts)).join(F.broadcast(allowed), ["language", "fault", "detail"], "left_anti")
-    # leftover brackets reduce to how deep the file still is after the last, and how far it went below zero
-    w = W.partitionBy("file_id", "language").orderBy("pos")
-    turn = F.when(F.col("detail").isin("(", "[", "{"), 1).otherwise(-1)
-    nest = bad.where("fault = 'nesting'").withColumn("depth", F.sum(turn).over(w)).groupBy("file_id", "language").agg(F.min("depth").alias("low"), F.max_by("depth", "pos").alias("end"))
-    nest = nest.select("file_id", "language", F.lit("nesting").alias("fault"), F.concat_ws(" ", F.lit("lowest"), F.col("low"), F.lit("end"), F.col("end")).alias("detail"))
-    return bad.where("fault <> 'nesting'").select("file_id", "language", "fault", "detail").union(nest).distinct()
+    x = lexed(corpus).withColumn("copy", F.monotonically_increasing_id())
+    none = F.lit(None).cast("string")
+    rows = F.concat(F.transform("pairs", lambda p: F.struct(F.lit(-1).alias("pos"), p.alias("pair"), none.alias("piece"))), F.transform("pieces", lambda p, i: F.struct(i.alias("pos"), none.alias("pair"), p.alias("piece"))))
+    allowed = spark.createDataFrame(grammar.permissible(), "language string, pair string")
+    t = x.select("file_id", "copy", "language", F.inline(rows)).join(F.broadcast(allowed), ["language", "pair"], "left_anti")
+    bracket = F.right("piece", F.lit(1))
+    t = t.withColumn("bracket", bracket).withColumn("run", F.expr("substring(piece, 1, length(piece) - 1)")).drop("piece")
+    # depth before each bracket, and its neighbours, in the order of the file
+    key = ["file_id", "copy", "language"]
+    w = W.partitionBy("file_id", "copy").orderBy("pos")
+    turn = F.when(F.col("bracket").isin(*grammar.OPEN), 1).when(F.col("bracket").isin(*grammar.CLOSE), -1).otherwise(0)
+    lag = lambda c, n: F.lag(c, n).over(w)
+    t = t.withColumn("level", F.coalesce(F.sum(turn).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumns({"b1": lag("bracket", 1), "b2": lag("bracket", 2), "r1": lag("run", 1)})
+    opened = F.col("b1").isin(*grammar.OPEN)
+    symbol = F.when(opened | F.col("b1").isNull(), "").otherwise(grammar.placeholder(F.col("b1"), F.col("r1"), F.coalesce("b2", F.lit("")), F.col("language")))
+    wrong = F.coalesce(grammar.row_fault(F.col("language"), F.col("run"), F.col("bracket"), F.col("b1"), F.col("r1"), F.col("b2")), F.lit(False))
+    # the pair of brackets of each row: closed ones before it at its depth are counted
+    v = W.partitionBy("file_id", "copy", "level").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    t = t.withColumn("block", F.coalesce(F.sum(F.col("bracket").isin(*grammar.CLOSE).cast("int")).over(v), F.lit(0)))
+    part = F.struct("pos", F.concat(symbol, "run").alias("s"), F.when(opened, F.col("b1")).alias("opener"), F.when(opened, F.right("r1", F.lit(2))).alias("head"), "bracket", wrong.alias("wrong"))
+    levels = t.where("pair is null").groupBy(*key, "level", "block").agg(F.array_sort(F.collect_list(part)).alias("p"))
+    level = levels.select(*key, "level", F.array_join(F.transform("p", lambda y: y["s"]), "").alias("s"), F.col("p")[0]["opener"].alias("opener"), F.coalesce(F.col("p")[0]["head"], F.lit("")).alias("head"), F.element_at("p", -1)["bracket"].alias("closer"), F.exists("p", lambda y: y["wrong"]).alias("wrong"))
+    matched = F.concat(F.coalesce("opener", F.lit("")), "closer").isin("()", "[]", "{}", "IO", "$")
+    broken = F.col("wrong") | grammar.level_fault(F.col("language"), F.col("level"), F.coalesce("opener", F.lit("")), F.col("head"), F.col("s"))
+    fault = F.when(~matched, "nesting").when(broken, "production")
+    bad = level.select("file_id", "language", fault.alias("fault"), F.concat(F.coalesce("opener", F.lit("")), "closer", F.lit(" at depth "), F.col("level").cast("string")).alias("detail")).where("fault is not null")
+    return bad.union(t.where("pair is not null").select("file_id", "language", F.lit("pair"), "pair")).distinct()
 
 
 def not_parsing(corpus: DataFrame) -> DataFrame:
-    """(file_id): the files with any fault, in one pass over the corpus."""
-    spark = corpus.sparkSession
-    allowed = spark.createDataFrame(grammar.permissible(), "language string, pair string")
-    rows = lexed(corpus)
-    broken = (F.col("residue") != "") | ~F.col("whole")
-    pairs = rows.select("file_id", "language", F.explode(F.when(broken, F.array(F.lit("none"))).otherwise(F.col("pairs"))).alias("pair"))
-    return pairs.join(F.broadcast(allowed), ["language", "pair"], "left_anti").select("file_id").distinct()
+    """(file_id): the files with any fault."""
+    return faults(corpus).select("file_id").distinct()
 
 
 def rates(corpus: DataFrame) -> DataFrame:

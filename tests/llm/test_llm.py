@@ -93,32 +93,35 @@ GOOD = {
 }
 
 
-@pytest.mark.parametrize("ext", GOOD)
-def test_valid_files_have_no_faults(ext):
-    language, lex = lexers.LANGUAGES[ext]
-    allowed = set(grammar.permissible())
-    for text in GOOD[ext]:
-        cs = lex(text)
-        assert [p for p in grammar.pairs(cs) if (language, p) not in allowed] == []
-        assert grammar.residue(cs) == "" and grammar.productions(language, cs)
+def failing(spark, cases):
+    """Which of (ext, text) cases the operator refuses, in one job."""
+    rows = [(i, "r", f"f{i}.{ext}", None, text) for i, (ext, text) in enumerate(cases)]
+    bad = {r.file_id for r in parse.not_parsing(spark.createDataFrame(rows, CORPUS)).collect()}
+    return [i in bad for i in range(len(cases))]
 
 
-def fails(ext, text):
-    language, lex = lexers.LANGUAGES[ext]
-    cs = lex(text)
-    allowed = set(grammar.permissible())
-    return bool(grammar.residue(cs)) or not grammar.productions(language, cs) or any((language, p) not in allowed for p in grammar.pairs(cs))
+def refused(spark, cases):
+    return [c for c, f in zip(cases, failing(spark, cases), strict=True) if f]
 
 
-def test_broken_files_fail():
+def accepted(spark, cases):
+    return [c for c, f in zip(cases, failing(spark, cases), strict=True) if not f]
+
+
+def test_valid_files_have_no_faults(spark):
+    assert refused(spark, [(ext, t) for ext, ts in GOOD.items() for t in ts]) == []
+
+
+def test_broken_files_fail(spark):
+    cases = []
     for ext, good in GOOD.items():
         text = good[0]
-        assert fails(ext, text[: len(text) * 2 // 3]), ext
-        assert fails(ext, text + "\n<<<<<<< HEAD\nx\n=======\ny\n>>>>>>> b\n"), ext
+        cases += [(ext, text[: len(text) * 2 // 3]), (ext, text + "\n<<<<<<< HEAD\nx\n=======\ny\n>>>>>>> b\n")]
         if ext != "json":
-            assert fails(ext, "id,name,at\na,b,2023-01-02 10:20,1.5\nc,d,2023-01-03 11:21,2.5\n"), ext
-    assert fails("py", 'def f():\nx = 1\n') and fails("py", 'print "a"\n') and fails("py", "try:\n    x = 1\ny = 2\n") and fails("js", "export class {{ a.b }} {}") and fails("cs", "class A { int F() { var t = ) 0; } }") and fails("cs", "x = “a”;")
-    assert fails("json", '{"a": 1,}') and fails("json", "{a: 1}") and fails("json", '{"a": 1} {}') and fails("json", "") and fails("go", "")
+            cases.append((ext, "id,name,at\na,b,2023-01-02 10:20,1.5\nc,d,2023-01-03 11:21,2.5\n"))
+    cases += [("py", "def f():\nx = 1\n"), ("py", 'print "a"\n'), ("py", "try:\n    x = 1\ny = 2\n"), ("js", "export class {{ a.b }} {}"), ("cs", "class A { int F() { var t = ) 0; } }"), ("cs", "x = “a”;")]
+    cases += [("json", t) for t in ('{"a": 1,}', "{a: 1}", '{"a": 1} {}', "", "[1 2]", "[1}", '{"a" 1}', '{"a": {"b": 1]}}')] + [("go", ""), ("cs", "class A { int[] a = (1]; }"), ("js", "f(}"), ("py", "x = (1]\n")]
+    assert accepted(spark, cases) == []
 
 
 WHOLE = {
@@ -133,30 +136,47 @@ CUT = {
 }
 
 
-@pytest.mark.parametrize("ext", CUT)
-def test_statements_are_whole(ext):
-    for text in WHOLE[ext]:
-        assert not fails(ext, text), text
-    for text in CUT[ext]:
-        assert fails(ext, {"cs": f"class A {{ {text} }}", "go": "package a\n\n" + text, "js": text}[ext]), text
+FRAME = {"cs": "class A {{ {} }}", "go": "package a\n\n{}", "js": "{}", "py": "{}"}
+#: What parsers of the languages say about single constructs.
+VALID = {
+    "go": ["func F(y any) {\n\tswitch x := y.(type) {\n\tcase int:\n\t\tg(x)\n\t}\n}\n", "type S struct {\n\ta b\n\tc, d int\n}\n\nconst (\n\tx int = 1\n)\n"],
+    "py": ["a[::2]\n", "a[1:2, ::3]\n", "for x in *a, b:\n    pass\n", "def f(a, *b, c=1, d, **e): pass\n", "f(*a, b, c=1, **d)\n", "(a, b) = f(), c\nf().x = 3\na[f()] = 1\n", "def f(a: int = 1, b: str = 'x', /) -> int:\n    return 1\n", "if (lambda x=1: x)(): pass\n"],
+    "js": ['import x from "y" with { type: "json" };\n', "export default function (a) {}\nfor (const x of y) { }\nfor (;;) { break }\n(function () {})()\n"],
+    "cs": ["void F() { if (a) G(); else { } for (int i = 0, j = 1; i < 3; i++) { } }", "void F<T>() where T : class { } abstract void G<T>() where T : struct;"],
+}
+INVALID = {
+    "cs": ["void F() { if (x) else G(); }", "class { }", "void F() { for (int i = 0; i < 3) {} }", "void F() { G(a; b); }"],
+    "go": ["func F() {\n\ta b c\n}\n", "func F() {\n\ta b\n}\n"],
+    "js": ["if (a) else b;", "function (a) {}", "for (let i = 0; i < 3) { }", "f(a; b)"],
+    "py": ["def f(a=1, b): pass\n", "f(a=1, b)\n", "if x = 1: pass\n", "f() = 3\n", "from import x\n"],
+}
+
+
+def test_statements_are_whole(spark):
+    assert refused(spark, [(e, t) for e, ts in WHOLE.items() for t in ts] + [(e, FRAME[e].format(t)) for e, ts in VALID.items() for t in ts]) == []
+    assert accepted(spark, [(e, FRAME[e].format(t)) for x in (CUT, INVALID) for e, ts in x.items() for t in ts] + [("cs", "using;\nclass A { }")]) == []
 
 
-def test_python_and_json_agree_with_their_parsers():
+def test_python_and_json_agree_with_their_parsers(spark):
     rnd = random.Random(7)
-    for _ in range(150):
+    valid, broken = [], []
+    for _ in range(300):
         for ext, parse_ in (("py", ast.parse), ("json", json.loads)):
             text = GOOD[ext][0]
             a = rnd.randrange(len(text))
             text = rnd.choice([text[:a], text[:a] + rnd.choice([")", "= ", "[", "}", ": "]) + text[a:]])
             try:
                 parse_(text)
-                valid = True
+                valid.append((ext, text))
             except (SyntaxError, ValueError):
-                valid = False
-            if not valid and ext == "json":
-                assert fails(ext, text), text
-            if valid:
-                assert not fails(ext, text), text
+                if ext == "json":
+                    broken.append((ext, text))
+    assert refused(spark, valid) == [] and accepted(spark, broken) == []
+
+
+def test_deep_nesting_is_linear(spark):
+    n = 200_000
+    assert failing(spark, [("json", "[" * n + "]" * n), ("json", "[" * n + "]" * (n - 1)), ("cs", "class A { int x = " + "(" * n + "1" + ")" * n + "; }")]) == [False, True, False]
 
 
 def test_not_parsing(spark):
