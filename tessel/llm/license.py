@@ -184,13 +184,7 @@ def repositories(jobs: DataFrame, license_info: DataFrame, license_texts: DataFr
     templates, spelling, hashes, known = _prepared(license_texts)
     lengths = sorted({len(spelling.skeleton(b)) for _, _, b in templates})
 
-    @F.pandas_udf("array<bigint>")
-    def own_terms(text: pd.Series) -> pd.Series:
-        out = []
-        for t in text:
-            t = COPYRIGHT.sub("", re.split(THIRD_PARTY, t, maxsplit=1)[0]) if t else ""
-            out.append(sorted(stretches(spelling.skeleton(t), lengths)))
-        return pd.Series(out, dtype=object)
+    own_terms = _own_terms(spelling, lengths)
 
     @F.pandas_udf("string")
     def named(license: pd.Series) -> pd.Series:
@@ -205,6 +199,19 @@ def repositories(jobs: DataFrame, license_info: DataFrame, license_texts: DataFr
     return everyone.join(both.withColumnRenamed("key", "repo_id"), "repo_id", "left").select("repo_id", verdict.alias("verdict"))
 
 
+def _own_terms(spelling: Spelling, lengths: list[int]):
+    @F.pandas_udf("array<bigint>")
+    def own_terms(text: pd.Series) -> pd.Series:
+        """The hashes of a licence file's own wording, without copyright lines and notices of third parties."""
+        out = []
+        for t in text:
+            t = COPYRIGHT.sub("", re.split(THIRD_PARTY, t, maxsplit=1)[0]) if t else ""
+            out.append(sorted(stretches(spelling.skeleton(t), lengths)))
+        return pd.Series(out, dtype=object)
+
+    return own_terms
+
+
 def _prepared(license_texts: DataFrame):
     templates = [(r[0], r[1] or "", r[2] or "") for r in license_texts.where("spdx is not null").select("spdx", "title", "body").orderBy("spdx").collect()]
     spelling = Spelling(templates)
@@ -228,6 +235,8 @@ def files(corpus: DataFrame, license_texts: DataFrame) -> DataFrame:
     """
     templates, spelling, hashes, known = _prepared(license_texts)
     lengths = sorted({len(spelling.skeleton(b)) for _, _, b in templates})
+    # a comment with 0.8 of a template's runs of five words has so many letters at least
+    shortest = min((5 * int(0.8 * (n - 4) + 4) for n in lengths), default=0)
     schema = pa.schema([("file_id", pa.int64()), ("repository_id", pa.string()), ("said", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +253,7 @@ def files(corpus: DataFrame, license_texts: DataFrame) -> DataFrame:
                         continue
                     one = stated(block, known)
                     said = one if one and (said in (None, "UNKNOWN")) else said
-                    if len(block) > 120:
+                    if len(block) >= shortest:
                         found |= stretches(spelling.skeleton(COPYRIGHT.sub("", block)), lengths)
                 if said or found:
                     for k, v in (("file_id", i), ("repository_id", repo), ("said", said), ("hashes", sorted(found))):
@@ -272,14 +281,29 @@ def verdicts(corpus: DataFrame, jobs: DataFrame, license_info: DataFrame, licens
     return repos.select(F.lit("repository").alias("scope"), F.col("repo_id").alias("subject"), "verdict").union(f.select(F.lit("file"), F.col("file_id").cast("string"), own)).distinct()
 
 
+#: Names of licence files: plain text, so nothing that code is kept in.
+LICENSE_FILE = r"^(?:un)?(?:licen[sc]e|copying|notice)s?(?:[-_.](?:md|txt|rst|text|mit|apache|bsd|gpl|lgpl|mpl))*$"
+
+
+def license_files(corpus: DataFrame, license_texts: DataFrame) -> DataFrame:
+    """(repository_id, dir, dir_stated) of directories with licence files: the licence whose wording they carry as their own
+    terms, CONFLICT where two files carry different ones, UNKNOWN where none is of the templates. Blank files state nothing."""
+    templates, spelling, hashes, _ = _prepared(license_texts)
+    lengths = sorted({len(spelling.skeleton(b)) for _, _, b in templates})
+    named = F.lower(F.regexp_extract("relative_path", r"([^/]*)$", 1)).rlike(LICENSE_FILE)
+    f = corpus.where(named & F.col("file_id").isNotNull() & (F.trim("content") != "")).select(F.col("file_id").alias("key"), "repository_id", F.regexp_extract("relative_path", r"^(.*?)/?[^/]*$", 1).alias("dir"), "content")
+    worded = _matched(f.select("key", F.explode(_own_terms(spelling, lengths)("content")).alias("hash")), hashes)
+    per = f.select("key", "repository_id", "dir").distinct().join(worded, "key", "left").groupBy("repository_id", "dir").agg(F.collect_set("spdx").alias("s"))
+    return per.select("repository_id", "dir", F.when(F.size("s") == 0, "UNKNOWN").when(F.size("s") == 1, F.col("s")[0]).otherwise("CONFLICT").alias("dir_stated"))
+
+
 def inherited(corpus: DataFrame, jobs: DataFrame, license_info: DataFrame, license_texts: DataFrame) -> DataFrame:
-    """(file_id, verdict, from): the licence of every file: its own statement, else that of the nearest directory above
-    whose licence file states one, else the repository's; misses are UNKNOWN."""
+    """(file_id, verdict, from): the licence of every file: its own statement, else that of the licence files of the nearest
+    directory upwards that has any, else the repository's; misses are UNKNOWN. The files of a repository without an entry
+    are UNKNOWN too; null paths are taken as in the root."""
     own = files(corpus, license_texts)
     place = corpus.where("file_id is not null").select("file_id", "repository_id", F.coalesce("relative_path", F.lit("")).alias("path")).distinct()
-    is_license = F.lower(F.regexp_extract("path", r"([^/]*)$", 1)).rlike(r"^(licen[sc]e|copying|notice)(\..*)?$")
-    folder = lambda c: F.regexp_extract(c, r"^(.*?)/?[^/]*$", 1)
-    dirs = place.where(is_license).join(own, ["file_id", "repository_id"]).groupBy("repository_id", folder("path").alias("dir")).agg(F.min("stated").alias("dir_stated"))
+    dirs = license_files(corpus, license_texts)
     up = F.transform(F.sequence(F.lit(0), F.size(F.split("path", "/")) - 1), lambda n: F.array_join(F.slice(F.split("path", "/"), 1, n), "/"))
     nearest = place.select("file_id", "repository_id", F.explode(F.array_distinct(up)).alias("dir")).join(dirs, ["repository_id", "dir"]).groupBy("file_id").agg(F.max_by("dir_stated", F.length("dir")).alias("dir_stated"))
     repos = repositories(jobs, license_info, license_texts).withColumnRenamed("repo_id", "repository_id")

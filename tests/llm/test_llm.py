@@ -47,6 +47,18 @@ def test_license_verdicts(spark):
     assert license.verdicts(c.limit(0), j.limit(0), info.limit(0), texts).count() == 0
 
 
+def test_files_inherit_by_directory(spark):
+    texts = spark.createDataFrame(TEMPLATES, "spdx string, title string, body string")
+    mit, isc = TEMPLATES[0][2], TEMPLATES[1][2]
+    j, info = jobs(spark, [("r", "o/a", "ISC", None, None, 1)]), spark.createDataFrame([("r", None)], "repo_id string, license_text string")
+    rows = [(1, "lib/LICENSE", "Copyright (c) 2020 x\n" + mit), (2, "lib/a.cs", "class A {}"), (3, "lib/deep/b.cs", "class B {}"), (4, "c.cs", "class C {}"), (5, "lib/d.cs", "// SPDX-License-Identifier: ISC\nclass D {}")]
+    rows += [(6, "two/LICENSE-MIT", mit), (7, "two/COPYING.txt", isc), (8, "two/e.cs", "class E {}"), (9, "own/LICENSE.md", "Ask first."), (10, "own/f.cs", "class F {}"), (11, "src/notice.go", "// " + mit + "\npackage a"), (12, "src/g.go", "package a"), (13, "nil/LICENSE", None), (14, "nil/h.cs", "")]
+    c = spark.createDataFrame([(i, "r", p, None, t) for i, p, t in rows] + [(15, "s", None, None, "class S {}")], CORPUS)
+    got = {r.file_id: (r.verdict, r["from"]) for r in license.inherited(c, j, info, texts).collect()}
+    d, r = "directory", "repository"
+    assert got == {1: ("MIT", d), 2: ("MIT", d), 3: ("MIT", d), 4: ("ISC", r), 5: ("ISC", "file"), 6: ("CONFLICT", d), 7: ("CONFLICT", d), 8: ("CONFLICT", d), 9: ("UNKNOWN", d), 10: ("UNKNOWN", d), 11: ("MIT", "file"), 12: ("ISC", r), 13: ("ISC", r), 14: ("ISC", r), 15: ("UNKNOWN", r)}
+
+
 # --- 2
 
 
