@@ -162,6 +162,9 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, CANDIDATE, strict=True)], schema=CANDIDATE)
 
 
+KINDS = ("address", "email", "id_number", "phone")
+
+
 def trusted_patterns(cands: DataFrame) -> DataFrame:
     """(kind, pattern) that hold enough supported instances, from seeds on, round by round until nothing is added.
 
@@ -170,18 +173,23 @@ def trusted_patterns(cands: DataFrame) -> DataFrame:
     """
     each = F.explode(F.array_distinct(F.array(F.concat(F.lit("c:"), "left"), F.concat(F.lit("f:"), "kind", F.lit(":"), "form"))))
     graph = cut(cands.where("kind <> 'name'").select("kind", each.alias("pattern"), F.xxhash64("a").alias("a"), "seed").groupBy("kind", "pattern", "a").agg(F.max("seed").alias("seed")).where(~F.col("pattern").rlike("^f:[^:]*:$")))
-    supported, had = cut(graph.where("seed").select("kind", "a").distinct()), -1
+    supported, had = graph.where("seed").select("kind", "a").distinct(), -1
+
+    def trusted(marked: DataFrame) -> DataFrame:
+        per = marked.groupBy("pattern").agg(*[x for k in KINDS for x in (F.count_if(F.col("kind") == k).alias(f"n_{k}"), F.count_if((F.col("kind") == k) & (F.col("ok") == 1)).alias(f"hits_{k}"))])
+        best = F.array_max(F.array(*[F.struct(F.col(f"hits_{k}").alias("hits"), (F.col(f"hits_{k}") / F.nullif(F.col(f"n_{k}"), F.lit(0))).alias("share"), F.lit(k).alias("kind")) for k in KINDS]))
+        return per.select("pattern", best.alias("b")).where(f"b.hits >= 2 and b.share >= {TRUST_OTHERS}").select("b.kind", "pattern")
+
+    mark = lambda: graph.join(supported.withColumn("ok", F.lit(1)), ["kind", "a"], "left")
     for _ in range(ROUNDS):
-        seen = graph.join(supported.withColumn("ok", F.lit(1)), ["kind", "a"], "left")
-        score = seen.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n"), F.count("ok").alias("hits")).withColumn("share", F.col("hits") / F.col("n"))
-        best = score.groupBy("pattern").agg(F.max(F.struct("hits", "share", "kind", "n")).alias("b"))
-        trusted = cut(best.where(f"b.hits >= 2 and b.share >= {TRUST_OTHERS}").select("b.kind", "pattern"))
-        supported = cut(seen.join(trusted, ["kind", "pattern"], "left_semi").select("kind", "a").union(supported).distinct())
+        marked = mark()
+        held = marked.join(trusted(marked).withColumn("in", F.lit(1)), ["kind", "pattern"], "left").where("in = 1 or ok = 1")
+        supported = cut(held.select("kind", "a").distinct())
         n = supported.count()
         if n == had:
             break
         had = n
-    return trusted
+    return cut(trusted(mark()))
 
 
 def trusted_places(cands: DataFrame) -> DataFrame:
@@ -202,16 +210,16 @@ def lexicons(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     had = -1
     for _ in range(ROUNDS):
         marked = per.join(given.withColumn("known", F.lit(1)), "a", "left")
-        contexts = marked.groupBy("left").agg(F.count_distinct("a", "b").alias("n"), F.count("known").alias("hits"))
+        contexts = marked.groupBy("left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("hits"))
         trusted = contexts.where(f"hits >= 3 and hits >= {TRUST} * n").select("left")
         inside = marked.join(trusted.withColumn("in_trusted", F.lit(1)), "left", "left")
         # a given name goes before several surnames, in trusted contexts for the most part or beyond doubt
         votes = inside.groupBy("a").agg(F.count_distinct(F.when(F.col("in_trusted") == 1, F.col("b"))).alias("n"), F.count("in_trusted").alias("good"), F.count(F.lit(1)).alias("all"), F.max("seed").alias("seed"))
         given = cut(votes.where("n >= 2 and good >= 0.3 * all or seed and n >= 1 and good >= 0.3 * all").select("a").distinct())
-        now = tuple(given.agg(F.count(F.lit(1)), F.sum(F.crc32("a"))).first())
-        if now == had:
+        n = given.count()
+        if n == had:
             break
-        had = now
+        had = n
     surname = per.join(given, "a", "left_semi").groupBy("b").agg(F.count_distinct("a").alias("n"), F.count_distinct("left").alias("m"))
     return given.withColumnRenamed("a", "word"), surname.select(F.col("b").alias("word"), "n")
 
