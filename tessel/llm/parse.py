@@ -1,9 +1,10 @@
 """Source files that do not parse: token pairs against permissible pairs, then nesting and productions by windows.
 
-A file's tokens become rows: one for each bracket, with the classes of the tokens since the bracket before it. Windows
-over the rows of a file give the depth of each, windows over the rows of one depth the pair of brackets that holds it; the rows
-of each pair, inner pairs reduced to one symbol, are one level, which must satisfy the productions of its language. All
-of it is linear in the number of tokens, however deep they nest.
+A file's tokens become rows: one for each bracket, with the classes of the tokens since the bracket before it (plain lists,
+whose classes no production asks about, are one token already). Windows over the rows of a file give the depth of each,
+windows over the rows of one depth the pair of brackets that holds it; the rows of each pair, inner pairs reduced to one
+symbol, are one level, which must satisfy the productions of its language. All of it is linear in the number of tokens,
+however deep they nest.
 """
 
 from __future__ import annotations
@@ -23,28 +24,38 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
-#: Tokens up to a bracket and the bracket; Python's indentation is one, there and only there.
-PIECES, PYTHON_PIECES = re.compile(r"[^()\[\]{}$]*[()\[\]{}$]"), re.compile(r"[^()\[\]{}IO$]*[()\[\]{}IO$]")
+#: Lists without brackets in them and without anything that a production asks about are one token: no row of their own.
+_NO = r"()\[\]{}"
+PLAIN_LISTS = {
+    "python": [(re.compile(rf"\([^{_NO}IOa]*\)"), "\x01"), (re.compile(rf"\[[^{_NO}IO]*\]"), "\x02"), (re.compile(rf"\{{[^{_NO}IO]*\}}"), "\x03")],
+    "json": [(re.compile(r"\[(?:[sn\x02\x03](?:,[sn\x02\x03])*)?\]"), "\x02"), (re.compile(r"\{(?:s:[sn\x02\x03](?:,s:[sn\x02\x03])*)?\}"), "\x03")],
+    "": [(re.compile(rf"(?<!6)\([^{_NO};]*\)"), "\x01"), (re.compile(rf"\[[^{_NO};]*\]"), "\x02")],
+}
+#: A line break after each bracket; Python's indentation is one, there and only there.
+CUT, PYTHON_CUT = (str.maketrans({c: c + "\n" for c in cs}) for cs in ("()[]{}", "()[]{}IO"))
 
 
 def lex(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file_id, ext, content) -> (file_id, language, pairs, pieces): the file's distinct pairs of adjacent token classes, and
-    its classes cut after each bracket; the last piece ends with $."""
-    schema = pa.schema([("file_id", pa.int64()), ("language", pa.string()), ("pairs", pa.list_(pa.string())), ("pieces", pa.list_(pa.string()))])
+    its classes with a line break after each bracket and $ at the end."""
+    schema = pa.schema([("file_id", pa.int64()), ("language", pa.string()), ("pairs", pa.list_(pa.string())), ("pieces", pa.string())])
     for b in batches:
         rows: list[tuple] = []
         for i, ext, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             language, run = lexers.LANGUAGES[ext]
             cs = run(text if ext == "json" else text.lstrip("\ufeff")).replace("$", "e")
-            rows.append((i, language, sorted(grammar.pairs(cs)), (PYTHON_PIECES if ext == "py" else PIECES).findall(cs + "$")))
+            pairs = sorted(grammar.pairs(cs))
+            for rx, symbol in 2 * PLAIN_LISTS.get(language, PLAIN_LISTS[""]):
+                cs = rx.sub(symbol, cs)
+            rows.append((i, language, pairs, cs.translate(PYTHON_CUT if ext == "py" else CUT) + "$"))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else pa.RecordBatch.from_pylist([], schema)
 
 
 def lexed(corpus: DataFrame) -> DataFrame:
     """Lexed files of a known extension; other extensions and null contents give no row."""
-    schema = "file_id bigint, language string, pairs array<string>, pieces array<string>"
+    schema = "file_id bigint, language string, pairs array<string>, pieces string"
     files = corpus.select("file_id", extension(F.col("relative_path")).alias("ext"), "content").where(F.col("ext").isin(*lexers.LANGUAGES) & F.col("content").isNotNull() & F.col("file_id").isNotNull())
-    return files.mapInArrow(lex, schema)
+    return files.mapInArrow(lex, schema).withColumn("pieces", F.split("pieces", "\n"))
 
 
 def faults(corpus: DataFrame) -> DataFrame:
