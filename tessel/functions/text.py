@@ -132,12 +132,29 @@ def compact_signature(sig: Column) -> Column:
     return F.when(whole, F.concat(F.substr(sig, cut + 2), F.lit("->"), F.substr(sig, F.lit(1), cut))).otherwise(sig)
 
 
-def nearest_rank(values: Column, q: float) -> Column:
-    """v[ceil(q n) - 1] of the sorted values of a group, as an aggregate."""
-    return F.expr(f"percentile_disc({q}) within group (order by {values._jc.toString()})")
-
-
-def floor_rank(values: Column, q: float) -> Column:
-    """v[min(n - 1, int(q n))] of the sorted values of a group: another definition than ``nearest_rank``."""
-    v = F.sort_array(F.collect_list(values))
-    return F.element_at(v, F.least(F.size(v), F.floor(F.size(v) * q).cast("int") + 1))
+def context_windows(content: Column, caret: Column, end: Column, before: int, after: int) -> Column:
+    """struct<left, right, left_cut, right_cut>: up to so many UTF-16 units before a caret and after a target's end. A window
+    that would start or end within a surrogate pair leaves the pair out."""
+    raw = F.encode(content, "UTF-16BE")
+    n = (F.octet_length(raw) / 2).cast("int")
+    unit = lambda i: F.conv(F.hex(F.substring(raw, (2 * i + 1).cast("int"), F.lit(2))), 16, 10).cast("int")
+    a = F.greatest(F.lit(0), caret - before)
+    a = F.when((a > 0) & unit(a).between(0xDC00, 0xDFFF), a + 1).otherwise(a)
+    b = F.least(n, end + after)
+    b = F.when((b < n) & (b > end) & unit(b - 1).between(0xD800, 0xDBFF), b - 1).otherwise(b)
+    part = lambda x, y: F.decode(F.substring(raw, (2 * x + 1).cast("int"), (2 * (y - x)).cast("int")), "UTF-16BE")
+    return F.struct(part(a, caret).alias("left"), part(end, b).alias("right"), (a > 0).alias("left_cut"), (b < n).alias("right_cut"))
+
+
+def quality_flags(target: Column, end: Column, line_end: Column, syntax_errors: Column) -> dict[str, Column]:
+    """The conditions of a sample's quality flags, by name; comments are looked for outside of string literals."""
+    bare = F.regexp_replace(target, r'"(?:[^"\\]|\\.)*"', "")
+    return {
+        "trivial_target": target.rlike(r"^[{}()\[\];, ]*$"), "target_starts_with_whitespace": target.rlike(r"^\s"), "target_starts_with_closer": target.rlike(r"^[)\]}]"), "trailing_whitespace": end < line_end,
+        "target_has_comment": bare.rlike(r"//|/\*"), "file_has_syntax_errors": syntax_errors > 0, "non_ascii_target": target.rlike(r"[^\x00-\x7F]"),
+    }
+
+
+def prefix_identifiers(left: Column, window: int = 20_000) -> Column:
+    """The distinct identifiers in the last characters before a caret."""
+    return F.array_distinct(F.regexp_extract_all(F.right(left, F.lit(window)), F.lit(f"({IDENTIFIER})"), 1))

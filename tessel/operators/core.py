@@ -22,35 +22,43 @@ GENERATED = ["**/*.g.cs", "**/*.g.i.cs", "**/*.Designer.cs", "**/*.generated.cs"
 TESTS = ["tests/**", "test/**", "**/*.Tests/**", "**/*.UnitTests/**", "**/*.FunctionalTests/**", "**/*Tests.cs"]
 GENERATED_MARKER = r"(?i)<auto-?generated|This code was generated by a tool|\[(System\.CodeDom\.Compiler\.)?GeneratedCode(Attribute)?\("
 SECRET_FILE = [r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"\bAKIA[0-9A-Z]{16}\b", r"\bgh[pousr]_[A-Za-z0-9]{36,}\b", r"\bxox[baprs]-[A-Za-z0-9-]{10,}", r"(?i)AccountKey=[A-Za-z0-9+/=]{20,}", r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"]
-SECRET_LINE = r'(?i)\b\w*(?:password|passwd|pwd|secret|apikey|api_key|accesstoken|access_token)\w*"?\s*[:=]\s*@?"([^"\s{}]{8,})"'
+SECRET_LINE = r'(?i)\b\w*(password|passwd|pwd|secret|apikey|api_key|accesstoken|access_token)\w*"?\s*[:=]\s*@?"(?-i:(?![A-Z0-9_]+"))[^"\s{}]{8,}"'
 SECRET_PAIR = r"(?i)\b(?:password|pwd)=[^;\"'\s]{6,};"
 MAX_BYTES, MAX_LINE, MARKER_CHARS = 1 << 20, 2000, 4000
 
 
-def discovery(files: DataFrame, content: str = "content", path: str = "relative_path", size: str = "bytes", sha: str = "sha256", scope: Sequence[str] = (), order: Sequence[str] | None = None) -> DataFrame:
-    """Adds ``reason`` (accepted, or the first rule that rejects the file) and ``duplicate_of``.
+def discovery(files: DataFrame, content: str = "content", path: str = "relative_path", size: str = "bytes", sha: str = "sha256", scope: Sequence[str] = (), order: Sequence[str] | None = None, undecoded: Column | None = None, allowed: Column | None = None) -> DataFrame:
+    """The files without their content, with ``reason`` (accepted, or the first rule that rejects the file) and ``duplicate_of``.
 
-    Path and size rules come before those that read the content. Exact duplicates are looked for among the files that no
-    other rule rejects: the first path (by ``order``) of a digest within ``scope`` stays, and later ones name it.
+    Path and size rules come before those that read the content. ``undecoded`` is why the bytes of a file are no text
+    (utf16_encoding, invalid_utf8, binary_nul; see sources.files.decoded), ``allowed`` whether its licence is; a null says it
+    is. Exact duplicates are looked for among the files that no other rule rejects: the first path (by ``order``) of a
+    digest within ``scope`` stays, and later ones name it. The content is dropped before anything is shuffled, and firsts are
+    pre-aggregated, so a digest that recurs everywhere is one row per task.
     """
     c, p = F.col(content), F.col(path)
     long_line = F.exists(F.split(c, r"\r\n|\n|\r"), lambda x: F.length(x) > MAX_LINE)
     secret = F.lit(False)
     for rx in SECRET_FILE:
         secret = secret | c.rlike(rx)
-    rule = X.first_reason([
-        ("excluded_path", X.first_match(p, EXCLUDE).isNotNull()), ("too_large", F.col(size) > MAX_BYTES), ("vendored_path", X.first_match(p, VENDORED).isNotNull()),
-        ("generated_path", X.first_match(p, GENERATED).isNotNull()), ("binary_nul", c.contains("\0")), ("empty", F.trim(c) == ""),
-        ("generated_marker", F.substring(c, 1, MARKER_CHARS).rlike(GENERATED_MARKER)), ("long_lines", long_line), ("secret_detected", secret),
-    ])
+    none = F.lit(None).cast("string")
+    undecoded = none if undecoded is None else undecoded
+    refused = F.lit(False) if allowed is None else ~allowed
+    rule = F.coalesce(
+        X.first_reason([("excluded_path", X.first_match(p, EXCLUDE).isNotNull()), ("too_large", F.col(size) > MAX_BYTES), ("vendored_path", X.first_match(p, VENDORED).isNotNull()), ("generated_path", X.first_match(p, GENERATED).isNotNull())]),
+        undecoded,
+        X.first_reason([("binary_nul", c.contains("\0")), ("empty", F.trim(c) == ""), ("generated_marker", F.substring(c, 1, MARKER_CHARS).rlike(GENERATED_MARKER)), ("long_lines", long_line), ("license_not_allowed", refused), ("secret_detected", secret)]),
+    )
     by = [F.col(x) for x in (order or [path])]
-    judged = files.withColumn("rule__", rule)
-    keep = W.partitionBy(*scope, sha, F.col("rule__").isNull()).orderBy(*by)
-    first = F.first(path).over(keep)
-    rank = F.row_number().over(keep)
-    judged = judged.withColumn("first__", first).withColumn("rank__", rank)
-    dup = F.col("rule__").isNull() & (F.col("rank__") > 1)
-    return judged.withColumn("reason", F.coalesce("rule__", F.when(dup, F.lit("exact_duplicate")), F.lit("accepted"))).withColumn("duplicate_of", F.when(dup, F.col("first__"))).drop("rule__", "first__", "rank__")
+    judged = files.withColumn("rule__", rule).drop(content)
+    key = [*scope, sha]
+    firsts = judged.where("rule__ is null").groupBy(*key).agg(F.min_by(F.struct(*by, F.col(path).alias("path__")), F.struct(*by)).alias("first__"))
+    joined = judged.join(firsts.select(*[F.col(k).alias(f"{k}__k") for k in key], "first__"), [F.col(k).eqNullSafe(F.col(f"{k}__k")) for k in key], "left").drop(*[f"{k}__k" for k in key])
+    same = F.lit(True)
+    for x in order or [path]:
+        same = same & F.col(x).eqNullSafe(F.col(f"first__.{x}"))
+    dup = F.col("rule__").isNull() & ~same
+    return joined.withColumn("reason", F.coalesce("rule__", F.when(dup, F.lit("exact_duplicate")), F.lit("accepted"))).withColumn("duplicate_of", F.when(dup, F.col("first__.path__"))).drop("rule__", "first__")
 
 
 def hash_split(key: Column, seed: str, salt: str, shares: Sequence[tuple[str, float]], rest: str, overrides: Mapping[str, str] | None = None) -> Column:
@@ -66,9 +74,13 @@ def hash_split(key: Column, seed: str, salt: str, shares: Sequence[tuple[str, fl
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key under a total order."""
-    n = fresh(df, "n__")
-    return df.withColumn(n, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col(n) == 1).drop(n)
+    """The first row of each key under a total order, by an aggregation (a row per key and task is shuffled, not all rows).
+
+    order: columns, or expressions made of them; F.asc / F.desc marks aren't taken. Nulls come first.
+    """
+    named = [(k if isinstance(k, Column) else F.col(f"`{k}`")).alias(f"key{i}__") for i, k in enumerate(keys)]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*named).agg(F.min_by(row, F.struct(*order)).alias("r__")).select("r__.*")
 
 
 def keep_first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salt_on: Sequence[str]) -> DataFrame:
@@ -88,13 +100,20 @@ def owner_of(df: DataFrame, item: str, claimer: str, order: Sequence[Column]) ->
     return df.groupBy(item).agg(F.min_by(F.col(claimer), F.struct(*order)).alias("owner"))
 
 
-def admission(df: DataFrame, inner: str, inner_cap: int, outer: str, outer_cap: int, order: Sequence[Column]) -> DataFrame:
-    """Adds ``drop_reason`` of two nested caps counted in admission order: outer_cap once the outer key is full, else inner_cap."""
-    a = df.withColumn("n1__", F.row_number().over(W.partitionBy(inner).orderBy(*order)))
-    fits = (F.col("n1__") <= inner_cap).cast("int")
-    before = F.coalesce(F.sum(fits).over(W.partitionBy(outer).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    a = a.withColumn("before__", before)
-    return a.withColumn("drop_reason", F.when(F.col("before__") >= outer_cap, "outer_cap").when(F.col("n1__") > inner_cap, "inner_cap")).drop("n1__", "before__")
+def admission(df: DataFrame, inner: str, inner_cap: int, outer: str, outer_cap: int, order: Sequence[Column], salt_on: Sequence[str]) -> DataFrame:
+    """Adds ``drop_reason`` of two nested caps counted in admission order: outer_cap once the outer key is full, else inner_cap.
+
+    Rows are ranked by salted windows. The row that fills an outer key is the outer_cap-th of those that its inner caps
+    let in; it is found per key, and what comes after it is dropped by the outer cap. No window holds all rows of a key.
+    """
+    a = capped_rank(df, [inner], order, inner_cap, salt_on, "n1__")
+    fits = F.col("n1__").isNotNull()
+    b = capped_rank(a.withColumn("fits__", fits), [outer, "fits__"], order, outer_cap, salt_on, "n2__")
+    at = F.struct(*order)
+    full = b.where(F.col("fits__") & (F.col("n2__") == outer_cap)).select(F.col(outer).alias("full__"), at.alias("at__"))
+    j = b.join(full, F.col(outer).eqNullSafe(F.col("full__")), "left")
+    late = F.coalesce(at > F.col("at__"), F.lit(False))
+    return j.withColumn("drop_reason", F.when(late, "outer_cap").when(~F.col("fits__"), "inner_cap")).drop("n1__", "n2__", "fits__", "full__", "at__")
 
 
 def prefix_sum(df: DataFrame, order: str, value: str, buckets: int = 64, out: str = "offset") -> DataFrame:
@@ -117,15 +136,22 @@ def prefix_sum(df: DataFrame, order: str, value: str, buckets: int = 64, out: st
 def overlap_pairs(items: DataFrame, group: str, item: str, least: float) -> DataFrame:
     """(a, b, shared, jaccard) of groups that share items to a Jaccard similarity of ``least`` or more, a < b.
 
-    Items in a single group are dropped before the self-join. Sizes are pre-aggregated and joined to the pairs.
+    Prefix filter: with items ordered by rarity, two such groups share one of the first n - ceil(least n) + 1 items of each.
+    Only these meet in the self-join, so an item that lies in nearly all groups brings no pairs together; candidates of
+    fitting sizes are then counted exactly. least must be above 0.
     """
-    d = items.select(F.col(group).alias("g"), F.col(item).alias("i")).distinct()
-    size = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    shared = d.join(d.groupBy("i").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "i", "left_semi")
-    a, b = shared.select("i", F.col("g").alias("a")), shared.select("i", F.col("g").alias("b"))
-    pairs = a.join(b, "i").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    sized = pairs.join(size.select(F.col("g").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("g").alias("b"), F.col("n").alias("nb")), "b")
-    return sized.withColumn("jaccard", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).where(F.col("jaccard") >= least).select("a", "b", "shared", "jaccard")
+    from tessel.session import cut
+
+    d = cut(items.select(F.col(group).alias("g"), F.col(item).alias("i")).where("g is not null and i is not null").distinct())
+    often = d.groupBy("i").agg(F.count(F.lit(1)).alias("k"))
+    ranked = d.join(often, "i").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "i"))).alias("all"))  # the items of one group
+    n = F.size("all")
+    first = cut(ranked.select("g", n.alias("n"), F.slice("all", F.lit(1), (n - F.ceil(n * F.lit(least)) + 1).cast("int")).alias("p")).select("g", "n", F.explode("p").alias("x")).where("x.k > 1").select("g", "n", F.col("x.i").alias("i")))
+    a, b = first.select("i", F.col("g").alias("a"), F.col("n").alias("na")), first.select("i", F.col("g").alias("b"), F.col("n").alias("nb"))
+    near = a.join(b, "i").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb").distinct()
+    both = near.join(d.select(F.col("g").alias("a"), "i"), "a").join(d.select(F.col("g").alias("b"), "i"), ["b", "i"])
+    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    return counted.withColumn("jaccard", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).where(F.col("jaccard") >= least).select("a", "b", "shared", "jaccard")
 
 
 def nearest_ancestor(paths: DataFrame, path: str, marked: DataFrame, folder: str, value: str) -> DataFrame:

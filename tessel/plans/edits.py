@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessel.functions import text as X
 from tessel.operators import edits as E
 from tessel.plans.files import files
-from tessel.plans.registry import FILES, ORACLES, query
+from tessel.plans.registry import FILES, points_sql, query
 from tessel.session import table
 
 
@@ -28,18 +28,23 @@ def x20_snapshots(spark, d):
     return s.select("sample_id", E.snapshot(whole, a, b, "strict").alias("strict"), E.snapshot(whole, a, b, "editor").alias("editor"))
 
 
-@query(f"""with s as (select distinct sample_id, repository_id, relative_path, source_sha256, caret_byte_offset as a, target_end_byte_offset as b, target_text from samples),
+_P, _Q = points_sql("content", "a"), points_sql("content", "b")
+
+
+@query(f"""with s as (select distinct sample_id, repository_id, relative_path, source_sha256, caret_utf16_offset as a, target_end_utf16_offset as b, target_text from samples),
 f as (select repository_id, relative_path, sha256, min(content) as content, bool_or(has_bom) as has_bom from {FILES} group by all),
-j as (select s.*, content, a - (case when has_bom then 3 else 0 end) as p from s join f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256)
-select count(*) as n, count(*) filter (strlen(content) >= p) as inside from j""")
+j as (select s.*, content, {_P} as p, {_Q} as q from s join f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256),
+k as (select sample_id, substr(content, 1, p) as l, substr(content, q + 1) as r, substr(content, p + 1, q - p) = target_text as good from j)
+select sample_id, case when good then sha256(replace(l || r, chr(13) || chr(10), chr(10))) end as editor, case when good then strlen(l) - (length(l) - length(replace(l, chr(13) || chr(10), chr(10)))) end::int as caret from k""")
 def x22_editor_texts(spark, d):
-    """Samples that meet their file, and those whose caret lies inside of it."""
+    """The digest of the text that an editor shows for each sample that meets its file (target removed, CRLF as LF), and the
+    caret's byte in it; null where the text at the caret isn't the target."""
     f = files(spark, d, "repository_id", "relative_path", "sha256", "content", "has_bom").groupBy("repository_id", "relative_path", F.col("sha256").alias("source_sha256")).agg(F.min("content").alias("content"), F.bool_or("has_bom").alias("has_bom"))
-    s = samples(spark, d, "repository_id", "relative_path", "source_sha256", "caret_byte_offset", "target_end_byte_offset", "target_text")
+    s = samples(spark, d, "repository_id", "relative_path", "source_sha256", "caret_utf16_offset", "target_end_utf16_offset", "target_text")
     j = s.join(f, ["repository_id", "relative_path", "source_sha256"])
-    e = E.editor_text(F.col("content"), F.col("caret_byte_offset"), F.col("target_end_byte_offset"), F.col("target_text"), F.col("has_bom"))
-    p = F.col("caret_byte_offset") - F.when(F.col("has_bom"), 3).otherwise(0)
-    return j.withColumn("e", e).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.octet_length("content") >= p).alias("inside"))
+    at = lambda c: X.byte_offset(F.col("content"), F.col(c), F.lit(False))
+    e = E.editor_text(F.col("content"), at("caret_utf16_offset"), at("target_end_utf16_offset"), F.col("target_text"), F.lit(False))
+    return j.withColumn("e", e).select("sample_id", F.sha2("e.text", 256).alias("editor"), F.col("e.caret").alias("caret"))
 
 
 @query("select caret_kind, count(*) as n, avg((rtrim(left_context[-12:]) = rtrim(target_text))::int) as exact, avg((length(target_text) >= (case when left_context[-1:] = '.' then 5 else 7 end))::int) as shown from (select distinct sample_id, caret_kind, left_context, target_text from samples) group by all")
@@ -91,29 +96,11 @@ def j19_redo_flags(spark, d):
     return samples(spark, d).join(t, "sample_id", "left").select("sample_id", F.coalesce("t", F.lit(False)).alias("redo"))
 
 
-@query("select f.repository_id, f.file_id, r.n from (select distinct file_id, repository_id from corpus where language = 'go') f join (select repository_id, count(distinct file_id) as n from corpus group by all) r using (repository_id)")
+@query("select f.repository_id, f.file_id, r.n from (select distinct file_id, repository_id from corpus) f join (select repository_id, count(distinct file_id) as n from corpus group by all) r using (repository_id)")
 def j14_profile_join(spark, d):
     c = table(spark, d, "corpus")
-    return with_repository_size(c.where("language = 'go'"), c)
-
-
-def with_repository_size(f: DataFrame, corpus: DataFrame) -> DataFrame:
-    n = corpus.groupBy("repository_id").agg(F.count_distinct("file_id").alias("n"))
-    return f.select("file_id", "repository_id").distinct().join(n, "repository_id").select("repository_id", "file_id", "n")
-
-
-@query(ORACLES["j14_profile_join"].replace(" where language = 'go'", ""))
-def j14_profile_join_all(spark, d):
-    c = table(spark, d, "corpus")
-    return with_repository_size(c, c)
-
-
-@query("select repo_id, list_sort(list_filter([case when size_kb < 10 then 'tiny' end, case when size_kb > 200 then 'large' end, case when samples = 0 then 'no_samples' end, case when license is null then 'no_license' end], lambda x: x is not null)) as flags from (select repo_id, max(size_kb) as size_kb, max(samples) as samples, min(license) as license from jobs group by all)")
-def f16_flags(spark, d):
-    """Flags add up, unlike reasons, of which the first wins."""
-    j = table(spark, d, "jobs").groupBy("repo_id").agg(F.max("size_kb").alias("size_kb"), F.max("samples").alias("samples"), F.min("license").alias("license"))
-    flags = F.array_compact(F.array(F.when(F.col("size_kb") < 10, "tiny"), F.when(F.col("size_kb") > 200, "large"), F.when(F.col("samples") == 0, "no_samples"), F.when(F.col("license").isNull(), "no_license")))
-    return j.select("repo_id", F.sort_array(flags).alias("flags"))
+    n = c.groupBy("repository_id").agg(F.count_distinct("file_id").alias("n"))
+    return c.select("file_id", "repository_id").distinct().join(n, "repository_id").select("repository_id", "file_id", "n")
 
 
 @query("select repo_id, json_extract_string(stats, '$.outcome') as outcome, try_cast(json_extract_string(stats, '$.files') as int) as files from (select distinct repo_id, stats from jobs where stats is not null)")
@@ -129,7 +116,10 @@ def l6_group_split(spark, d):
     return table(spark, d, "corpus").select("repository_id").distinct().select("repository_id", split.alias("split"))
 
 
-@query("select sample_id, '<|fim_prefix|>' || regexp_replace(left_context, '[ \\t]+$', '') || '<|fim_suffix|>' || right_context || '<|fim_middle|>' as prompt, substr(left_context, length(regexp_replace(left_context, '[ \\t]+$', '')) + 1) || target_text as completion from (select distinct sample_id, left_context, target_text, right_context from samples)")
+_BLANKS = "regexp_extract(left_context, '[^\\s]([ \\t]+)$', 1)"
+
+
+@query(f"select sample_id, '<|fim_prefix|>' || substr(left_context, 1, length(left_context) - length({_BLANKS})) || '<|fim_suffix|>' || right_context || '<|fim_middle|>' as prompt, {_BLANKS} || target_text as completion from (select distinct sample_id, left_context, target_text, right_context from samples)")
 def r5_fim_prompts(spark, d):
     s = samples(spark, d, "left_context", "target_text", "right_context")
     return s.select("sample_id", E.fim_prompt(F.col("left_context"), F.col("target_text"), F.col("right_context")).alias("p")).select("sample_id", "p.prompt", "p.completion")

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from tessel.functions import text as X
 from tessel.operators import core as O
-from tessel.plans.registry import FILES, ORACLES, SAMPLES, glob_sql, query, u_sql
+from tessel.plans.registry import FILES, glob_sql, points_sql, query, u_sql, units_sql
 from tessel.session import table
 
 FILE_COLUMNS = ["file_id", "repository_id", "relative_path", "language", "sha256", "bytes", "content", "project", "is_test", "newline_style", "has_bom", "lines", "license"]
@@ -19,10 +19,13 @@ def files(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return table(spark, d, "corpus").select(*dict.fromkeys(["file_id", *(columns or FILE_COLUMNS)])).dropDuplicates(["file_id"])
 
 
+# Licences that a repository may name and that aren't allowed here.
+REFUSED = ["Proprietary", "GPL-3.0", "GPL-3.0-only", "GPLv3", "LGPL-2.1", "LGPL-2.1-only"]
+
 _RULES = f"""case when {glob_sql('relative_path', O.EXCLUDE)} then 'excluded_path' when bytes > {O.MAX_BYTES} then 'too_large' when {glob_sql('relative_path', O.VENDORED)} then 'vendored_path'
  when {glob_sql('relative_path', O.GENERATED)} then 'generated_path' when contains(content, chr(0)) then 'binary_nul' when trim(content, ' ') = '' then 'empty'
  when regexp_matches(substr(content, 1, {O.MARKER_CHARS}), '(?i)<auto-?generated|This code was generated by a tool|\\[(System\\.CodeDom\\.Compiler\\.)?GeneratedCode(Attribute)?\\(') then 'generated_marker'
- when list_max(list_transform(regexp_split_to_array(content, '\\r\\n|\\n|\\r'), lambda x: length(x))) > {O.MAX_LINE} then 'long_lines'
+ when list_max(list_transform(regexp_split_to_array(content, '\\r\\n|\\n|\\r'), lambda x: length(x))) > {O.MAX_LINE} then 'long_lines' when license in ({', '.join(repr(x) for x in REFUSED)}) then 'license_not_allowed'
  when {' or '.join(f"regexp_matches(content, '{p}')" for p in O.SECRET_FILE)} then 'secret_detected' end"""
 _DISCOVERY = f"""with f as (select *, {_RULES} as rule from {FILES}),
 r as (select *, row_number() over (partition by repository_id, sha256, rule is null order by relative_path, file_id) as rn, first_value(relative_path) over (partition by repository_id, sha256, rule is null order by relative_path, file_id) as fp from f),
@@ -30,7 +33,7 @@ o as (select file_id, repository_id, relative_path, coalesce(rule, case when rn
 
 
 def discovered(spark: SparkSession, d: str) -> DataFrame:
-    return O.discovery(files(spark, d, "repository_id", "relative_path", "bytes", "sha256", "content"), scope=["repository_id"], order=["relative_path", "file_id"])
+    return O.discovery(files(spark, d, "repository_id", "relative_path", "bytes", "sha256", "content", "license"), scope=["repository_id"], order=["relative_path", "file_id"], allowed=F.coalesce(~F.col("license").isin(REFUSED), F.lit(True)))
 
 
 _SPLIT = f"case when {u_sql('$$20261009$$', '$$repo_split$$', 'repository_id')} < 0.1 then 'validation' when {u_sql('$$20261009$$', '$$repo_split$$', 'repository_id')} < 0.2 then 'test' else 'train' end".replace("$$", "'")
@@ -80,13 +83,15 @@ def f6_secret_pattern(spark, d):
     return files(spark, d, "content").withColumn("pattern", which).where("pattern is not null").select("file_id", "pattern")
 
 
-@query(f"""with l as (select file_id, unnest(string_split(content, chr(10))) as line from {FILES}), v as (select file_id, line, regexp_extract(line, '{O.SECRET_LINE.replace("'", "''")}', 1) as v from l)
-select file_id, count(*) as n from v where (v <> '' and not regexp_full_match(v, '[A-Z0-9_]+')) or regexp_matches(line, '{O.SECRET_PAIR.replace("'", "''")}') group by all""")
+_NAMED = r'(?i)\b\w*(?:password|passwd|pwd|secret|apikey|api_key|accesstoken|access_token)\w*"?\s*[:=]\s*@?"([^"\s{}]{8,})"'
+
+
+@query(f"""with l as (select file_id, unnest(string_split(content, chr(10))) as line from {FILES}), v as (select file_id, line, list_filter(regexp_extract_all(line, '{_NAMED}', 1), lambda v: not regexp_full_match(v, '[A-Z0-9_]+')) as v from l)
+select file_id, count(*) as n from v where len(v) > 0 or regexp_matches(line, '{O.SECRET_PAIR.replace("'", "''")}') group by all""")
 def f7_secret_lines(spark, d):
+    """Lines with a literal under a credential's name, by the two patterns (the SQL, without lookahead, tests all literals of a line)."""
     line = files(spark, d, "content").select("file_id", F.explode(F.split("content", "\n", -1)).alias("line"))
-    v = F.regexp_extract("line", O.SECRET_LINE, 1)
-    hit = ((v != "") & ~v.rlike("^[A-Z0-9_]+$")) | F.col("line").rlike(O.SECRET_PAIR)
-    return line.where(hit).groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
+    return line.where(F.col("line").rlike(O.SECRET_LINE) | F.col("line").rlike(O.SECRET_PAIR)).groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select coalesce(language, 'none') as language, count(*) filter ({glob_sql('relative_path', O.TESTS)}) as tests, count(*) as n from {FILES} group by all")
@@ -123,13 +128,19 @@ def normalized_url(url, schemes: list[str], hosts: list[str]):
     return F.struct(F.when(reason.isNull(), F.concat(host, F.lit("/"), F.regexp_replace(path, r"(?i)\.git$", ""))).alias("id"), reason.alias("reason"))
 
 
-@query("""with o as (select split_part(repo_id, '/', 2) as owner from jobs), s as (select distinct owner, regexp_replace(lower(owner), '[^a-z0-9]', '', 'g') as stem from o where owner <> '')
-select owner, (length(regexp_replace(stem, '[^aeiou]', '', 'g'))::double / length(stem)) < 0.34 and length(stem) >= 10 as gibberish from s where stem <> ''""")
+# Ends of names that sign-up pages make up.
+_MADE_UP = r"(?i)^[a-z]{5,}\d{2,}-(blip|bit|hue|boop|dotcom|coder|source|ltd|dev|cyber|gen|user|tmp)$"
+
+
+@query(f"""with o as (select distinct split_part(repo_id, '/', 2) as owner from jobs union select 'qwrtplkjhg1234' union select 'sunny12-dev' union select 'Bcdfg-hjklm99'), s as (select owner, regexp_replace(lower(owner), '[-_0-9]', '', 'g') as stem from o where owner <> '')
+select owner, regexp_matches(owner, '{_MADE_UP}') or (length(stem) >= 10 and regexp_matches(owner, '[0-9]{{3,}}') and length(regexp_replace(stem, '[^aeiou]', '', 'g'))::double / length(stem) < 0.22) as gibberish from s""")
 def f14_gibberish_owner(spark, d):
-    o = table(spark, d, "jobs").select(F.split_part("repo_id", F.lit("/"), F.lit(2)).alias("owner")).where("owner <> ''").distinct()
-    stem = F.regexp_replace(F.lower("owner"), "[^a-z0-9]", "")
-    ratio = F.length(F.regexp_replace(stem, "[^aeiou]", "")) / F.length(stem)
-    return o.where(stem != "").select("owner", ((ratio < 0.34) & (F.length(stem) >= 10)).alias("gibberish"))
+    """Owners with a made-up name, or a long stem of few vowels and three digits in a row."""
+    more = spark.createDataFrame([("qwrtplkjhg1234",), ("sunny12-dev",), ("Bcdfg-hjklm99",)], "owner string")
+    o = table(spark, d, "jobs").select(F.split_part("repo_id", F.lit("/"), F.lit(2)).alias("owner")).where("owner <> ''").union(more).distinct()
+    stem = F.regexp_replace(F.lower("owner"), "[-_0-9]", "")
+    few = F.length(F.regexp_replace(stem, "[^aeiou]", "")) / F.length(stem) < 0.22
+    return o.select("owner", (F.col("owner").rlike(_MADE_UP) | ((F.length(stem) >= 10) & F.col("owner").rlike("[0-9]{3,}") & few)).alias("gibberish"))
 
 
 @query(f"""with s as (select distinct sample_id, target_text, tags from samples), r as (select case when target_text = '' then 'empty_target' when length(target_text) > 120 then 'target_too_long' when list_contains(tags, 'string') then 'caret_inside_literal'
@@ -182,19 +193,13 @@ def a26_newline_style(spark, d):
     return files(spark, d, "content").groupBy(X.newline_style(F.col("content")).alias("style")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"with l as (select unnest(string_split(content, chr(10))) as line from {FILES} where language = 'go') select length(regexp_extract(line, '^[ \\t]*'))::int as width, count(*) as n from l group by all")
-def x6_indentation(spark, d):
-    return indentation_widths(files(spark, d, "language", "content").where("language = 'go'"))
-
-
-def indentation_widths(f: DataFrame) -> DataFrame:
-    line = f.select(F.explode(F.split("content", "\n", -1)).alias("line"))
-    return line.groupBy(F.length(F.regexp_extract("line", r"^([ \t]*)", 1)).alias("width")).agg(F.count(F.lit(1)).alias("n"))
+_SPACES = "\\t\\x0b\\f \\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}"
 
 
-@query(ORACLES["x6_indentation"].replace(" where language = 'go'", ""))
-def x6_indentation_all(spark, d):
-    return indentation_widths(files(spark, d, "content"))
+@query(f"with l as (select unnest(regexp_split_to_array(content, '\\r\\n|[\\r\\n\\x{{85}}\\x{{2028}}\\x{{2029}}]')) as line from {FILES}) select length(regexp_extract(line, '^[{_SPACES}]*'))::int as width, count(*) as n from l group by all")
+def x6_indentation(spark, d):
+    line = files(spark, d, "content").select(F.explode(X.lines(F.col("content"))).alias("line"))
+    return line.groupBy(F.length(X.indentation(F.col("line"))).alias("width")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select file_id, substr(sha256(coalesce(repository_id, '') || chr(31) || coalesce(relative_path, '') || chr(31) || coalesce(project, '')), 1, 32) as id from {FILES}")
@@ -219,21 +224,12 @@ def d7_identifiers(spark, d):
     return i.groupBy("name").agg(F.count(F.lit(1)).alias("files")).where("files >= 3")
 
 
-@query(f"with t as (select unnest(regexp_extract_all(content, '[A-Za-z_][A-Za-z0-9_]*|[0-9]+|[^\\sA-Za-z0-9_]')) as token from {FILES} where language = 'go') select token, count(*) as n from t group by all having count(*) >= 2")
+@query(f"with t as (select unnest(regexp_extract_all(content, '[A-Za-z_][A-Za-z0-9_]*|[0-9]+|[^\\sA-Za-z0-9_]')) as token from {FILES}) select token, count(*) as n from t group by all having count(*) >= 2")
 def a21_token_counts(spark, d):
-    return token_counts(files(spark, d, "language", "content").where("language = 'go'"))
-
-
-def token_counts(f: DataFrame) -> DataFrame:
-    t = f.select(F.explode(F.regexp_extract_all("content", F.lit(f"({X.TOKEN})"), 1)).alias("token"))
+    t = files(spark, d, "content").select(F.explode(F.regexp_extract_all("content", F.lit(f"({X.TOKEN})"), 1)).alias("token"))
     return t.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
 
 
-@query(ORACLES["a21_token_counts"].replace(" where language = 'go'", ""))
-def a21_token_counts_all(spark, d):
-    return token_counts(files(spark, d, "content"))
-
-
 _USING = r"(?m)^[ \t]*(?:global[ \t]+)?using[ \t]+(?:static[ \t]+)?(?:[A-Za-z_]\w*[ \t]*=[ \t]*)?(?:global::)?([A-Za-z_][\w.]*)[ \t]*;"
 _ROOT = "case when split_part(ns, '.', 1) = 'System' then null when split_part(ns, '.', 1) in ('Microsoft', 'Google', 'Amazon', 'Azure') then array_to_string(string_split(ns, '.')[1:2], '.') else split_part(ns, '.', 1) end"
 _ROOTS = f"u as (select distinct file_id, repository_id, unnest(regexp_extract_all(content, '{_USING}', 1)) as ns from {FILES} where language = 'csharp'), r as (select distinct repository_id, file_id, {_ROOT} as root from u where {_ROOT} is not null)"
@@ -284,32 +280,32 @@ def j20_nearest_project(spark, d):
     return O.nearest_ancestor(paths, "path", m, "dir", "project").select("file_id", "project")
 
 
-@query(f"""with l as (select file_id, relative_path, unnest(string_split(content, chr(10))) as line, generate_subscripts(string_split(content, chr(10)), 1) as n from {FILES} where language = 'python'),
-k as (select *, trim(line, ' ' || chr(9) || chr(13)) as t from l), b as (select *, row_number() over (partition by t order by relative_path, file_id, n) as r from k where t <> '') select count(*) filter (r = 1) as kept, count(*) filter (r > 1) as dropped, round(count(*) filter (r > 1)::double / count(*), 6) as fraction from b""")
+@query(f"""with l as (select unnest(string_split(content, chr(10))) as line from {FILES}), k as (select trim(line, ' ' || chr(9) || chr(13)) as t from l), b as (select t, count(*) as n from k where t <> '' group by t)
+select count(*) as kept, (sum(n) - count(*))::bigint as dropped, round((sum(n) - count(*))::double / sum(n), 6) as fraction from b""")
 def d2_boilerplate(spark, d):
     """Lines that a line before (by path, file and number) already had."""
-    return repeated_lines(files(spark, d, "relative_path", "language", "content").where("language = 'python'"))
-
-
-def repeated_lines(f: DataFrame) -> DataFrame:
-    line = f.select("file_id", "relative_path", F.posexplode(F.split("content", "\n", -1)).alias("n", "line"))
-    t = line.withColumn("t", F.regexp_replace("line", r"^[ \t\r]+|[ \t\r]+$", "")).where("t <> ''")
+    line = files(spark, d, "content").select(F.explode(F.split("content", "\n", -1)).alias("line"))
+    t = line.select(F.regexp_replace("line", r"^[ \t\r]+|[ \t\r]+$", "").alias("t")).where("t <> ''")
     per = t.groupBy("t").agg(F.count(F.lit(1)).alias("n"))  # the first of each text stays, so counts suffice
     total = per.agg(F.count(F.lit(1)).alias("kept"), (F.sum("n") - F.count(F.lit(1))).alias("dropped"))
     return total.select("kept", "dropped", F.round(F.col("dropped") / (F.col("kept") + F.col("dropped")), 6).alias("fraction"))
 
 
-@query(ORACLES["d2_boilerplate"].replace(" where language = 'python'", ""))
-def d2_boilerplate_all(spark, d):
-    return repeated_lines(files(spark, d, "relative_path", "content"))
+@query("""with s as (select distinct sample_id, relative_path, caret_utf16_offset as off, regexp_extract(left_context, '([^\\r\\n]*)$', 1) as l, target_text from samples),
+k as (select sample_id, relative_path, off, sha256(trim(l || target_text, ' ' || chr(9)) || chr(1) || (length(l) - (length(l || target_text) - length(ltrim(l || target_text, ' ' || chr(9)))))) as k from s),
+r as (select *, row_number() over (partition by k order by relative_path, off, sample_id) as n from k) select count(*) filter (n = 1) as kept, count(*) filter (n > 1) as dropped from r""")
+def d2_boilerplate_carets(spark, d):
+    """Carets at the same place of the same line, blanks around it aside: all but the first (by path and offset) are boilerplate."""
+    s = table(spark, d, "samples").select("sample_id", F.regexp_extract("left_context", r"([^\r\n]*)\z", 1).alias("l"), "target_text").distinct()
+    line = F.concat("l", "target_text")
+    column = F.length("l") - (F.length(line) - F.length(F.regexp_replace(line, r"^[ \t]+", "")))
+    k = s.groupBy(F.sha2(F.concat(F.regexp_replace(line, r"^[ \t]+|[ \t]+$", ""), F.lit("\x01"), column.cast("string")), 256).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return k.agg(F.count(F.lit(1)).alias("kept"), (F.sum("n") - F.count(F.lit(1))).alias("dropped"))
 
 
-@query(f"select sample_id, case when f.file_id is null then 'no_file' when substr(f.content, s.caret_utf16_offset + 1, length(s.target_text)) <> s.target_text then 'text_mismatch' else 'ok' end as status from (select distinct sample_id, repository_id, relative_path, source_sha256, caret_utf16_offset, target_text from samples) s left join (select repository_id, relative_path, sha256, min(file_id) as file_id, min(content) as content from {FILES} where not regexp_matches(content, '[\\x{{10000}}-\\x{{10FFFF}}]') group by all) f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256")
+@query(f"select sample_id, case when f.file_id is null then 'no_file' when substr(f.content, ({points_sql('f.content', 's.caret_utf16_offset')})::bigint + 1, length(s.target_text)) <> s.target_text then 'text_mismatch' else 'ok' end as status from (select distinct sample_id, repository_id, relative_path, source_sha256, caret_utf16_offset, target_text from samples) s left join (select repository_id, relative_path, sha256, min(file_id) as file_id, min(content) as content from {FILES} group by all) f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256")
 def j10_positions_with_reason(spark, d):
-    """Samples against the text of their file, by UTF-16 units: no_file, text_mismatch or ok.
-
-    The SQL leaves out files with characters beyond U+FFFF and calls their samples no_file; here they are compared.
-    """
+    """Samples against the text of their file, by UTF-16 units: no_file, text_mismatch or ok."""
     f = files(spark, d, "repository_id", "relative_path", "sha256", "content")
     f = f.groupBy("repository_id", "relative_path", F.col("sha256").alias("source_sha256")).agg(F.encode(F.min("content"), "UTF-16BE").alias("units"))
     s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", "source_sha256", "caret_utf16_offset", "target_text").distinct()
@@ -350,9 +346,6 @@ def l7_repository_split(spark, d):
     return table(spark, d, "corpus").select("repository_id").distinct().select("repository_id", repo_split().alias("split"))
 
 
-_S = SAMPLES
-
-
 @query("select split, count(distinct r) as repositories, count(*) as n from (select distinct file_id, repository_id as r, case when split = 'eval' then 'validation' else split end as split from corpus) group by all")
 def v3_split_names(spark, d):
     c = table(spark, d, "corpus").select("file_id", F.col("repository_id").alias("r"), F.when(F.col("split") == "eval", "validation").otherwise(F.col("split")).alias("split")).distinct()
@@ -365,17 +358,20 @@ def v3_split_isolation(spark, d):
     return c.groupBy("g").agg(F.count("split").alias("k")).agg(F.count_if(F.col("k") > 1).alias("torn"), F.count(F.lit(1)).alias("groups"))
 
 
-@query("""select count(*) filter (not contains(target_text, chr(10))) as single_line, count(*) filter (caret_utf16_offset >= line_start_utf16_offset and target_end_utf16_offset <= line_end_utf16_offset) as inside_line, count(*) filter (target_end_utf16_offset - caret_utf16_offset = length(target_text)) as span_ok,
- count(*) filter (length(left_context) = caret_utf16_offset - left_context_start_utf16_offset) as left_ok, count(*) filter (caret_column_utf16_zero_based = caret_utf16_offset - line_start_utf16_offset) as column_ok, count(*) as n from (select distinct * from samples)""")
+@query(f"""select count(*) filter (not contains(target_text, chr(10))) as single_line, count(*) filter (caret_utf16_offset >= line_start_utf16_offset and target_end_utf16_offset <= line_end_utf16_offset) as inside_line, count(*) filter (target_end_utf16_offset - caret_utf16_offset = {units_sql('target_text')}) as span_ok,
+ count(*) filter (target_end_byte_offset - caret_byte_offset = strlen(target_text)) as bytes_ok, count(*) filter ({units_sql('left_context')} = caret_utf16_offset - left_context_start_utf16_offset) as left_ok, count(*) filter ({units_sql('right_context')} = right_context_end_utf16_offset - target_end_utf16_offset) as right_ok,
+ count(*) filter (left_context_truncated = (left_context_start_utf16_offset > 0)) as flag_ok, count(*) filter (caret_column_utf16_zero_based = caret_utf16_offset - line_start_utf16_offset) as column_ok, count(*) as n from (select distinct * from samples)""")
 def v5_sample_checks(spark, d):
-    """The counted invariants of samples; texts count in code points."""
-    s = table(spark, d, "samples").dropDuplicates(["sample_id"])
-    c = F.col
-    return s.agg(
-        F.count_if(~F.contains(c("target_text"), F.lit("\n"))).alias("single_line"), F.count_if((c("caret_utf16_offset") >= c("line_start_utf16_offset")) & (c("target_end_utf16_offset") <= c("line_end_utf16_offset"))).alias("inside_line"),
-        F.count_if(c("target_end_utf16_offset") - c("caret_utf16_offset") == F.length("target_text")).alias("span_ok"), F.count_if(F.length("left_context") == c("caret_utf16_offset") - c("left_context_start_utf16_offset")).alias("left_ok"),
-        F.count_if(c("caret_column_utf16_zero_based") == c("caret_utf16_offset") - c("line_start_utf16_offset")).alias("column_ok"), F.count(F.lit(1)).alias("n"),
-    )
+    """The counted invariants of samples; spans count UTF-16 units and bytes."""
+    s = table(spark, d, "samples").select("sample_id", "target_text", "left_context", "right_context", "caret_utf16_offset", "target_end_utf16_offset", "line_start_utf16_offset", "line_end_utf16_offset", "caret_byte_offset", "target_end_byte_offset", "left_context_start_utf16_offset", "right_context_end_utf16_offset", "left_context_truncated", "caret_column_utf16_zero_based").dropDuplicates(["sample_id"])
+    c, u = F.col, lambda x: X.utf16_len(F.col(x))
+    checks = {
+        "single_line": ~F.contains(c("target_text"), F.lit("\n")), "inside_line": (c("caret_utf16_offset") >= c("line_start_utf16_offset")) & (c("target_end_utf16_offset") <= c("line_end_utf16_offset")),
+        "span_ok": c("target_end_utf16_offset") - c("caret_utf16_offset") == u("target_text"), "bytes_ok": c("target_end_byte_offset") - c("caret_byte_offset") == F.octet_length("target_text"),
+        "left_ok": u("left_context") == c("caret_utf16_offset") - c("left_context_start_utf16_offset"), "right_ok": u("right_context") == c("right_context_end_utf16_offset") - c("target_end_utf16_offset"),
+        "flag_ok": c("left_context_truncated") == (c("left_context_start_utf16_offset") > 0), "column_ok": c("caret_column_utf16_zero_based") == c("caret_utf16_offset") - c("line_start_utf16_offset"),
+    }
+    return s.agg(*[F.count_if(x).alias(n) for n, x in checks.items()], F.count(F.lit(1)).alias("n"))
 
 
 @query("with s as (select distinct sample_id, repository_id from samples) select count(*) as n, count(distinct sample_id) as ids from s")

@@ -36,3 +36,17 @@ def glob_sql(column: str, patterns: list[str]) -> str:
     from tessel.functions.text import glob_regex
 
     return "(" + " or ".join(f"regexp_matches({column}, '{glob_regex(p)}')" for p in patterns) + ")"
+
+
+def points_sql(text: str, units: str) -> str:
+    """The code points that so many UTF-16 units of a text take: units less the characters beyond U+FFFF among them. Each
+    step corrects the one before; four settle for texts with few such characters in a row."""
+    e = units
+    for _ in range(4):
+        e = f"({units} - length(regexp_replace(substr({text}, 1, ({e})::bigint), '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
+    return e
+
+
+def units_sql(text: str) -> str:
+    """The length of a text in UTF-16 units."""
+    return f"(length({text}) + length(regexp_replace({text}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from tessel.functions import text as X
 from tessel.operators import core as O
 from tessel.plans.files import files
-from tessel.plans.registry import FILES, ORACLES, query, u_sql
+from tessel.plans.registry import FILES, query, u_sql
 from tessel.session import cut, table
 from tessel.streaming import jobs as J
 
@@ -37,19 +37,10 @@ def j2_one_policy(spark, d):
     return f.join(bindings(spark, d).where("engine = 'speculative'").select("file_id", "parse_errors"), "file_id", "left")
 
 
-@query("select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey where l_quantity > 49")
+@query("select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey")
 def j3_inner(spark, d):
-    return with_order_status(table(spark, d, "lineitem").where("l_quantity > 49"), table(spark, d, "orders"))
-
-
-def with_order_status(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    line = lines.select("l_orderkey", "l_linenumber")
-    return line.join(orders.select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderstatus")
-
-
-@query(ORACLES["j3_inner"].replace(" where l_quantity > 49", ""))
-def j3_inner_all(spark, d):
-    return with_order_status(table(spark, d, "lineitem"), table(spark, d, "orders"))
+    line, orders = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderstatus")
 
 
 @query(f"select file_id, max(parse_errors) filter (engine = 'adhoc') as adhoc, max(parse_errors) filter (engine = 'msbuild') as msbuild, max(parse_errors) filter (engine = 'speculative') as speculative from {_B} group by all")
@@ -312,7 +303,7 @@ b as (select *, coalesce(sum((r <= 10)::int) over (partition by repository_id or
 def w3_admission_caps(spark, d):
     s = table(spark, d, "samples").select("sample_id", "repository_id", F.coalesce("project", F.lit("-")).alias("project")).distinct()
     key = s.withColumn("inner", F.concat_ws("|", "repository_id", "project"))
-    return O.admission(key, "inner", 10, "repository_id", 25, [F.col("sample_id")]).select("sample_id", "drop_reason")
+    return O.admission(key, "inner", 10, "repository_id", 25, [F.col("sample_id")], ["sample_id"]).select("sample_id", "drop_reason")
 
 
 @query("with l as (select distinct sample_id, relative_path, caret_utf16_offset as off, trim(left_context[-20:]) || chr(1) || target_text as k from samples), r as (select *, row_number() over (partition by k order by relative_path, off, sample_id) as n from l) select sample_id from r where n = 1")
@@ -419,7 +410,7 @@ def l13_little_endian(spark, d):
 @query("select full_name, repo_id from (select *, row_number() over (partition by lower(full_name) order by repo_id, started nulls first, attempts) as r from jobs) where r = 1")
 def d3_first_of_name(spark, d):
     j = table(spark, d, "jobs").select("full_name", "repo_id", "started", "attempts")
-    return O.keep_first(j, [F.lower("full_name")], [F.col("repo_id"), F.asc_nulls_first("started"), F.col("attempts")]).select("full_name", "repo_id")
+    return O.keep_first(j, [F.lower("full_name")], [F.col("repo_id"), F.col("started"), F.col("attempts")]).select("full_name", "repo_id")
 
 
 @query(f"select count(*) as files, count(distinct sha256) as contents, count(*) - count(distinct sha256) as duplicates from {FILES}")
@@ -470,10 +461,15 @@ def k9_hourly_throughput(spark, d):
     return J.windowed(table(spark, d, "events"), "ts", "1 hour", "event_type", "value").select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-@query("select count(*) as differing from (select * from region except select * from region)")
+@query("""with a as (select repo_id, status, samples, attempts from jobs where attempts = 1), b as (select repo_id, status, samples, attempts from jobs where attempts > 1),
+x as (select repo_id, status, samples from a except all select repo_id, status, samples from b), y as (select repo_id, status, samples from b except all select repo_id, status, samples from a)
+select 'first' as side, count(*) as rows_only_here from x union all select 'second', count(*) from y""")
 def v7_identity(spark, d):
-    r = table(spark, d, "region")
-    return r.exceptAll(r).union(r.exceptAll(r)).agg(F.count(F.lit(1)).alias("differing"))
+    """The rows in which two runs differ, by side: the first attempts of all jobs against the later ones."""
+    j = table(spark, d, "jobs").select("repo_id", "status", "samples", "attempts")
+    a, b = j.where("attempts = 1").drop("attempts"), j.where("attempts > 1").drop("attempts")
+    side = lambda x, y, name: x.exceptAll(y).agg(F.count(F.lit(1)).alias("rows_only_here")).select(F.lit(name).alias("side"), "rows_only_here")
+    return side(a, b, "first").union(side(b, a, "second"))
 
 
 @query("select l_returnflag, l_linestatus, sum(l_quantity) as sum_qty, sum(l_extendedprice) as sum_base, sum(l_extendedprice * (1 - l_discount)) as sum_disc, avg(l_quantity) as avg_qty, count(*) as n from lineitem where l_shipdate <= timestamp '1998-09-02' group by all")

@@ -6,9 +6,12 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessel.sources.files import read_lines, read_manifest, write_jsonl
+from tessel.streaming.state import StateTable
+
 
 class Enricher(Protocol):
     """Adds facts to batches of samples; ``schema`` is that of what it returns, with sample_id, status and reason first."""
@@ -27,7 +30,7 @@ class RecordWriter(Protocol):
 
 
 class ManifestReader(Protocol):
-    def read(self, lines: DataFrame) -> DataFrame: ...
+    def read(self, spark: SparkSession, path: str) -> DataFrame: ...
 
 
 class JobStore(Protocol):
@@ -36,6 +39,43 @@ class JobStore(Protocol):
     def save(self, records: DataFrame) -> None: ...
 
 
+class DocumentTable:
+    """A DocumentLookup over a table of files (repository_id, relative_path, sha256, content): samples with the content of their
+    file, or the reason why there is none. The digests decide before any content is joined."""
+
+    def __init__(self, files: DataFrame):
+        self.files = files
+
+    def find(self, samples: DataFrame) -> DataFrame:
+        key = ["repository_id", "relative_path"]
+        have = self.files.groupBy(*key, F.col("sha256").alias("source_sha256")).agg(F.min("content").alias("content"), F.lit(True).alias("same"))
+        there = self.files.select(*key, F.lit(True).alias("there")).distinct()
+        j = samples.join(have, [*key, "source_sha256"], "left").join(there, key, "left")
+        reason = F.when(F.col("same"), None).when(F.col("there"), "document_text_mismatch").otherwise("document_not_in_workspace")
+        return j.withColumn("reason", reason).drop("same", "there")
+
+
+class LineWriter:
+    """A RecordWriter of JSON lines, whole or not at all."""
+
+    def write(self, records: DataFrame, path: str) -> DataFrame:
+        return write_jsonl(records, path)
+
+
+class ManifestFile:
+    """A ManifestReader of a text, csv or jsonl file."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        return read_manifest(read_lines(spark, path), self.kind)
+
+
+class JobTable(StateTable):
+    """A JobStore kept in versions of Parquet."""
+
+
 def enriched(samples: DataFrame, enricher: Enricher, required: bool = False) -> DataFrame:
     """Samples with their facts left-joined. A batch whose enricher raises comes out as failed with the reason, so one bad
     sample doesn't stop the run; with ``required`` samples without facts are dropped."""

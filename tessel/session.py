@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -29,10 +31,13 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "tessel
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where none is set (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; a folder of this machine only where Spark runs on it
+    alone (tests). A cluster that names none is refused, as its executors couldn't read what others wrote."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tessel-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)

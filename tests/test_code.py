@@ -60,16 +60,34 @@ def test_near_duplicates_against_exact_similarity(spark):
         t[5] = "changed"
     rows = [(i, 0, " ".join(t)) for i, t in enumerate(train)] + [(100 + i, 1, " ".join(t)) for i, t in enumerate(evals)]
     rows += [(90, 0, " ".join(train[7])), (200, 1, "too short"), (201, 1, None)]
-    got = {r.id: (r.best_id, r.estimate) for r in N.near_duplicates(spark.createDataFrame(rows, "id long, side int, text string")).collect()}
+    got = {r.id: (r.best_id, r.similarity) for r in N.near_duplicates(spark.createDataFrame(rows, "id long, side int, text string")).collect()}
     runs = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
     for i, t in enumerate(evals):
         exact = max(len(runs(t) & runs(x)) / len(runs(t) | runs(x)) for x in train)
         assert (100 + i in got) == (exact >= 0.8)
         if 100 + i in got:
-            assert abs(got[100 + i][1] - exact) < 0.15
+            assert abs(got[100 + i][1] - exact) < 1e-9
     assert got[107] == (7, 1.0)
 
 
+def test_recall_of_near_duplicates(spark):
+    """Against brute force over all pairs, most of them close to the threshold."""
+    rnd = random.Random(11)
+    train = [[f"w{rnd.randrange(900)}" for _ in range(rnd.randrange(40, 160))] for _ in range(150)]
+    evals = []
+    for t in train:
+        e = list(t)
+        for _ in range(max(1, len(e) // 60)):
+            e[rnd.randrange(len(e))] = "changed"
+        evals.append(e)
+    rows = [(i, 0, " ".join(t)) for i, t in enumerate(train)] + [(1000 + i, 1, " ".join(t)) for i, t in enumerate(evals)]
+    got = {r.id for r in N.near_duplicates(spark.createDataFrame(rows, "id long, side int, text string")).collect()}
+    runs = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    sets = [runs(t) for t in train]
+    want = {1000 + i for i, e in enumerate(evals) if max(len(runs(e) & x) / len(runs(e) | x) for x in sets) >= 0.8}
+    assert len(want) > 60 and got <= want and len(got) >= 0.99 * len(want)
+
+
 def test_tokens(spark):
     df = spark.createDataFrame([(1, "hello world\n" * 40), (2, None), (3, "")], "i int, t string")
     r = {x.i: x for x in df.select("i", T.token_count(F.col("t")).alias("n"), T.encoded(F.col("t")).alias("e"), T.last_tokens(F.col("t"), 10).alias("l")).collect()}

@@ -91,6 +91,9 @@ def test_discovery_reasons(spark):
     want = {"src/a.cs": "accepted", "src/b.cs": "exact_duplicate", "obj/c.cs": "excluded_path", "vendor/d.cs": "vendored_path", "e.g.cs": "generated_path", "f.cs": "empty", "g.cs": "generated_marker", "h.cs": "long_lines", "i.cs": "secret_detected", "j.cs": "too_large", "k.cs": "accepted"}
     assert {k: v[0] for k, v in got.items()} == want
     assert got["src/b.cs"][1] == "src/a.cs"
+    more = spark.createDataFrame([("r", "a.cs", 5, "s1", "utf16_encoding", None, ""), ("r", "b.cs", 5, "s2", None, False, "class A {}"), ("r", "c.cs", 5, "s3", None, True, "class B {}"), ("r", "obj/d.cs", 5, "s4", "invalid_utf8", False, "")], "repository_id string, relative_path string, bytes long, sha256 string, undecoded string, allowed boolean, content string")
+    got = {r.relative_path: r.reason for r in O.discovery(more, undecoded=F.col("undecoded"), allowed=F.col("allowed")).collect()}
+    assert got == {"a.cs": "utf16_encoding", "b.cs": "license_not_allowed", "c.cs": "accepted", "obj/d.cs": "excluded_path"}
 
 
 def test_admission_equals_the_loop(spark):
@@ -98,7 +101,7 @@ def test_admission_equals_the_loop(spark):
     rows = [(i, rnd.choice("xyz"), "r" + rnd.choice("12")) for i in range(200)]
     rows = [(i, f"{o}|{p}", o) for i, p, o in rows]
     df = spark.createDataFrame(rows, "id int, inner string, outer string")
-    got = {r.id: r.drop_reason for r in O.admission(df, "inner", 7, "outer", 15, [F.col("id")]).collect()}
+    got = {r.id: r.drop_reason for r in O.admission(df, "inner", 7, "outer", 15, [F.col("id")], ["id"]).collect()}
     n_in, n_out = {}, {}
     for i, p, o in rows:
         if n_out.get(o, 0) >= 15:
