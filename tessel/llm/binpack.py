@@ -10,15 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessel.llm.common import cut
 from tessel.operators.skew import numbered
 
 CAPACITY = 2048
+#: Parts of the items of one size that are numbered apart, so that a size that most items have is spread over tasks.
+SALTS = 256
 
 
 class RoomTree:
@@ -108,12 +110,23 @@ def pack(items: DataFrame, key: str, size: Column, capacity: int = CAPACITY) ->
     p = cut(pieces(items, key, size, capacity))
     hist = {r[0]: r[1] for r in p.groupBy("size").count().collect()}  # at most `capacity` rows
     rows, _ = plan(hist, capacity)
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("size__", "first__", "end__", "container__", "per__")])
-    fills = spark.createDataFrame(pd.DataFrame(rows, columns=[f.name for f in schema]).astype("int64") if rows else [], schema)
-    n = numbered(p, ["size"], [F.xxhash64("item", "piece"), F.col("item"), F.col("piece")], ["item", "piece"], "number__")
-    # the runs of a size, as one sorted array per size: a join on the size alone, then a lookup of the number
-    runs = fills.groupBy("size__").agg(F.sort_array(F.collect_list(F.struct("first__", "end__", "container__", "per__"))).alias("runs__"))
-    hit = F.element_at(F.filter("runs__", lambda x: (x["first__"] <= F.col("number__")) & (F.col("number__") < x["end__"])), 1)
-    placed = n.join(F.broadcast(runs), F.col("size") == F.col("size__")).withColumn("r__", hit)
-    at = F.col("r__.container__") + F.floor((F.col("number__") - F.col("r__.first__")) / F.col("r__.per__"))
-    return placed.select("item", "piece", "start", "size", at.cast("bigint").alias("container"))
+    n = numbered(p, ["size"], [F.xxhash64("item", "piece"), F.col("item"), F.col("piece")], ["item", "piece"], "number__", SALTS)
+    runs = pd.DataFrame(rows, columns=["size", "first", "end", "container", "per"]).sort_values(["size", "first"]).astype("int64") if rows else pd.DataFrame({c: [0] for c in ("size", "first", "end", "container", "per")})
+    # the runs depend on the histogram alone: a few per size and open room, whatever the number of items
+    known = spark.sparkContext.broadcast({c: runs[c].to_numpy() for c in runs})
+
+    @F.pandas_udf("bigint")
+    def container(size: pd.Series, number: pd.Series) -> pd.Series:
+        r = known.value
+        keys = (r["size"] << 44) + r["first"]
+        at = np.searchsorted(keys, (size.to_numpy().astype("int64") << 44) + number.to_numpy(), side="right") - 1
+        return pd.Series(r["container"][at] + (number.to_numpy() - r["first"][at]) // r["per"][at])
+
+    return n.select("item", "piece", "start", "size", container("size", "number__").alias("container"))
+
+
+def waste(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(containers, items, used, room, fill): how many containers a packing takes, and what part of their room is used."""
+    per = packed.groupBy("container").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("items"))
+    all_ = per.agg(F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"), F.coalesce(F.sum("load"), F.lit(0)).cast("bigint").alias("used"), F.max("load").alias("fullest"))
+    return all_.withColumn("room", F.col("containers") * capacity - F.col("used")).withColumn("fill", F.col("used") / F.nullif(F.col("containers") * capacity, F.lit(0)))

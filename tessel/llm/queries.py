@@ -86,6 +86,17 @@ def p7_nested(spark: SparkSession, d: str) -> DataFrame:
     return caps.nested_caps(s, NESTED, caps.best_first(), ["sample_id"]).select("sample_id", "dropped_by")
 
 
+#: The part of all samples that an owner may have at most, for p7_shares.
+OWNER_SHARE = 0.02
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Samples beyond a share of all samples per owner: the cap is a part of their number."""
+    s = cut(caps.samples_by_owner(table(spark, d, "samples"), table(spark, d, "jobs")))
+    cap = caps.cap_from_share(s.count(), OWNER_SHARE)
+    return caps.nested_caps(s, [("owner", cap)], caps.best_first(), ["sample_id"]).where("dropped_by is not null").select("sample_id")
+
+
 def measured(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """documents with their token counts, materialised, as the counts are needed more than once."""
     docs = table(spark, d, "documents")
@@ -97,6 +108,11 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packed.select(F.col("item").alias("doc_id"), "piece", F.col("start").alias("start_token"), F.col("size").alias("n_tokens"), "container")
 
 
+def p8_waste(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are."""
+    return binpack.waste(binpack.pack(measured(spark, d), "doc_id", F.col("n_tokens")))
+
+
 #: The size of the tempered mix, as a part of all distinct tokens of the sources with a target.
 MIX_PART = 0.8
 
@@ -132,7 +148,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(docs, cut(pii.find(docs)))
 
 
-QUERIES: dict[str, Q] = {q.__name__: q for q in (p1_found, p1_inherited, p2_method, p2_found, p3_found, p3_faults, p3_rates, p4_found, p4_counts, p5_found, p5_redacted, p6_found, p6_splits, p7_found, p7_nested, p8_containers, p9_method, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES: dict[str, Q] = {q.__name__: q for q in (p1_found, p1_inherited, p2_method, p2_found, p3_found, p3_faults, p3_rates, p4_found, p4_counts, p5_found, p5_redacted, p6_found, p6_splits, p7_found, p7_nested, p7_shares, p8_containers, p8_waste, p9_method, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _OWNER = r"nullif(regexp_extract(regexp_replace(lower(full_name), '\s+', '', 'g'), '^/*([^/]+)', 1), '')"
 
@@ -161,6 +177,11 @@ with j as (select repo_id, min({_OWNER}) as owner, min(priority) as priority fro
 s as (select distinct sample_id, repository_id from samples)
 select sample_id from (select sample_id, row_number() over (partition by owner order by priority desc nulls last, sample_id) as r
   from s join j on repo_id = repository_id where owner is not null) where r > {OWNER_CAP}""",
+    "p7_shares": rf"""
+with j as (select repo_id, min({_OWNER}) as owner, min(priority) as priority from jobs group by 1),
+s as (select distinct sample_id, repository_id from samples), c as (select greatest(1, floor(count(*) * {OWNER_SHARE}))::bigint as cap from s)
+select sample_id from (select sample_id, row_number() over (partition by owner order by priority desc nulls last, sample_id) as r
+  from s join j on repo_id = repository_id where owner is not null), c where r > cap""",
     "p7_nested": rf"""
 with j as (select repo_id, min({_OWNER}) as owner, min(priority) as priority from jobs group by 1),
 s as (select distinct sample_id, repository_id, owner, priority, regexp_extract(repository_id, '^([^/]+)/', 1) as host from samples join j on repo_id = repository_id),

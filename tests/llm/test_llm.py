@@ -429,6 +429,8 @@ def test_packing_is_best_fit_decreasing(spark):
             load[r.container] += r.size
         assert max(load.values()) <= cap and sum(load.values()) == sum(sizes) + cap * 2 + 3 and {r.item for r in got} == set(range(300)) | {902}
         assert len(load) == naive_best_fit([*sizes, cap, cap, 3], cap) == max(load) + 1
+        w = binpack.waste(spark.createDataFrame(got), cap).first()
+        assert (w.containers, w.items, w.used, w.room, w.fullest) == (len(load), len(got), sum(load.values()), len(load) * cap - sum(load.values()), cap)
         assert sorted((r.start, r.size) for r in got if r.item == 902) == [(0, cap), (cap, cap), (2 * cap, 3)]
     assert binpack.pack(spark.createDataFrame([], "id long, n int"), "id", F.col("n"), 10).count() == 0
 
