@@ -119,14 +119,12 @@ def admission(df: DataFrame, inner: str, inner_cap: int, outer: str, outer_cap:
 def prefix_sum(df: DataFrame, order: str, value: str, buckets: int = 64, out: str = "offset") -> DataFrame:
     """Adds the sum of ``value`` over all rows before, by a unique ``order`` of numbers, in two phases.
 
-    Rows are cut into ranges of the order; range totals are summed up in a window over the few ranges, rows in a window
-    within their range. No window holds all rows.
+    Rows are cut at quantiles of the order, so that ranges hold about as many rows each however the numbers lie; range totals
+    are summed up in a window over the few ranges, rows in a window within their range. No window holds all rows.
     """
     b = fresh(df, "range__")
-    lo, hi = F.min(order).alias("lo__"), F.max(order).alias("hi__")
-    bounds = df.agg(lo, hi)
-    cut = F.least(F.floor((F.col(order) - F.col("lo__")) * buckets / (F.col("hi__") - F.col("lo__") + 1)), F.lit(buckets - 1)).cast("int")
-    ranged = df.crossJoin(F.broadcast(bounds)).withColumn(b, cut).drop("lo__", "hi__")  # one row on the right
+    at = F.percentile_approx(order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), F.lit(10_000)).alias("at__")
+    ranged = df.crossJoin(F.broadcast(df.agg(at))).withColumn(b, F.size(F.filter("at__", lambda x: x < F.col(order)))).drop("at__")  # one row on the right
     totals = ranged.groupBy(b).agg(F.sum(value).alias("t__"))
     before = totals.select(F.col(b), F.coalesce(F.sum("t__").over(W.orderBy(b).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before__"))
     inside = F.coalesce(F.sum(value).over(W.partitionBy(b).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -166,14 +164,34 @@ def nearest_ancestor(paths: DataFrame, path: str, marked: DataFrame, folder: str
 def water_fill(sizes: DataFrame, key: str, size: str, budget: int) -> DataFrame:
     """(cap): the least whole cap such that the sizes, each cut to it, sum up to the budget; the largest size if they can't.
 
-    Sizes are aggregated to (size, how many) first; the closed form needs prefix sums over distinct sizes only.
+    A search by digits, most significant first: each round sums up the sizes of 256 ranges (a row per range comes to the
+    driver) and goes on within the one that the cap lies in. Nothing is sorted, however many sizes there are.
     """
-    d = sizes.groupBy(F.col(size).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    w = W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    rows = d.withColumn("below", F.coalesce(F.sum(F.col("s") * F.col("n")).over(w), F.lit(0))).withColumn("above", F.sum("n").over(W.orderBy("s").rowsBetween(0, W.unboundedFollowing)))
-    cap = F.ceil((F.lit(budget) - F.col("below")) / F.col("above"))
-    fits = rows.withColumn("cap", F.greatest(cap, F.lit(0))).where(F.col("below") + F.col("s") * F.col("above") >= budget)
-    return fits.agg(F.min_by("cap", "s").alias("c")).join(d.agg(F.max("s").alias("m"))).select(F.coalesce("c", "m").cast("bigint").alias("cap"))
+    from tessel.session import cut
+
+    spark = sizes.sparkSession
+    d = cut(sizes.where(F.col(size).isNotNull()).groupBy(F.col(size).cast("bigint").alias("s")).agg(F.count(F.lit(1)).alias("n")))
+    top, total = d.agg(F.max("s"), F.sum(F.col("s") * F.col("n"))).first()
+    if top is None or total < budget:
+        return spark.createDataFrame([(top,)], "cap bigint")
+    lo, width, below, above = 0, 1, 0, d.agg(F.sum("n")).first()[0]
+    while lo + width * 256 <= top:
+        width *= 256
+    while width >= 1:
+        each = {int(r[0]): (r[1], r[2]) for r in d.where(F.col("s").between(lo, lo + 256 * width - 1)).groupBy(F.floor((F.col("s") - lo) / width).alias("r")).agg(F.sum(F.col("s") * F.col("n")), F.sum("n")).collect()}
+        for r in range(256):
+            # at the last value of a range, sizes within it count as themselves or as the cap: the cap lies in the first that suffices
+            total_in, n_in = each.get(r, (0, 0))
+            end = lo + (r + 1) * width
+            if below + total_in + end * (above - n_in) >= budget or r == 255:
+                lo += r * width
+                break
+            below, above = below + total_in, above - n_in
+        if width == 1:
+            break
+        width //= 256
+    cap = -(-(budget - below) // above) if above else lo
+    return spark.createDataFrame([(max(int(cap), 0),)], "cap bigint")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:

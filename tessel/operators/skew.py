@@ -16,6 +16,13 @@ from pyspark.sql.window import Window as W
 SALTS = 64
 
 
+def salts_for(df: DataFrame) -> int:
+    """How many parts a hot key is ranked in: as many as the session has shuffle partitions, ``SALTS`` at least. Ranks don't
+    depend on it."""
+    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return max(SALTS, int(n)) if str(n).isdigit() else SALTS
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, whatever the case of its columns."""
     have = {c.lower() for c in df.columns}
@@ -24,13 +31,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def capped_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, salt_on: Sequence[str], out: str = "rank", salts: int = SALTS) -> DataFrame:
+def capped_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, salt_on: Sequence[str], out: str = "rank", salts: int | None = None) -> DataFrame:
     """Adds ``out``: the 1-based rank within keys for the first ``limit`` rows of each key, null for rows beyond.
 
     ``order`` must be a total order over the rows of a key for a repeatable result. Null keys form a key of their own.
     """
     s, r = fresh(df, "salt__"), fresh(df, f"{out}_in_salt__")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_on]), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_on]), F.lit(salts or salts_for(df)))
     keyed = [F.col(f"`{k}`") for k in keys]
     first = df.withColumn(s, salt)
     first = first.withColumn(r, F.row_number().over(W.partitionBy(*keyed, s).orderBy(*order)))

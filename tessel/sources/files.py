@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
+import re
+import shutil
 import struct
 import time
 from collections.abc import Iterator, Sequence
@@ -18,13 +19,23 @@ from pyspark.sql.window import Window as W
 from tessel.functions import text as X
 
 
+def below(root: str, path: Column) -> Column:
+    """A file's path relative to a folder, whatever the scheme before it."""
+    base = re.escape(re.sub(r"^[a-z]+:/*", "", root).strip("/"))
+    return F.regexp_replace(path, rf"^(?:[a-z]+:)?/*{base}/", "")
+
+
 def scan_folder(spark: SparkSession, root: str, include: Sequence[str] = ("**/*",)) -> DataFrame:
-    """(path, size, content) of the files below a folder that an include glob matches, without .git. Content is only read
-    for the columns that ask for it, and rows of unmatched paths are filtered before."""
+    """(path, size, content) of the files below a folder that an include glob matches, without .git.
+
+    A folder of mounted disks is listed by a source of its own, which follows no links; other file systems have none and
+    are read as they are. Content is only read of paths that match.
+    """
+    if not re.match(r"^(?!file:)[a-z][a-z0-9]+:", root):
+        spark.dataSource.register(ListedFolder)
+        return spark.read.format("listed_folder").option("path", re.sub("^file:/*", "/", root)).option("include", "\n".join(include)).option("content", "true").load()
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.removeprefix("file://").rstrip("/")
-    path = F.regexp_replace("path", rf"^(?:file:)?/*{base.lstrip('/')}/", "")
-    return f.select(path.alias("path"), F.col("length").alias("size"), "content").where(X.first_match(F.col("path"), list(include)).isNotNull() & ~F.col("path").rlike(r"(^|/)\.git/"))
+    return f.select(below(root, F.col("path")).alias("path"), F.col("length").alias("size"), "content").where(X.first_match(F.col("path"), list(include)).isNotNull() & ~F.col("path").rlike(r"(^|/)\.git/"))
 
 
 def decoded(content: Column) -> Column:
@@ -51,15 +62,44 @@ def write_jsonl(df: DataFrame, path: str, compression: str | None = None) -> Dat
     return files.join(lines, "file", "left").select("file", F.coalesce("records", F.lit(0)).alias("records"), "sha256")
 
 
-def write_parquet_pack(df: DataFrame, path: str, split: str = "split", rows_per_file: int = 50_000) -> None:
-    """Parquet with zstd, a folder per split, files of bounded length."""
-    df.repartition(F.col(split), F.pmod(F.xxhash64(*df.columns), F.lit(16))).write.partitionBy(split).option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").mode("errorifexists").parquet(path)
+def write_whole(df: DataFrame, path: str, overwrite: bool = False, form: str = "parquet") -> None:
+    """Writes a dataset beside its place and moves it there when it is whole. What is there already is refused, or with
+    ``overwrite`` replaced; a failed write leaves it as it was."""
+    from tessel.streaming.state import path_of
+
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}.partial"
+    fs, target = path_of(spark, path)
+    if fs.exists(target) and not overwrite:
+        raise FileExistsError(path)
+    df.write.format(form).mode("overwrite").save(beside)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(path_of(spark, beside)[1], target):
+        raise OSError(f"{beside} could not be moved to {path}")
+
+
+def write_parquet_pack(df: DataFrame, path: str, split: str = "split", rows_per_file: int = 50_000, parts: int | None = None, keys: Sequence[str] = ()) -> None:
+    """Parquet with zstd, a folder per split and further keys (a tag, a batch), files of bounded length.
+
+    Rows of a folder are spread over ``parts`` tasks by hash (the session's number of shuffle partitions if not given), so
+    a split that most rows belong to is written by many.
+    """
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folders = [split, *keys]
+    df.repartition(*[F.col(k) for k in folders], F.pmod(F.xxhash64(*df.columns), F.lit(n))).write.partitionBy(*folders).option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").mode("errorifexists").parquet(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, line_no) of a text file's lines, numbered from 0 in file order."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.posexplode(F.split("value", r"\r\n|\n", -1)).alias("line_no", "value")).select("value", F.col("line_no").cast("bigint").alias("line_no"))
+    """(value, line_no) of a text file's lines, numbered from 0 in file order.
+
+    Lines are numbered within the blocks that tasks read; the lines of the blocks before are added up over one row per
+    block. So a log of any length is read by many tasks.
+    """
+    t = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+    n = t.withColumn("n", F.row_number().over(W.partitionBy("file", "at").orderBy("id")) - 1)
+    blocks = t.groupBy("file", "at").agg(F.count(F.lit(1)).alias("k"))
+    before = blocks.select("file", "at", F.coalesce(F.sum("k").over(W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return n.join(before, ["file", "at"]).select("value", (F.col("before") + F.col("n")).cast("bigint").alias("line_no"))
 
 
 def salvage_jsonl(lines: DataFrame) -> DataFrame:
@@ -92,17 +132,19 @@ def read_manifest(lines: DataFrame, kind: str, url_reason: Column | None = None)
 
 
 class ListedFolder(DataSource):
-    """A source that lists a folder without following links, one partition per top-level entry; rows (path, size)."""
+    """A source that lists a folder without following links, one partition per top-level entry; rows (path, size), with the
+    option ``content`` also the bytes. ``include``: globs, one a line, of the paths wanted."""
 
     @classmethod
     def name(cls) -> str:
         return "listed_folder"
 
     def schema(self) -> str:
-        return "path string, size bigint"
+        return "path string, size bigint" + (", content binary" if self.options.get("content") == "true" else "")
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        root = self.options["path"]
+        root, with_content = self.options["path"], self.options.get("content") == "true"
+        wanted = [re.compile(X.glob_regex(g)) for g in self.options.get("include", "").split("\n") if g]
 
         class Part(InputPartition):
             def __init__(self, entry: str):
@@ -112,27 +154,40 @@ class ListedFolder(DataSource):
             def partitions(self) -> list[InputPartition]:
                 return [Part(e) for e in sorted(os.listdir(root)) if e != ".git"] or [Part("")]
 
+            def rows(self, full: str) -> Iterator[tuple]:
+                path = os.path.relpath(full, root).replace(os.sep, "/")
+                if not wanted or any(rx.search(path) for rx in wanted):
+                    if with_content:
+                        with open(full, "rb") as f:
+                            data = f.read()
+                        yield path, len(data), data
+                    else:
+                        yield path, os.path.getsize(full)
+
             def read(self, part: Part) -> Iterator[tuple]:
                 top = os.path.join(root, part.entry)
                 if not part.entry or os.path.islink(top):
                     return
                 if os.path.isfile(top):
-                    yield part.entry, os.path.getsize(top)
+                    yield from self.rows(top)
                     return
                 for folder, inner, names in os.walk(top, followlinks=False):
                     inner[:] = sorted(d for d in inner if d != ".git" and not os.path.islink(os.path.join(folder, d)))
                     for n in sorted(names):
                         full = os.path.join(folder, n)
                         if not os.path.islink(full):
-                            yield os.path.relpath(full, root).replace(os.sep, "/"), os.path.getsize(full)
+                            yield from self.rows(full)
 
         return Reader()
 
 
 class PackedShards(DataSource):
-    """A sink of packed token shards: per task tokens.u16, offsets.u64 and names.txt, moved into place on commit.
+    """A sink of packed token shards: per task tokens.u16 (or .u32), offsets.u64 and names.txt, with a third column also
+    loss_start.u32; moved into place on commit, removed on abort.
 
-    Rows are (name string, ids array<int>); ids must be below 65,536. The commit writes meta.json with the shards' counts.
+    Rows are (name string, ids array<int>[, loss_start int]). The option ``width`` is 16 or 32 bits; an id that doesn't fit
+    fails the task. Rows are written as they come, so a shard needs no memory. The folder must be one that all executors
+    and the driver mount. The commit writes meta.json with the shards' counts.
     """
 
     @classmethod
@@ -140,54 +195,64 @@ class PackedShards(DataSource):
         return "packed_shards"
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
-        out = self.options["path"]
+        out, width, loss = self.options["path"], int(self.options.get("width", "16")), len(schema.fields) > 2
+        letter = {16: "H", 32: "I"}[width]
 
         class Done(WriterCommitMessage):
-            def __init__(self, shard: str, rows: int, tokens: int):
-                self.shard, self.rows, self.tokens = shard, rows, tokens
+            def __init__(self, shard: str, part: str, rows: int, tokens: int):
+                self.shard, self.part, self.rows, self.tokens = shard, part, rows, tokens
 
         class Writer(DataSourceWriter):
             def write(self, rows: Iterator) -> Done:
                 from pyspark import TaskContext
 
                 ctx = TaskContext.get()
-                shard, offsets, names, body = f"shard-{ctx.partitionId():05}", [0], [], bytearray()
-                for name, ids in rows:
-                    body += struct.pack(f"<{len(ids)}H", *ids)
-                    offsets.append(offsets[-1] + len(ids))
-                    names.append(name)
+                shard, n, at = f"shard-{ctx.partitionId():05}", 0, 0
                 part = os.path.join(out, f".{shard}.{ctx.taskAttemptId()}")
                 os.makedirs(part, exist_ok=True)
-                for file, data in (("tokens.u16", bytes(body)), ("offsets.u64", struct.pack(f"<{len(offsets)}Q", *offsets)), ("names.txt", "".join(n + "\n" for n in names).encode())):
-                    with open(os.path.join(part, file), "wb") as f:
-                        f.write(data)
-                return Done(f"{shard}\t{part}", len(names), offsets[-1])
+                at_path = lambda name: open(os.path.join(part, name), "wb")
+                with at_path(f"tokens.u{width}") as tokens, at_path("offsets.u64") as offsets, at_path("names.txt") as names, at_path("loss_start.u32") as starts:
+                    offsets.write(struct.pack("<Q", 0))
+                    for row in rows:
+                        ids = row[1]
+                        tokens.write(struct.pack(f"<{len(ids)}{letter}", *ids))
+                        n, at = n + 1, at + len(ids)
+                        offsets.write(struct.pack("<Q", at))
+                        names.write(row[0].encode() + b"\n")
+                        if loss:
+                            starts.write(struct.pack("<I", row[2]))
+                if not loss:
+                    os.remove(os.path.join(part, "loss_start.u32"))
+                return Done(shard, part, n, at)
 
             def commit(self, messages: list) -> None:
                 meta = []
                 for m in messages:
-                    shard, part = m.shard.split("\t")
-                    os.rename(part, os.path.join(out, shard))
-                    meta.append({"shard": shard, "rows": m.rows, "tokens": m.tokens})
-                with open(os.path.join(out, "meta.json"), "w") as f:
+                    os.rename(m.part, os.path.join(out, m.shard))
+                    meta.append({"shard": m.shard, "rows": m.rows, "tokens": m.tokens, "width": width})
+                with open(os.path.join(out, "meta.json.partial"), "w") as f:
                     json.dump(sorted(meta, key=lambda m: m["shard"]), f)
+                os.rename(os.path.join(out, "meta.json.partial"), os.path.join(out, "meta.json"))
 
             def abort(self, messages: list) -> None:
-                return None
+                for m in messages:
+                    if m is not None:
+                        shutil.rmtree(m.part, ignore_errors=True)
 
         return Writer()
 
 
-def read_packed(path: str) -> list[tuple[str, list[int]]]:
-    """The rows of packed shards, for checks."""
+def read_packed(path: str) -> list[tuple]:
+    """The rows of packed shards, for checks: (name, ids), with the start of the loss where it was written."""
     out = []
     for m in json.load(open(os.path.join(path, "meta.json"))):
-        d = os.path.join(path, m["shard"])
-        raw, off = open(os.path.join(d, "tokens.u16"), "rb").read(), open(os.path.join(d, "offsets.u64"), "rb").read()
-        offsets = struct.unpack(f"<{len(off) // 8}Q", off)
-        ids = struct.unpack(f"<{len(raw) // 2}H", raw)
+        d, width = os.path.join(path, m["shard"]), m["width"]
+        numbers = lambda name, letter, size: list(struct.unpack(f"<{os.path.getsize(os.path.join(d, name)) // size}{letter}", open(os.path.join(d, name), "rb").read()))  # noqa: B023, E731
+        offsets, ids = numbers("offsets.u64", "Q", 8), numbers(f"tokens.u{width}", {16: "H", 32: "I"}[width], width // 8)
         names = open(os.path.join(d, "names.txt"), encoding="utf-8").read().split("\n")[:-1]
-        out += [(n, list(ids[a:b])) for n, a, b in zip(names, offsets, offsets[1:], strict=False)]
+        starts = numbers("loss_start.u32", "I", 4) if os.path.exists(os.path.join(d, "loss_start.u32")) else None
+        for i, (n, a, b) in enumerate(zip(names, offsets, offsets[1:], strict=False)):
+            out.append((n, ids[a:b]) if starts is None else (n, ids[a:b], starts[i]))
     return out
 
 
@@ -203,13 +268,10 @@ class RunLog:
 
 
 def checksums(spark: SparkSession, path: str, manifest: dict[str, str]) -> DataFrame:
-    """(file, problem) of files whose digest isn't the manifest's, are missing, or are left unfinished (*.partial)."""
-    have = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.sha2("content", 256).alias("have"))
+    """(file, problem) of files whose digest isn't the manifest's, are missing, not named in it, or are left unfinished
+    (*.partial). Files go by their path below the folder, so equal names in two folders are two files."""
+    have = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(below(path, F.col("path")).alias("file"), F.sha2("content", 256).alias("have"))
     want = spark.createDataFrame(sorted(manifest.items()), "file string, want string")
     j = have.join(want, "file", "full")
-    problem = X.first_reason([("partial_file", F.col("file").endswith(".partial")), ("missing", F.col("have").isNull()), ("checksum", F.col("have") != F.col("want"))])
+    problem = X.first_reason([("partial_file", F.col("file").endswith(".partial")), ("missing", F.col("have").isNull()), ("unlisted", F.col("want").isNull()), ("checksum", F.col("have") != F.col("want"))])
     return j.select("file", problem.alias("problem")).where("problem is not null")
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

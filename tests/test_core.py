@@ -201,3 +201,32 @@ def test_windowed_stream_with_watermark(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(str(r.window.start), r.k): r.total for r in spark.table("rates").collect()} == batch
+
+
+def test_water_fill_and_prefix_sums_on_uneven_numbers(spark):
+    rnd = random.Random(4)
+    sizes = [rnd.choice([0, 1, 5, 300, 70_000, 10**9, 10**12]) + rnd.randrange(3) for _ in range(90)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "k int, s long")
+    for budget in (1, 90, 5_000, 4_000_000, 10**10, 3 * 10**12, 10**16):
+        cap = O.water_fill(df, "k", "s", budget).first()["cap"]
+        reach = lambda c: sum(min(s, c) for s in sizes)
+        assert cap == max(sizes) if sum(sizes) < budget else reach(cap) >= budget > reach(cap - 1)
+    assert O.water_fill(df.limit(0), "k", "s", 5).first()["cap"] is None
+    order = sorted({rnd.randrange(100) if i % 3 else 10**15 + rnd.randrange(10**6) for i in range(300)})
+    got = {r.o: r.offset for r in O.prefix_sum(spark.createDataFrame([(o, 1 + o % 7) for o in order], "o long, v long"), "o", "v", buckets=8).collect()}
+    at = 0
+    for o in order:
+        assert got[o] == at
+        at += 1 + o % 7
+
+
+def test_hot_items_bring_no_pairs_together(spark):
+    rows = [(f"g{i}", "src") for i in range(400)] + [(f"g{i}", f"own{i}_{k}") for i in range(400) for k in range(6)] + [("x", "a"), ("x", "b"), ("x", "src"), ("y", "a"), ("y", "b"), ("y", "src"), ("z", None)]
+    got = O.overlap_pairs(spark.createDataFrame(rows, "g string, i string"), "g", "i", 0.6).collect()
+    assert [(r.a, r.b, r.shared, r.jaccard) for r in got] == [("x", "y", 3, 1.0)]
+
+
+def test_keep_first_takes_the_least_row(spark):
+    df = spark.createDataFrame([("A", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 1, "z")], "k string, n int, v string")
+    got = {tuple(r) for r in O.keep_first(df, [F.lower("k")], [F.col("n")]).collect()}
+    assert got == {("a", 1, "x"), ("b", 3, "y"), (None, 1, "z")}

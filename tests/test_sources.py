@@ -1,7 +1,9 @@
 """Readers and writers, each as a round trip on a small folder."""
 
+import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessel.sources import files as S
@@ -14,6 +16,7 @@ def test_scan_and_decode(spark, tmp_path):
     got = {r.path: r.d for r in S.scan_folder(spark, str(tmp_path), ["**/*.cs"]).select("path", S.decoded(F.col("content")).alias("d")).collect()}
     assert {k: (v["text"], v["has_bom"], v["reason"]) for k, v in got.items()} == {"a/x.cs": ("hi", True, None), "a/y.cs": (None, False, "utf16_encoding"), "b/z.cs": (None, False, "invalid_utf8"), "c.cs": (None, False, "binary_nul")}
     os.symlink(tmp_path / "a", tmp_path / "link")
+    assert "link/x.cs" not in {r.path for r in S.scan_folder(spark, "file://" + str(tmp_path)).collect()}
     spark.dataSource.register(S.ListedFolder)
     assert sorted(r.path for r in spark.read.format("listed_folder").option("path", str(tmp_path)).load().collect()) == ["a/x.cs", "a/y.cs", "b/n.txt", "b/z.cs", "c.cs"]
 
@@ -37,7 +40,7 @@ def test_salvage_and_manifest(spark, tmp_path):
     t = spark.createDataFrame([("https://h/a/b v1", 0)], "value string, line_no bigint")
     assert [(r.url, r.revision) for r in S.read_manifest(t, "txt").collect()] == [("https://h/a/b", "v1")]
     (tmp_path / "l.txt").write_text("a\r\nb\n")
-    assert [(r.value, r.line_no) for r in S.read_lines(spark, str(tmp_path / "l.txt")).collect()] == [("a", 0), ("b", 1), ("", 2)]
+    assert [(r.value, r.line_no) for r in S.read_lines(spark, str(tmp_path / "l.txt")).collect()] == [("a", 0), ("b", 1)]
 
 
 def test_packs(spark, tmp_path):
@@ -49,6 +52,47 @@ def test_packs(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "q")).where("split = 'a'").count() == 5
 
 
+def test_packs_of_other_widths(spark, tmp_path):
+    rows = [(f"n{i}", [70_000 + i, 3], i % 3) for i in range(9)]
+    spark.dataSource.register(S.PackedShards)
+    df = spark.createDataFrame(rows, "name string, ids array<int>, loss_start int").repartition(2)
+    df.write.format("packed_shards").option("path", str(tmp_path / "p")).option("width", "32").mode("append").save()
+    assert sorted(S.read_packed(str(tmp_path / "p"))) == sorted(rows)
+    with pytest.raises(Exception):  # an id beyond 16 bits
+        df.write.format("packed_shards").option("path", str(tmp_path / "q")).mode("append").save()
+    assert not os.path.exists(tmp_path / "q" / "meta.json")
+
+
+def test_whole_writes(spark, tmp_path):
+    path = str(tmp_path / "d")
+    S.write_whole(spark.range(3).toDF("n"), path)
+    with pytest.raises(FileExistsError):
+        S.write_whole(spark.range(4).toDF("n"), path)
+    S.write_whole(spark.range(5).toDF("n"), path, overwrite=True)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_path) == ["d"]
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("int").alias("n"))
+    with pytest.raises(Exception):
+        S.write_whole(bad, path, overwrite=True)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_lines_over_blocks_and_checksums_by_path(spark, tmp_path):
+    (tmp_path / "big.log").write_text("".join(f"line {i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = S.read_lines(spark, str(tmp_path / "big.log")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 5000 and all(r.value == f"line {r.line_no}" for r in got)
+    for d, text in (("a", "one"), ("b", "two")):
+        os.makedirs(tmp_path / "c" / d)
+        (tmp_path / "c" / d / "f.bin").write_text(text)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert S.checksums(spark, str(tmp_path / "c"), {"a/f.bin": digest("one"), "b/f.bin": digest("two")}).count() == 0
+    assert {tuple(r) for r in S.checksums(spark, str(tmp_path / "c"), {"a/f.bin": digest("two"), "gone": "x"}).collect()} == {("a/f.bin", "checksum"), ("b/f.bin", "unlisted"), ("gone", "missing")}
+
+
 def rows_sorted(rows):
     return sorted((n, list(i)) for n, i in rows)
 
