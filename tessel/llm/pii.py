@@ -215,7 +215,7 @@ def lexicons(names: DataFrame) -> tuple[DataFrame, DataFrame]:
         inside = marked.join(trusted.withColumn("in_trusted", F.lit(1)), "left", "left")
         # a given name goes before several surnames, in trusted contexts for the most part or beyond doubt
         votes = inside.groupBy("a").agg(F.count_distinct(F.when(F.col("in_trusted") == 1, F.col("b"))).alias("n"), F.count("in_trusted").alias("good"), F.count(F.lit(1)).alias("all"), F.max("seed").alias("seed"))
-        given = cut(votes.where("n >= 2 and good >= 0.3 * all or seed and n >= 1 and good >= 0.3 * all").select("a").distinct())
+        given = cut(votes.where("n >= 2 and good >= 0.3 * all or seed and n >= 1 and good >= 0.3 * all").select("a"))
         n = given.count()
         if n == had:
             break
@@ -231,7 +231,7 @@ def found_names(names: DataFrame) -> DataFrame:
     g1 = given.select(F.col("word").alias("la"), F.lit(1).alias("a_given"))
     g2 = given.select(F.col("word").alias("lb"), F.lit(1).alias("b_given"))
     core = lambda c: F.regexp_extract(c, r"([^ -]+)(?:-[^ ]*)?$", 1)
-    known = surname.select(core(F.col("word")).alias("core")).distinct()
+    known = cut(surname.select(core(F.col("word")).alias("core")).distinct())
     c1, c2 = known.select(F.col("core").alias("core_a"), F.lit(1).alias("a_core")), known.select(F.col("core").alias("core_b"), F.lit(1).alias("b_core"))
     n = n.withColumn("core_a", core(F.col("la"))).withColumn("core_b", core(F.col("lb")))
     n = n.join(g1, "la", "left").join(g2, "lb", "left").join(c1, "core_a", "left").join(c2, "core_b", "left")
@@ -247,7 +247,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no places; a doc_id that repeats with the same text gives its places once.
     """
-    cands = cut(docs.where("text is not null and doc_id is not null").select("doc_id", "text").mapInArrow(scan, "doc_id bigint, kind string, start int, end int, a string, b string, comma boolean, left string, form string, seed boolean").distinct())
+    cands = cut(docs.where("text is not null and doc_id is not null").select("doc_id", "text").mapInArrow(scan, "doc_id bigint, kind string, start int, end int, a string, b string, comma boolean, left string, form string, seed boolean"))
     names = found_names(cands.where("kind = 'name'")).select("doc_id", F.lit("name").alias("kind"), "start", "end", F.col("score").alias("rank"))
     spans = trusted_places(cands).union(names)
     # spans that overlap one another, directly or through others, form a run; only within a run is anything to be decided

@@ -528,3 +528,30 @@ def test_words_of_any_length_explain_a_literal(spark):
     rows = [(i, "r", f"{i}.py", None, f"{long} harbor window({i})\n") for i in range(5)] + [(9, "r", "s.py", None, f'token = "{long}-harbor-77"\npassword = "harborQ9x!window7Kz"\n')]
     c, s = spark.createDataFrame(rows, CORPUS), spark.createDataFrame([], "sample_id string, relative_path string, left_context string")
     assert [(r.row_key, r.line_no) for r in secrets.find(c, s).collect()] == ([] if not secret_places(rows[-1][4], False, {long, "harbor", "window"}) else [("9", 2)])
+
+
+HOT = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "48k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Sizes at which adaptive execution splits already on small data."""
+    before = {k: spark.conf.get(k, None) for k in HOT}
+    for k, v in HOT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_on_hot_keys_are_split(spark, small_partitions):
+    ties = spark.range(60_000).selectExpr("concat('node', id) as node", "if(id % 3 = 0, 'hot', concat('k', id)) as key")
+    assert "skew=true" in final_plan(components.star_edges(ties))
+    edges = spark.range(30_000).selectExpr("'a' as a", "concat('b', id) as b")
+    assert {r.root for r in components.hash_to_min(edges).select("root").distinct().collect()} == {"a"}
