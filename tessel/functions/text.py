@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,6 +133,24 @@ def compact_signature(sig: Column) -> Column:
     return F.when(whole, F.concat(F.substr(sig, cut + 2), F.lit("->"), F.substr(sig, F.lit(1), cut))).otherwise(sig)
 
 
+#: Name, type parameters and parameters of a Go function with their brackets balanced, then its results.
+GO_SIGNATURE = r"([^(\[]*(\[(?:[^\[\]]|(?2))*\])?\s*(\((?:[^()]|(?3))*\)))\s*(.*?)\s*"
+
+
+def compact_go_signature(sig: Column) -> Column:
+    """'Name[T any](p T) (R, error)' as 'Name[T any](p T)->(R, error)'; without results, or without whole brackets, unchanged.
+
+    Brackets nest to any depth, which takes a recursive pattern: an Arrow batch, not a column expression.
+    """
+    def run(s: pd.Series) -> pd.Series:
+        import regex
+
+        rx = regex.compile(GO_SIGNATURE, regex.S)
+        return pd.Series([None if x is None else f"{m[1]}->{m[4]}" if (m := rx.fullmatch(x)) and m[4] else x for x in s], dtype=object)
+
+    return F.pandas_udf(run, "string")(sig)
+
+
 def context_windows(content: Column, caret: Column, end: Column, before: int, after: int) -> Column:
     """struct<left, right, left_cut, right_cut>: up to so many UTF-16 units before a caret and after a target's end. A window
     that would start or end within a surrogate pair leaves the pair out."""

@@ -245,3 +245,11 @@ def r10_encoded_by(spark, d):
     f = files(spark, d, "relative_path", "content")
     e = f.select("file_id", T.encoded(F.col("content"), ENGINE).alias("e"))
     return e.select("file_id", F.size("e.ids").alias("n"), F.array_max("e.ids").alias("largest"), F.col("e.round_trip").alias("round_trip"))
+
+
+@query()
+def x13_go_signatures(spark, d):
+    """Signatures of Go functions and methods in their compact form."""
+    rx = r"(?m)^func[ \t]+(?:\([^()]*\)[ \t]*)?(\w[^{\n]*?)[ \t]*\{[ \t]*$"
+    s = files(spark, d, "language", "content").where("language = 'go'").select("file_id", F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit(rx), 1))).alias("s"))
+    return s.select("file_id", X.compact_go_signature(F.col("s")).alias("signature"))

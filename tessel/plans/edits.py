@@ -71,11 +71,29 @@ def a24_document_checks(spark, d):
     return s.agg(F.count_if(~F.contains("target_text", F.lit("\n")) & (F.col("target_text") != "")).alias("good_targets"), F.count_distinct("sample_id").alias("ids"), F.count_if(F.col("caret_utf16_offset") < F.col("target_end_utf16_offset")).alias("spans"), F.count(F.lit(1)).alias("n"))
 
 
-@query("select (select count(*) from (select distinct file_id from bindings) b where not exists (select 1 from corpus c where c.file_id = b.file_id)) as orphans, (select count(*) from bindings where parse_errors < 0) as negative")
+@query("select b.file_id, case when c.file_id is null then 'no_file' when parse_errors < 0 then 'negative_errors' when c.repository_id <> b.repository_id or c.relative_path <> b.relative_path then 'other_file' when min_position < 0 or min_position > length(content) then 'position_outside' end as problem from (select distinct * from bindings) b left join (select file_id, min(repository_id) as repository_id, min(relative_path) as relative_path, min(content) as content from corpus group by 1) c using (file_id) where problem is not null or b.engine is null")
 def v4_sidecar(spark, d):
-    b = table(spark, d, "bindings")
-    orphans = b.select("file_id").distinct().join(table(spark, d, "corpus").select("file_id"), "file_id", "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
-    return orphans.join(b.agg(F.count_if(F.col("parse_errors") < 0).alias("negative")))
+    """Records beside files that don't fit them, with the first reason."""
+    b = table(spark, d, "bindings").distinct()
+    c = files(spark, d, "repository_id", "relative_path", "content").select("file_id", F.col("repository_id").alias("r"), F.col("relative_path").alias("p"), F.length("content").alias("n"))
+    j = b.join(c, "file_id", "left")
+    problem = X.first_reason([("no_file", F.col("r").isNull()), ("negative_errors", F.col("parse_errors") < 0), ("other_file", (F.col("r") != F.col("repository_id")) | (F.col("p") != F.col("relative_path"))), ("position_outside", (F.col("min_position") < 0) | (F.col("min_position") > F.col("n")))])
+    return j.select("file_id", problem.alias("problem"), "engine").where("problem is not null or engine is null").drop("engine")
+
+
+_AT = "substr(hex(encode(content)), 2 * (a - {}) + 1, 2 * strlen(target_text)) = hex(encode(target_text))"
+
+
+@query(f"""with s as (select distinct sample_id, repository_id, relative_path, source_sha256, caret_byte_offset as a, target_text from samples), f as (select repository_id, relative_path, sha256, min(content) as content from {FILES} group by all)
+select sample_id, case when content is null then 'no_file' when {_AT.format(0)} then 'ok' when a >= 3 and {_AT.format(3)} then 'repaired' else 'text_mismatch' end as status from s left join f on s.repository_id = f.repository_id and s.relative_path = f.relative_path and s.source_sha256 = f.sha256""")
+def j17_byte_positions(spark, d):
+    """Samples against the bytes of their file; offsets that counted a mark which the stored text hasn't are repaired by its three bytes."""
+    f = files(spark, d, "repository_id", "relative_path", "sha256", "content").groupBy("repository_id", "relative_path", F.col("sha256").alias("source_sha256")).agg(F.encode(F.min("content"), "UTF-8").alias("raw"))
+    j = samples(spark, d, "repository_id", "relative_path", "source_sha256", "caret_byte_offset", "target_text").join(f, ["repository_id", "relative_path", "source_sha256"], "left")
+    target = F.encode("target_text", "UTF-8")
+    at = lambda shift: F.substr("raw", (F.col("caret_byte_offset") - shift + 1).cast("int"), F.octet_length(target)) == target
+    status = F.when(F.col("raw").isNull(), "no_file").when(at(0), "ok").when((F.col("caret_byte_offset") >= 3) & at(3), "repaired").otherwise("text_mismatch")
+    return j.select("sample_id", status.alias("status"))
 
 
 @query("select sample_id from (select distinct sample_id, semantic_status, sha256('preview' || sample_id) as h from samples) order by (semantic_status = 'complete')::int desc, h, sample_id limit 50".replace("(semantic_status = 'complete')::int", "coalesce((semantic_status = 'complete')::int, 0)"))

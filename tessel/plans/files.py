@@ -175,10 +175,12 @@ def f21_special_tokens(spark, d):
     return files(spark, d, "content").agg(F.count_if(hit).alias("skipped"), F.count(F.lit(1)).alias("n"))
 
 
-@query("select sample_id from (select distinct sample_id, left_context, left_context_truncated from samples) where regexp_matches(left_context, '\\.[A-Za-z_][A-Za-z0-9_]*$') or left_context_truncated and regexp_matches(left_context, '\\.$')")
+@query("select sample_id, d as after_dot_partial, t as truncated from (select distinct sample_id, caret_kind = 'identifier_partial' and regexp_matches(left_context, '\\.[A-Za-z_][A-Za-z0-9_]*$') as d, left_context_truncated and right_context_truncated as t from samples) where d or t")
 def f22_redo(spark, d):
-    s = table(spark, d, "samples").select("sample_id", "left_context", "left_context_truncated").distinct()
-    return s.where(F.col("left_context").rlike(r"\.[A-Za-z_][A-Za-z0-9_]*\z") | (F.col("left_context_truncated") & F.col("left_context").rlike(r"\.\z"))).select("sample_id")
+    """Samples to be done again: a name partly typed after a dot, or a record that was cut off; both reasons count."""
+    dotted = (F.col("caret_kind") == "identifier_partial") & F.col("left_context").rlike(r"\.[A-Za-z_][A-Za-z0-9_]*\z")
+    s = table(spark, d, "samples").select("sample_id", dotted.alias("after_dot_partial"), (F.col("left_context_truncated") & F.col("right_context_truncated")).alias("truncated")).distinct()
+    return s.where("after_dot_partial or truncated")
 
 
 @query(f"with l as (select file_id, len(string_split(content, chr(10))) as n, list_max(list_transform(string_split(content, chr(10)), lambda x: length(x))) as m, length(content) as c from {FILES}) select file_id, n::int as lines, m::int as longest, c::int as chars from l")

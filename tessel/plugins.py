@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -76,21 +78,43 @@ class JobTable(StateTable):
     """A JobStore kept in versions of Parquet."""
 
 
-def enriched(samples: DataFrame, enricher: Enricher, required: bool = False) -> DataFrame:
-    """Samples with their facts left-joined. A batch whose enricher raises comes out as failed with the reason, so one bad
-    sample doesn't stop the run; with ``required`` samples without facts are dropped."""
+class Overdue(Exception):
+    """A sample took longer than it may."""
+
+
+def limited(seconds: float | None, run: Callable[[], list[pd.DataFrame]]) -> list[pd.DataFrame]:
+    """What run gives, or Overdue after so many seconds. Tasks run in the main thread of their worker, where a timer can end them."""
+    if seconds is None or threading.current_thread() is not threading.main_thread():
+        return run()
+
+    def ring(*_: object) -> None:
+        raise Overdue
+
+    old = signal.signal(signal.SIGALRM, ring)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        return run()
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, old)
+
+
+def enriched(samples: DataFrame, enricher: Enricher, required: bool = False, seconds: float | None = None) -> DataFrame:
+    """Samples with their facts left-joined. A batch whose enricher raises, or takes more than ``seconds``, is done again sample by
+    sample, and those that fail come out as failed with the reason (timeout, or the error's name), so one bad sample
+    doesn't stop the run; with ``required`` samples without facts are dropped."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             try:
-                yield from enricher.enrich(iter([pdf]))
-            except Exception as e:  # the reason is the record
+                yield from limited(seconds, lambda: list(enricher.enrich(iter([pdf]))))  # noqa: B023
+            except Exception:  # the reason is found for each sample
                 for i in range(len(pdf)):
                     one = pdf.iloc[i : i + 1]
                     try:
-                        yield from enricher.enrich(iter([one]))
-                    except Exception:
-                        yield pd.DataFrame({"sample_id": one["sample_id"], "status": "failed", "reason": type(e).__name__})
+                        yield from limited(seconds, lambda: list(enricher.enrich(iter([one]))))  # noqa: B023
+                    except Exception as e:
+                        yield pd.DataFrame({"sample_id": one["sample_id"], "status": "failed", "reason": "timeout" if isinstance(e, Overdue) else type(e).__name__})
 
     facts = samples.mapInPandas(run, enricher.schema)
     joined = samples.join(facts, "sample_id", "left")

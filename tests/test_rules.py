@@ -6,8 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tessel import session
+from tessel import plugins, session
 from tessel.functions import text as X
+from tessel.operators import edits
 from tessel.operators import rules as R
 from tessel.plugins import DocumentTable, JobTable, LineWriter, ManifestFile
 from tessel.streaming import state as S
@@ -111,3 +112,35 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_go_signatures(spark):
+    cases = {"Name[T any](p T) (R, error)": "Name[T any](p T)->(R, error)", "F(f func(int) (string, error), m map[string][]int) bool": "F(f func(int) (string, error), m map[string][]int)->bool", "Run()": "Run()", "Broken(a": "Broken(a", "name": "name", "M[K comparable, V List[K]](k K) V": "M[K comparable, V List[K]](k K)->V"}
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "s string")
+    assert {r.s: r.c for r in df.select("s", X.compact_go_signature(F.col("s")).alias("c")).collect()} == {**cases, None: None}
+
+
+def test_slow_and_failing_samples(spark):
+    class Slow:
+        schema = "sample_id string, status string, reason string"
+
+        def enrich(self, batches):
+            import time
+
+            for pdf in batches:
+                for s in pdf["sample_id"]:
+                    if s == "slow":
+                        time.sleep(60)
+                    if s == "bad":
+                        raise KeyError(s)
+                yield pdf[["sample_id"]].assign(status="resolved", reason=None)
+
+    df = spark.createDataFrame([("a",), ("slow",), ("bad",), ("b",)], "sample_id string").coalesce(1)
+    assert {r.sample_id: (r.status, r.reason) for r in plugins.enriched(df, Slow(), seconds=0.5).collect()} == {"a": ("resolved", None), "b": ("resolved", None), "slow": ("failed", "timeout"), "bad": ("failed", "KeyError")}
+    assert {r.sample_id for r in plugins.enriched(df, Slow(), required=True, seconds=0.5).collect()} == {"a", "b"}
+
+
+def test_dataset_card(spark):
+    df = spark.createDataFrame([(1, "a", "x|y", "go"), (2, "a", "z", None), (3, "b", "w", "go")], "id int, kind string, text string, lang string")
+    card = edits.dataset_card(df, "Set", "kind", "id", "text", ["lang"])
+    assert card.startswith("# Set\n\n3 rows.") and "| go | 2 | 66.7% |" in card and "| none | 1 |" in card and "## Examples" in card and "| b | 1 | `w` |" in card
