@@ -5,6 +5,7 @@ Kinds that need a parser are told apart by neighbouring tokens, so sub-kinds are
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator, Mapping
 
@@ -35,9 +36,9 @@ def lex(text: str) -> list[tuple[str, str, int, int]]:
     return [(m.lastgroup, m.group(), m.start(), m.end()) for m in TOKEN.finditer(text)]
 
 
-def candidates(text: str) -> Iterator[tuple[int, str, str, int]]:
-    """(offset, kind, subkind, priority); several may share an offset."""
-    tokens = [t for t in lex(text) if t[0] not in ("comment", "directive")]
+def candidates(text: str, lexed: list[tuple[str, str, int, int]] | None = None) -> Iterator[tuple[int, str, str, int]]:
+    """(offset, kind, subkind, priority); several may share an offset. lexed: the text's tokens, where they are at hand."""
+    tokens = [t for t in (lex(text) if lexed is None else lexed) if t[0] not in ("comment", "directive")]
     firsts = {t[2]: i for i, t in enumerate(tokens)}
     for m in re.finditer(r"(?m)^[ \t]*(?=[^\s/#])", text):
         if m.end() in firsts:
@@ -93,19 +94,22 @@ def explode_carets(files: DataFrame, reasons: bool = False) -> DataFrame:
             rows = []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 best: dict[int, tuple[int, str, str]] = {}
-                for offset, kind, sub, priority in candidates(text):
+                tokens = lex(text)
+                for offset, kind, sub, priority in candidates(text, tokens):
                     if offset not in best or priority > best[offset][0]:
                         best[offset] = (priority, kind, sub)
-                tokens = lex(text)
                 starts = [t[2] for t in tokens]
-                line = start = 0
+                any_secret = SECRET.search(text) is not None
+                line, start, end, whole, secret = -1, 0, -1, 0, False
                 for offset in sorted(best):
-                    while (nl := text.find("\n", start)) >= 0 and nl < offset:
-                        line, start = line + 1, nl + 1
-                    end = text.find("\n", offset)
-                    end = len(text) if end < 0 else end
-                    target = text[offset:end].rstrip(" \t\r")
-                    why = exclusion(text, tokens, starts, offset, offset + len(target), end, best[offset][1], SECRET)
+                    while end < offset and (line < 0 or end < len(text)):  # on to the line of the caret
+                        line, start = line + 1, end + 1
+                        end = text.find("\n", start)
+                        end = len(text) if end < 0 else end
+                        whole = start + len(text[start:end].rstrip(" \t\r"))
+                        secret = any_secret and SECRET.search(text, start, end) is not None
+                    target = text[offset:whole]
+                    why = exclusion(text, tokens, starts, offset, max(offset, whole), end, best[offset][1], secret)
                     if reasons or why is None:
                         rows.append((i, offset, line, offset - start, *best[offset][1:], target, why))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 8, schema, strict=True)], schema=schema)
@@ -155,8 +159,6 @@ def tagged(files: DataFrame, carets: DataFrame) -> DataFrame:
     schema = pa.schema([("file_id", pa.int64()), ("offset", pa.int32()), ("kind", pa.string()), ("subkind", pa.string()), ("tags", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import bisect
-
         for b in batches:
             rows = []
             for i, text, test, cs in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
@@ -343,10 +345,9 @@ def tags_at(tokens: list[tuple[str, str, int, int]], n: int, is_test: bool = Fal
     return sorted(tags)
 
 
-def exclusion(text: str, tokens: list[tuple[str, str, int, int]], starts: list[int], offset: int, end: int, line_end: int, kind: str, secret, least: int = 1, most: int = 200) -> str | None:
-    """Why a caret is left out: the first reason of the chain. tokens: all of the file, comments included; starts: theirs."""
-    import bisect
-
+def exclusion(text: str, tokens: list[tuple[str, str, int, int]], starts: list[int], offset: int, end: int, line_end: int, kind: str, secret: bool, least: int = 1, most: int = 200) -> str | None:
+    """Why a caret is left out: the first reason of the chain. tokens: all of the file, comments included; starts: theirs;
+    secret: whether the line holds one."""
     if end - offset < least:
         return "empty_target"
     if end - offset > most:
@@ -365,15 +366,12 @@ def exclusion(text: str, tokens: list[tuple[str, str, int, int]], starts: list[i
             break
         if what == "string" and e > line_end and e > offset:
             return "raw_multiline_string" if '"""' in t[:8] else "multiline_string"
-    start = text.rfind("\n", 0, offset) + 1
-    return "secret_detected" if secret.search(text, start, line_end) else None
+    return "secret_detected" if secret else None
 
 
 def line_stratum(tokens: list[tuple[str, str, int, int]], starts: list[int], first: int, inactive: list[tuple[int, int]]) -> str | None:
     """The class of a line whose first character that isn't blank is at ``first``, where it holds no code: comment, doc_comment,
     preprocessor_directive, inactive_preprocessor_code, or inside a literal that began before."""
-    import bisect
-
     if any(a <= first < b for a, b in inactive):
         return "inactive_preprocessor_code"
     i = bisect.bisect_right(starts, first) - 1

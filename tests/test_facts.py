@@ -139,7 +139,7 @@ def test_exclusions_and_strata(spark):
     assert why[7] >= {"raw_multiline_string"} and why[10] - {"empty_target"} == {"secret_detected"} and why[11] - {"empty_target"} == {None}
     tokens = C.lex(src)
     starts = [t[2] for t in tokens]
-    one = lambda p, end, kind="token_boundary": C.exclusion(src, tokens, starts, p, end, src.find("\n", p), kind, C.SECRET)
+    one = lambda p, end, kind="token_boundary": C.exclusion(src, tokens, starts, p, end, src.find("\n", p), kind, False)
     inside = src.index("eral")
     assert one(inside, inside + 4) == "caret_inside_literal" and one(inside, inside + 4, "log_message") is None and one(inside, inside) == "empty_target" and one(src.index("note here") + 2, src.index("here") + 4) == "caret_inside_trivia" and one(0, 300) == "target_too_long"
     kept = C.sampled_carets(spark.createDataFrame([(1, "h", src)], "file_id long, sha256 string, content string"), "7")
