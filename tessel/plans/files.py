@@ -15,8 +15,16 @@ FILE_COLUMNS = ["file_id", "repository_id", "relative_path", "language", "sha256
 
 
 def files(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Files once each: rows that are delivered twice are equal, so the key alone tells them apart."""
-    return table(spark, d, "corpus").select(*dict.fromkeys(["file_id", *(columns or FILE_COLUMNS)])).dropDuplicates(["file_id"])
+    """Files once each: rows that are delivered twice are equal, so the key alone tells them apart.
+
+    Texts are spread over all shuffle partitions: what follows is work per character, which partitions that adaptive execution
+    has joined by their few bytes would leave to one core.
+    """
+    wanted = list(dict.fromkeys(["file_id", *(columns or FILE_COLUMNS)]))
+    f = table(spark, d, "corpus").select(*wanted)
+    if "content" in wanted:
+        f = f.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_id")
+    return f.dropDuplicates(["file_id"])
 
 
 # Licences that a repository may name and that aren't allowed here.
