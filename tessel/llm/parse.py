@@ -87,13 +87,15 @@ def faults(corpus: DataFrame) -> DataFrame:
     v = W.partitionBy("file_id", "copy", "level").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     t = t.withColumn("block", F.coalesce(F.sum(F.col("bracket").isin(*grammar.CLOSE).cast("int")).over(v), F.lit(0)))
     part = F.struct("pos", F.concat(symbol, "run").alias("s"), F.when(opened, F.col("b1")).alias("opener"), F.when(opened, F.right("r1", F.lit(2))).alias("head"), "bracket", wrong.alias("wrong"))
-    levels = t.where("pair is null").groupBy(*key, "level", "block").agg(F.array_sort(F.collect_list(part)).alias("p"))
-    level = levels.select(*key, "level", F.array_join(F.transform("p", lambda y: y["s"]), "").alias("s"), F.col("p")[0]["opener"].alias("opener"), F.coalesce(F.col("p")[0]["head"], F.lit("")).alias("head"), F.element_at("p", -1)["bracket"].alias("closer"), F.exists("p", lambda y: y["wrong"]).alias("wrong"))
+    # pairs that are none stay rows of the same windows, each a group of its own: taken off apart, they would be lexed again
+    parts = F.array_sort(F.collect_list(part))
+    levels = t.groupBy(*key, "pair", "level", "block").agg(parts.alias("p"), F.array_join(F.transform(parts, lambda y: y["s"]), "").alias("s"))
+    level = levels.select(*key, "pair", "level", "s", F.col("p")[0]["opener"].alias("opener"), F.coalesce(F.col("p")[0]["head"], F.lit("")).alias("head"), F.element_at("p", -1)["bracket"].alias("closer"), F.exists("p", lambda y: y["wrong"]).alias("wrong"))
     matched = F.concat(F.coalesce("opener", F.lit("")), "closer").isin("()", "[]", "{}", "IO", "$")
     broken = F.col("wrong") | grammar.level_fault(F.col("language"), F.col("level"), F.coalesce("opener", F.lit("")), F.col("head"), F.col("s"))
-    fault = F.when(~matched, "nesting").when(broken, "production")
-    bad = level.select("file_id", "language", fault.alias("fault"), F.concat(F.coalesce("opener", F.lit("")), "closer", F.lit(" at depth "), F.col("level").cast("string")).alias("detail")).where("fault is not null")
-    return bad.union(t.where("pair is not null").select("file_id", "language", F.lit("pair"), "pair")).distinct()
+    fault = F.when(F.col("pair").isNotNull(), "pair").when(~matched, "nesting").when(broken, "production")
+    where = F.concat(F.coalesce("opener", F.lit("")), "closer", F.lit(" at depth "), F.col("level").cast("string"))
+    return level.select("file_id", "language", fault.alias("fault"), F.coalesce("pair", where).alias("detail")).where("fault is not null").distinct()
 
 
 def not_parsing(corpus: DataFrame) -> DataFrame:

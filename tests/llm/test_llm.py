@@ -200,6 +200,16 @@ def test_not_parsing(spark):
     assert parse.not_parsing(c.limit(0)).count() == 0
 
 
+def test_files_are_lexed_once_for_all_faults(spark):
+    text = "class A { int F() { var t = ) 0; } }"
+    rows = [(1, "r", "a.cs", None, text), (1, "r", "a.cs", None, text), (2, "r", "b.json", None, '{"a": 1,}'), (3, "r", "c.json", None, "[[]"), (4, "r", "d.py", None, "x = 1\n")]
+    c = spark.createDataFrame(rows, CORPUS)
+    cs, js = [("nesting", "{) at depth 2"), ("nesting", "} at depth 0"), ("pair", "a)")], [("pair", ",}"), ("production", "{} at depth 1")]
+    assert sorted((r.file_id, r.fault, r.detail) for r in parse.faults(c).collect()) == [(1, *x) for x in cs] + [(2, *x) for x in js] + [(3, "nesting", "[ at depth 0"), (3, "nesting", "[$ at depth 1")]
+    for df in (parse.faults(c), parse.not_parsing(c)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow lex") == 1
+
+
 # --- 4
 
 
