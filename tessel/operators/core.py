@@ -6,8 +6,9 @@ pre-aggregate before they shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -131,25 +132,92 @@ def prefix_sum(df: DataFrame, order: str, value: str, buckets: int = 64, out: st
     return ranged.withColumn("inside__", inside).join(F.broadcast(before), b).withColumn(out, (F.col("before__") + F.col("inside__")).cast("bigint")).drop(b, "inside__", "before__")
 
 
-def overlap_pairs(items: DataFrame, group: str, item: str, least: float) -> DataFrame:
-    """(a, b, shared, jaccard) of groups that share items to a Jaccard similarity of ``least`` or more, a < b.
-
-    Prefix filter: with items ordered by rarity, two such groups share one of the first n - ceil(least n) + 1 items of each.
-    Only these meet in the self-join, so an item that lies in nearly all groups brings no pairs together; candidates of
-    fitting sizes are then counted exactly. least must be above 0.
-    """
+def overlap_units(items: DataFrame, group: str, item: str, chunk: int = 256) -> DataFrame:
+    """(u, n, shared_items, members): groups with n items of which the same ones lie in other groups too are alike for any
+    comparison; up to ``chunk`` of them are one unit. shared_items: numbers of these items, rare ones first. Materialised."""
     from tessel.session import cut
 
     d = cut(items.select(F.col(group).alias("g"), F.col(item).alias("i")).where("g is not null and i is not null").distinct())
-    often = d.groupBy("i").agg(F.count(F.lit(1)).alias("k"))
-    ranked = d.join(often, "i").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "i"))).alias("all"))  # the items of one group
-    n = F.size("all")
-    first = cut(ranked.select("g", n.alias("n"), F.slice("all", F.lit(1), (n - F.ceil(n * F.lit(least)) + 1).cast("int")).alias("p")).select("g", "n", F.explode("p").alias("x")).where("x.k > 1").select("g", "n", F.col("x.i").alias("i")))
-    a, b = first.select("i", F.col("g").alias("a"), F.col("n").alias("na")), first.select("i", F.col("g").alias("b"), F.col("n").alias("nb"))
-    near = a.join(b, "i").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb").distinct()
-    both = near.join(d.select(F.col("g").alias("a"), "i"), "a").join(d.select(F.col("g").alias("b"), "i"), ["b", "i"])
-    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    return counted.withColumn("jaccard", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).where(F.col("jaccard") >= least).select("a", "b", "shared", "jaccard")
+    often = cut(d.groupBy("i").agg(F.count(F.lit(1)).alias("k")).where("k > 1").withColumn("id", F.monotonically_increasing_id()))
+    at = F.when(F.col("k").isNotNull(), F.struct("k", "id"))
+    sets = d.join(often, "i", "left").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.transform(F.array_sort(F.collect_list(at)), lambda x: x["id"]).alias("shared_items"))  # the items of one group
+    alike = sets.where(F.size("shared_items") > 0).groupBy("n", "shared_items").agg(F.collect_list("g").alias("all"))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / chunk).cast("int")), lambda c: F.slice("all", c * chunk + 1, F.lit(chunk)))
+    return cut(alike.select("n", "shared_items", F.explode(chunks).alias("members")).withColumn("u", F.monotonically_increasing_id()))
+
+
+def similar_units(units: DataFrame, least: float, part: int = 2048) -> DataFrame:
+    """(ua, ub, xs, ys, shared, jaccard) of units, each pair once, whose groups are similar to ``least`` or more; xs, ys: their
+    members. A unit of several groups that are similar to each other comes with itself.
+
+    Prefix and position filter: with items ordered by rarity, two such groups share one of the first n - ceil(least n) + 1
+    items of each, and after the first that they share, enough others can follow. Units meet by these items, each posting
+    with the rest of its unit's items, so that a pair is counted exactly, and only at its first shared item, where it
+    meets: pairs are never shuffled. Postings of frequent items are cut into parts.
+    """
+    bucket = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / min(least, 0.5))) + 1e-9)  # similar groups lie in one or in two next to each other
+    p = F.col("n") - F.size("shared_items") + F.col("at") + 1
+    keys = units.select("u", "n", "shared_items", F.size("members").alias("m"), F.posexplode("shared_items").alias("at", "i")).where(p <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    # a large unit that finds none of its size at an item needn't go there with its items
+    near = keys.groupBy("i", bucket.alias("s")).agg(F.sum(F.least("m", F.lit(2))).alias("k"))
+    met = near.select("i", "k", F.explode(F.array(*[F.col("s") + x for x in (-1, 0, 1)])).alias("s")).groupBy("i", "s").agg(F.sum("k").alias("k")).where("k > 1")
+    parts = met.groupBy("i").agg(F.ceil(F.max("k") / part).cast("int").alias("parts"))
+    posts = keys.select("u", "n", "i", "at", bucket.alias("s")).join(met.select("i", "s"), ["i", "s"]).join(parts, "i").join(units.select("u", "shared_items", "members"), "u")
+    a = posts.select("i", "at", "parts", *[F.col(x).alias(y) for x, y in (("u", "ua"), ("n", "na"), ("shared_items", "ia"), ("members", "xs"))]).withColumn("part", F.pmod(F.xxhash64("ua"), F.col("parts")).cast("int")).drop("parts")
+    b = posts.select("i", F.col("at").alias("atb"), *[F.col(x).alias(y) for x, y in (("u", "ub"), ("n", "nb"), ("shared_items", "ib"), ("members", "ys"))], F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    once = (F.col("ua") < F.col("ub")) | ((F.col("ua") == F.col("ub")) & (F.size("xs") > 1))
+    enough = F.least(F.size("ia") - F.col("at"), F.size("ib") - F.col("atb")) >= (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-9
+    both = a.join(b, ["i", "part"]).where(once & enough).withColumn("common", F.array_intersect("ia", "ib")).where(F.element_at("common", 1) == F.col("i"))
+    counted = both.select("ua", "ub", "xs", "ys", F.size("common").cast("bigint").alias("shared"), (F.col("na") + F.col("nb")).alias("n"))
+    return counted.withColumn("jaccard", F.col("shared") / (F.col("n") - F.col("shared"))).where(F.col("jaccard") >= least).drop("n")
+
+
+def overlap_pairs(items: DataFrame, group: str, item: str, least: float) -> DataFrame:
+    """(a, b, shared, jaccard) of groups that share items to a Jaccard similarity of ``least`` or more, a < b. least must be
+    above 0. See similar_units; groups that have the same shared items are compared once."""
+    s = similar_units(overlap_units(items, group, item), least)
+    each = s.select("ua", "ub", F.explode("xs").alias("x"), "ys", "shared", "jaccard").select("ua", "ub", "x", F.explode("ys").alias("y"), "shared", "jaccard")
+    return each.where((F.col("ua") < F.col("ub")) | (F.col("x") < F.col("y"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "shared", "jaccard")
+
+
+def overlap_components(items: DataFrame, group: str, item: str, least: float) -> DataFrame:
+    """(node, root): components() over overlap_pairs(), without its pairs, whose number may grow with the square of the groups.
+
+    Units take the place of their groups, and each task keeps only a spanning forest of the pairs that it finds.
+    """
+    units = overlap_units(items, group, item)
+    c = components(forest(similar_units(units, least).select("ua", "ub")))
+    found = units.join(c, F.col("node") == F.col("u")).select(F.col("root").alias("r"), F.explode("members").alias("node"))
+    return found.join(found.groupBy("r").agg(F.min("node").alias("root")), "r").select("node", "root")
+
+
+def forest(edges: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """Of (a, b) edges between whole numbers, those that join two trees of their task, and loops once: the components of all
+    edges. A task that holds ``most`` numbers begins anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+        for batch in batches:
+            kept: list[tuple[int, int]] = []
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if a == b:
+                    if a not in up:
+                        up[a] = a
+                        kept.append((a, b))
+                    continue
+                x, y = a, b
+                while (z := up.setdefault(x, x)) != x:
+                    up[x] = x = up[z]
+                while (z := up.setdefault(y, y)) != y:
+                    up[y] = y = up[z]
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    kept.append((a, b))
+            if len(up) > most:
+                up = {}
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in kept], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return edges.toDF("a", "b").where("a is not null and b is not null").mapInArrow(run, "a bigint, b bigint")
 
 
 def nearest_ancestor(paths: DataFrame, path: str, marked: DataFrame, folder: str, value: str) -> DataFrame:
@@ -200,7 +268,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     from tessel.session import cut
 
     e = edges.toDF("a", "b").where("a is not null and b is not null")
-    both = cut(e.union(e.select("b", "a")).distinct())
+    both = cut(e.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct())
     labels = cut(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("root")).withColumnRenamed("a", "node"))
     for _ in range(rounds):
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("low"))

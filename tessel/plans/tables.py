@@ -10,7 +10,7 @@ from tessel.functions import text as X
 from tessel.operators import core as O
 from tessel.plans.files import files
 from tessel.plans.registry import FILES, query, u_sql
-from tessel.session import cut, table
+from tessel.session import table
 from tessel.streaming import jobs as J
 
 # --- joins
@@ -436,7 +436,7 @@ def d8_union_of_manifests(spark, d):
 
 @query(_PAIRS.replace("with d", "with recursive d", 1) + ", e as (select a, b from q where jaccard >= 0.15 union select b, a from q where jaccard >= 0.15), reach(a, b) as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a) select a as node, least(a, min(b)) as root from reach group by a")
 def g1_components(spark, d):
-    return O.components(cut(O.overlap_pairs(path_parts(spark, d), "repository_id", "x", 0.15)).select("a", "b"))
+    return O.overlap_components(path_parts(spark, d), "repository_id", "x", 0.15)
 
 
 # --- job state

@@ -226,6 +226,25 @@ def test_hot_items_bring_no_pairs_together(spark):
     assert [(r.a, r.b, r.shared, r.jaccard) for r in got] == [("x", "y", 3, 1.0)]
 
 
+def brute_pairs(sets, least):
+    names = sorted(sets)
+    both = [(a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for i, a in enumerate(names) for b in names[i + 1 :]]
+    return {(a, b, m, m / n) for a, b, m, n in both if m and m / n >= least}
+
+
+def test_components_of_overlaps_without_their_pairs(spark):
+    """Groups of one shape are one unit, of which many are cut; a task hands on a spanning forest, no pairs."""
+    rnd = random.Random(7)
+    sets = {f"g{i:03}": {f"i{int(rnd.expovariate(0.2))}" for _ in range(rnd.randrange(1, 7))} | ({f"own{i}"} if i % 3 else set()) for i in range(90)} | {f"h{i:03}": {"src", f"own{i}"} for i in range(300)}
+    df = spark.createDataFrame([(g, x) for g, s in sets.items() for x in s], "g string, i string")
+    for least in (0.3, 0.5):
+        pairs = spark.createDataFrame([p[:2] for p in brute_pairs(sets, least)], "a string, b string")
+        assert {tuple(r) for r in O.overlap_components(df, "g", "i", least).collect()} == {tuple(r) for r in O.components(pairs).collect()}
+    clique = spark.range(200).toDF("a").crossJoin(spark.range(200).toDF("b")).coalesce(2)
+    kept = O.forest(clique)
+    assert kept.where("a <> b").count() <= 2 * 199 and {r.root for r in O.components(kept).collect()} == {0}
+
+
 def test_keep_first_takes_the_least_row(spark):
     df = spark.createDataFrame([("A", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 1, "z")], "k string, n int, v string")
     got = {tuple(r) for r in O.keep_first(df, [F.lower("k")], [F.col("n")]).collect()}
