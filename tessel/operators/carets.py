@@ -6,8 +6,9 @@ Kinds that need a parser are told apart by neighbouring tokens, so sub-kinds are
 from __future__ import annotations
 
 import bisect
+import hashlib
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,18 +82,36 @@ def candidates(text: str, lexed: list[tuple[str, str, int, int]] | None = None)
             yield nxt[2], "after_operator", t, 45
 
 
+def uniform(seed: str, salt: str, sha: str, offset: int) -> float:
+    """X.uniform of the four, in Python."""
+    return (int(hashlib.sha256(f"{seed}\x1f{salt}\x1f{sha}\x1f{offset}".encode()).hexdigest()[:16], 16) >> 11) / 9007199254740992.0
+
+
+def in_blocks(rows: Iterable[tuple], schema: pa.Schema, most: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of at most ``most``: the carets of a whole batch of files are never held at once."""
+    block: list[tuple] = []
+    for row in rows:
+        block.append(row)
+        if len(block) == most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
+            block = []
+    if block:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
+
+
 SECRET = re.compile(r'(?i)\b\w*(?:password|passwd|pwd|secret|apikey|api_key|accesstoken|access_token)\w*"?\s*[:=]\s*@?"(?-i:(?![A-Z0-9_]+"))[^"\s{}]{8,}"|\b(?:password|pwd)=[^;"\'\s]{6,};')
 
 
-def explode_carets(files: DataFrame, reasons: bool = False) -> DataFrame:
+def explode_carets(files: DataFrame, reasons: bool = False, drawn: Callable[[str, int, str], bool] | None = None) -> DataFrame:
     """files: (file_id, content) -> (file_id, offset, line, column, kind, subkind, target, reason): one row per offset, the kind of
-    highest priority, of equals the first found. Only carets without a reason to leave them out come, unless ``reasons``."""
-    schema = pa.schema([("file_id", pa.int64()), ("offset", pa.int32()), ("line", pa.int32()), ("column", pa.int32()), ("kind", pa.string()), ("subkind", pa.string()), ("target", pa.string()), ("reason", pa.string())])
+    highest priority, of equals the first found. Only carets without a reason to leave them out come, unless ``reasons``.
+    drawn: of files with sha256, which comes out too, only carets for whose digest, offset and kind it holds."""
+    fields = [("file_id", pa.int64()), ("offset", pa.int32()), ("line", pa.int32()), ("column", pa.int32()), ("kind", pa.string()), ("subkind", pa.string()), ("target", pa.string()), ("reason", pa.string())]
+    schema = pa.schema(fields + [("sha256", pa.string())] * (drawn is not None))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def carets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            rows = []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for i, text, *sha in zip(*((x.as_py() for x in b.column(k)) for k in range(b.num_columns)), strict=True):
                 best: dict[int, tuple[int, str, str]] = {}
                 tokens = lex(text)
                 for offset, kind, sub, priority in candidates(text, tokens):
@@ -101,7 +120,7 @@ def explode_carets(files: DataFrame, reasons: bool = False) -> DataFrame:
                 starts = [t[2] for t in tokens]
                 any_secret = SECRET.search(text) is not None
                 line, start, end, whole, secret = -1, 0, -1, 0, False
-                for offset in sorted(best):
+                for offset in sorted(best if drawn is None else (o for o, x in best.items() if drawn(sha[0], o, x[1]))):
                     while end < offset and (line < 0 or end < len(text)):  # on to the line of the caret
                         line, start = line + 1, end + 1
                         end = text.find("\n", start)
@@ -111,11 +130,11 @@ def explode_carets(files: DataFrame, reasons: bool = False) -> DataFrame:
                     target = text[offset:whole]
                     why = exclusion(text, tokens, starts, offset, max(offset, whole), end, best[offset][1], secret)
                     if reasons or why is None:
-                        rows.append((i, offset, line, offset - start, *best[offset][1:], target, why))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 8, schema, strict=True)], schema=schema)
+                        yield i, offset, line, offset - start, *best[offset][1:], target, why, *sha
 
     out = "file_id bigint, offset int, line int, column int, kind string, subkind string, target string, reason string"
-    return files.where("file_id is not null and content is not null").select("file_id", "content").mapInArrow(run, out)
+    wanted, out = (["file_id", "content"], out) if drawn is None else (["file_id", "content", "sha256"], f"{out}, sha256 string")
+    return files.where("file_id is not null and content is not null").select(*wanted).mapInArrow(lambda batches: in_blocks(carets(batches), schema), out)
 
 
 def line_strata(files: DataFrame) -> DataFrame:
@@ -144,8 +163,13 @@ def line_strata(files: DataFrame) -> DataFrame:
 
 def sampled_carets(files: DataFrame, seed: str, per_line: int = 2, per_file: int = 300, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
     """Carets of files with a digest (file_id, sha256, content): kept by hash and weight of kind (trivial targets at a
-    twentieth), then the best per line and per file by hash over weight."""
-    c = explode_carets(files).drop("reason").join(files.select("file_id", "sha256").distinct(), "file_id")
+    twentieth), then the best per line and per file by hash over weight. Carets are drawn where they are found: what isn't
+    kept is neither judged nor shuffled."""
+
+    def drawn(sha: str, offset: int, kind: str) -> bool:  # the weight that counts is below, and never above this one
+        return uniform(seed, "caret", sha or "", offset) < weights.get(kind, 0.0)
+
+    c = explode_carets(files, drawn=drawn).drop("reason")
     w = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])[F.col("kind")] * F.when(F.col("target").rlike(r"^[{}()\[\];, ]*$"), 0.05).otherwise(1.0)
     u = X.uniform(F.lit(seed), F.lit("caret"), F.col("sha256"), F.col("offset"))
     kept = c.withColumn("w", w).withColumn("u", u).where("u < w").withColumn("score", F.col("u") / F.col("w"))
@@ -158,10 +182,9 @@ def tagged(files: DataFrame, carets: DataFrame) -> DataFrame:
     lambdas within a query become linq, their kind going into the subkind. A file is lexed once for all its carets."""
     schema = pa.schema([("file_id", pa.int64()), ("offset", pa.int32()), ("kind", pa.string()), ("subkind", pa.string()), ("tags", pa.list_(pa.string()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tags_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            rows = []
-            for i, text, test, cs in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            for i, text, test, cs in zip(*((x.as_py() for x in b.column(k)) for k in range(4)), strict=True):
                 tokens = [t for t in lex(text) if t[0] not in ("comment", "directive")]
                 starts = [t[2] for t in tokens]
                 for c in cs:
@@ -169,11 +192,10 @@ def tagged(files: DataFrame, carets: DataFrame) -> DataFrame:
                     kind, sub = c["kind"], c["subkind"]
                     if "linq" in tags and kind in ("member_access", "argument_list", "lambda_body"):
                         kind, sub = "linq", f"{kind}:{sub}" if sub else kind
-                    rows.append((i, c["offset"], kind, sub, tags))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 5, schema, strict=True)], schema=schema)
+                    yield i, c["offset"], kind, sub, tags
 
     per = carets.groupBy("file_id").agg(F.collect_list(F.struct("offset", "kind", "subkind")).alias("carets"))
-    return files.where("content is not null").join(per, "file_id").select("file_id", "content", "is_test", "carets").mapInArrow(run, "file_id bigint, offset int, kind string, subkind string, tags array<string>")
+    return files.where("content is not null").join(per, "file_id").select("file_id", "content", "is_test", "carets").mapInArrow(lambda batches: in_blocks(tags_of(batches), schema), "file_id bigint, offset int, kind string, subkind string, tags array<string>")
 
 
 def brace_closure(text: str) -> str:

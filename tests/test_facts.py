@@ -2,6 +2,7 @@
 
 import bisect
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,19 @@ def test_documents_and_healing(spark):
         assert not tail.strip(b" \t") and (got[x] > 0) == (x in ("return  ", "a = b \t ")), x
     deps = spark.createDataFrame([(["System", "Alpha", "Beta"],), ([],)], "d array<string>").select(P.roots_block(F.col("d"), 3).alias("b")).collect()
     assert deps[0].b.startswith("System") and deps[1].b == "" and len(e.encode_ordinary(deps[0].b)) <= 3
+
+
+def test_carets_come_in_blocks_and_are_drawn_before_a_shuffle(spark):
+    schema = pa.schema([("n", pa.int64())])
+    taken = []
+    blocks = C.in_blocks(((taken.append(n) or n,) for n in range(10_000)), schema, 64)
+    assert next(blocks).num_rows == 64 and len(taken) == 64 and sum(b.num_rows for b in blocks) == 9_936
+    text = "class A {\n" + "".join(f"    int Field{n} = Other{n}.Call(first{n}, {n});\n" for n in range(40)) + "}\n"
+    files = spark.createDataFrame([(1, "h", text), (2, None, text)], "file_id long, sha256 string, content string")
+    c = C.sampled_carets(files, "s", per_line=10**6, per_file=10**6).select("file_id", "offset", "kind")
+    every = C.explode_carets(files).join(files.select("file_id", "sha256"), "file_id")
+    w = lambda r: C.WEIGHTS[r.kind] * (0.05 if not r.target.strip("{}()[];, ") else 1)
+    want = {(r.file_id, r.offset, r.kind) for r in every.collect() if C.uniform("s", "caret", r.sha256 or "", r.offset) < w(r)}
+    assert {tuple(r) for r in c.collect()} == want and {k[0] for k in want} == {1, 2}
+    plan = c._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
