@@ -186,3 +186,14 @@ def test_carets_come_in_blocks_and_are_drawn_before_a_shuffle(spark):
     assert {tuple(r) for r in c.collect()} == want and {k[0] for k in want} == {1, 2}
     plan = c._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "Join" not in plan
+
+
+def test_tags_of_large_batches(spark):
+    """The tags of more carets than a block holds: none is lost or comes twice."""
+    text = "class A {\n" + "".join(f"    int Field{n} = Other{n}.Call(first{n}, {n});\n" for n in range(300)) + "}\n"
+    files = spark.createDataFrame([(n, text, n == 1) for n in range(3)], "file_id long, content string, is_test boolean").coalesce(1)
+    carets = C.explode_carets(files)
+    n = carets.count()
+    assert n > 4096
+    tagged = C.tagged(files, carets)
+    assert tagged.count() == n and tagged.select("file_id", "offset").distinct().count() == n
