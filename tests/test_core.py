@@ -245,6 +245,17 @@ def test_components_of_overlaps_without_their_pairs(spark):
     assert kept.where("a <> b").count() <= 2 * 199 and {r.root for r in O.components(kept).collect()} == {0}
 
 
+def test_pairs_are_counted_where_they_meet(spark):
+    """No candidate is shuffled, and a similarity that is just reached isn't lost to rounding (0.55 x 100 is above 55)."""
+    sets = {"a": {str(n) for n in range(100)}, "b": {str(n) for n in range(55)}, **{f"h{i:03}": {"src", f"own{i}"} for i in range(270)}}
+    df = O.overlap_pairs(spark.createDataFrame([(g, x) for g, s in sets.items() for x in s], "g string, i string"), "g", "i", 0.55)
+    assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert [tuple(r) for r in df.collect()] == [("a", "b", 55, 0.55)]
+    few = {g: s for g, s in sets.items() if g < "h29"}
+    got = O.overlap_pairs(spark.createDataFrame([(g, x) for g, s in few.items() for x in s], "g string, i string"), "g", "i", 0.3)
+    assert {tuple(r) for r in got.collect()} == brute_pairs(few, 0.3)
+
+
 def test_keep_first_takes_the_least_row(spark):
     df = spark.createDataFrame([("A", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 1, "z")], "k string, n int, v string")
     got = {tuple(r) for r in O.keep_first(df, [F.lower("k")], [F.col("n")]).collect()}
